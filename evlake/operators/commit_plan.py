@@ -1,0 +1,166 @@
+"""Which messages fall in which commit under a size bound.
+
+Rows are buffered in offset order; as soon as ``size`` or more are waiting, they
+make one commit. A message is never split, so a commit may overshoot. Each topic
+partition has its own buffer.
+
+The rule is sequential, and one partition may hold a large share of all
+messages, so it is not run over whole partitions. For a chunk of offsets it is
+enough to know, per fill level at its start, the fill level at its end and the
+commits in between. Those tables are chained chunk by chunk (and, above that,
+span by span), which gives every chunk its true start; the chunks are then
+planned independently.
+"""
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Offsets per chunk and chunks per span: no task sees more of either at once.
+CHUNK = 50_000
+SPAN = 1_000
+
+_PARTITION = ["kafka_topic", "kafka_partition"]
+_IDS = "kafka_topic string, kafka_partition int"
+
+
+def _first_commits(total: np.ndarray, size: int, fills: np.ndarray) -> np.ndarray:
+    """Index of the message completing the first commit, for given start fills."""
+    return np.searchsorted(total, np.maximum(size - fills, 1), side="left")
+
+
+def _chunk_outcomes(rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """End fill and commits of one chunk for every start fill 0..size-1."""
+    n = len(rows)
+    total = np.cumsum(rows)
+    base = np.concatenate([[0], total])
+    # With an empty buffer before message i: the message completing the commit.
+    done = np.searchsorted(total, base[:-1] + size, side="left")
+    end = np.zeros(n + 1, dtype=np.int64)
+    commits = np.zeros(n + 1, dtype=np.int64)
+    for i in range(n - 1, -1, -1):
+        j = done[i]
+        if j < n:
+            end[i], commits[i] = end[j + 1], commits[j + 1] + 1
+        else:
+            end[i] = base[n] - base[i]
+    fills = np.arange(size)
+    first = _first_commits(total, size, fills)
+    hit = first < n
+    after = np.where(hit, first + 1, n)
+    return (
+        np.where(hit, end[after], fills + base[n]),
+        np.where(hit, commits[after] + 1, 0),
+    )
+
+
+def _chain(ends: list, commits: list, fill: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Run several outcome tables one after the other from the given fills."""
+    made = np.zeros(len(fill), dtype=np.int64)
+    for e, c in zip(ends, commits):
+        made, fill = made + np.asarray(c)[fill], np.asarray(e)[fill]
+    return fill, made
+
+
+def _outcomes(pdf: pd.DataFrame, size: int, unit: str) -> pd.DataFrame:
+    pdf = pdf.sort_values("kafka_offset")
+    end, commits = _chunk_outcomes(pdf["n"].to_numpy(), size)
+    return _one_row(pdf, unit, end, commits)
+
+
+def _one_row(pdf: pd.DataFrame, unit: str, end, commits) -> pd.DataFrame:
+    first = pdf.iloc[0]
+    return pd.DataFrame(
+        {
+            "kafka_topic": [first["kafka_topic"]],
+            "kafka_partition": [first["kafka_partition"]],
+            unit: [first[unit]],
+            "end": [end],
+            "commits": [commits],
+        }
+    )
+
+
+def _starts(pdf: pd.DataFrame, unit: str) -> pd.DataFrame:
+    """Start state of every unit, following the tables from the first start."""
+    pdf = pdf.sort_values(unit)
+    fill, made = np.array([pdf["fill"].iloc[0]]), int(pdf["made"].iloc[0])
+    fills, mades = [], []
+    for e, c in zip(pdf["end"], pdf["commits"]):
+        fills.append(int(fill[0]))
+        mades.append(made)
+        fill, more = _chain([e], [c], fill)
+        made += int(more[0])
+    return pdf[["kafka_topic", "kafka_partition", unit]].assign(fill=fills, made=mades)
+
+
+def _plan(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
+    pdf = pdf.sort_values("kafka_offset")
+    rows, fill, commit = pdf["n"].to_numpy(), int(pdf["fill"].iloc[0]), int(pdf["made"].iloc[0])
+    total = np.cumsum(rows)
+    numbers = np.empty(len(rows), dtype=np.int64)
+    i = 0
+    while i < len(rows):
+        before = total[i] - rows[i]
+        j = int(np.searchsorted(total, before + size - fill, side="left"))
+        numbers[i : j + 1] = commit
+        i, fill, commit = j + 1, 0, commit + 1
+    return pdf[["kafka_topic", "kafka_partition", "kafka_offset", "n"]].assign(commit=numbers)
+
+
+def message_commits(rows: DataFrame, size: int, chunk: int = CHUNK, span: int = SPAN) -> DataFrame:
+    """Commit number of every message: topic, partition, offset, ``n``, ``commit``."""
+    messages = (
+        rows.groupBy(*_PARTITION, "kafka_offset")
+        .agg(F.count("*").alias("n"))
+        .withColumn("chunk", F.floor(F.col("kafka_offset") / chunk))
+    )
+    tables = "end array<bigint>, commits array<bigint>"
+    chunks = (
+        messages.groupBy(*_PARTITION, "chunk")
+        .applyInPandas(
+            lambda pdf: _outcomes(pdf, size, "chunk"), f"{_IDS}, chunk bigint, {tables}"
+        )
+        .withColumn("span", F.floor(F.col("chunk") / span))
+    )
+
+    def span_outcome(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("chunk")
+        return _one_row(pdf, "span", *_chain(pdf["end"], pdf["commits"], np.arange(size)))
+
+    state = "fill bigint, made bigint"
+    empty = {"fill": F.lit(0).cast("bigint"), "made": F.lit(0).cast("bigint")}
+    span_starts = (
+        chunks.groupBy(*_PARTITION, "span")
+        .applyInPandas(span_outcome, f"{_IDS}, span bigint, {tables}")
+        .withColumns(empty)
+        .groupBy(*_PARTITION)
+        .applyInPandas(lambda pdf: _starts(pdf, "span"), f"{_IDS}, span bigint, {state}")
+    )
+    chunk_starts = (
+        chunks.join(span_starts, [*_PARTITION, "span"])
+        .groupBy(*_PARTITION, "span")
+        .applyInPandas(lambda pdf: _starts(pdf, "chunk"), f"{_IDS}, chunk bigint, {state}")
+    )
+    return (
+        messages.join(chunk_starts, [*_PARTITION, "chunk"])
+        .groupBy(*_PARTITION, "chunk")
+        .applyInPandas(
+            lambda pdf: _plan(pdf, size),
+            f"{_IDS}, kafka_offset bigint, n bigint, commit bigint",
+        )
+    )
+
+
+def commit_plan(rows: DataFrame, size: int, chunk: int = CHUNK, span: int = SPAN) -> DataFrame:
+    """Rows, first and last offset of every planned commit, per topic partition."""
+    return (
+        message_commits(rows, size, chunk, span)
+        .groupBy(*_PARTITION, "commit")
+        .agg(
+            F.sum("n").alias("added"),
+            F.min("kafka_offset").alias("first_offset"),
+            F.max("kafka_offset").alias("last_offset"),
+        )
+    )

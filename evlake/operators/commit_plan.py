@@ -12,8 +12,11 @@ span by span), which gives every chunk its true start; the chunks are then
 planned independently.
 """
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,10 @@ from pyspark.sql import functions as F
 CHUNK = 50_000
 SPAN = 1_000
 
+# The functions below travel to the workers with the job, which then need not
+# have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PARTITION = ["kafka_topic", "kafka_partition"]
 _IDS = "kafka_topic string, kafka_partition int"
 

@@ -21,6 +21,11 @@ def parse_uri(uri: Column) -> Column:
     )
 
 
+def same_bucket(uri: Column, other: Column) -> Column:
+    """Whether two addresses name the same bucket; false when either names none."""
+    return F.coalesce(parse_uri(uri)["bucket"] == parse_uri(other)["bucket"], F.lit(False))
+
+
 def join_key(*parts: Column) -> Column:
     """Parts joined by single slashes, empty parts left out."""
     trimmed = [F.btrim(F.coalesce(p, F.lit("")), F.lit("/")) for p in parts]

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evlake.functions.uris import parse_uri
+from evlake.functions.uris import same_bucket
 from evlake.operators.offsets import next_offsets
 from evlake.schema import ROW_KEY
 
@@ -78,6 +78,5 @@ def acknowledged(messages: DataFrame, table: DataFrame) -> DataFrame:
 def separate_buckets(spark: SparkSession, watched: str, warehouse: str) -> None:
     """Refuse a warehouse inside the watched bucket: it would feed itself."""
     uris = spark.createDataFrame([(watched, warehouse)], "a string, b string")
-    a, b = uris.select(parse_uri(F.col("a"))["bucket"], parse_uri(F.col("b"))["bucket"]).head()
-    if a is not None and a == b:
-        raise ValueError(f"the table must not be stored in the watched bucket '{a}'")
+    if uris.select(same_bucket(F.col("a"), F.col("b"))).head()[0]:
+        raise ValueError(f"the table {warehouse} must not be stored in the watched bucket")

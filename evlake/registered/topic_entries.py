@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-
 from evlake.functions import times, uris
 from evlake.operators.decode import decode, quarantine, usable
 from evlake.operators.flatten import find_records, flatten, unnest

@@ -63,8 +63,13 @@ def strip(text: Column) -> Column:
 
 
 def non_blank(text: Column) -> Column:
-    stripped = strip(text)
-    return F.when(stripped != "", stripped)
+    """Stripped text, null when nothing is left.
+
+    From the first to the last character that is no blank; written so that
+    ``text``, costly to take out of a VARIANT, is evaluated once.
+    """
+    seen = f"[^{WHITESPACE}]"
+    return F.get(F.regexp_extract_all(text, F.lit(f"(?s){seen}(?:.*{seen})?"), F.lit(0)), F.lit(0))
 
 
 def string_only(value: Column) -> Column:

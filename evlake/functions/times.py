@@ -11,12 +11,22 @@ from evlake.functions.json_values import strip
 _DATE = r"(?!0000)\d{4}-\d{2}-\d{2}"
 _CLOCK = r"\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?"
 _ZONE = r"(?:[Zz]|[+-]\d{2}:\d{2}(?::\d{2})?)?"
+# The form nearly all event times have; Spark's cast takes it as it is.
+_COMPLETE = rf"^{_DATE}T\d{{2}}:\d{{2}}:\d{{2}}(?:\.\d+)?(?:Z|[+-]\d{{2}}:\d{{2}})$"
 _ISO = rf"^{_DATE}(?:[T ]{_CLOCK}{_ZONE})?$"
 
 
 def from_text(text: Column) -> Column:
     """ISO-8601 date or date-time. No zone means UTC; fractions beyond
-    microseconds are cut; anything else is null."""
+    microseconds are cut; anything else is null.
+
+    ``text`` is used more than once: give a column, not a costly expression.
+    """
+    complete = text.rlike(_COMPLETE)
+    return F.when(complete, text.try_cast("timestamp")).otherwise(_spelled_out(text))
+
+
+def _spelled_out(text: Column) -> Column:
     iso = F.regexp_extract(strip(text), _ISO, 0)  # '' unless it matches
     # Spell out what Spark's cast wants to see: midnight, seconds and UTC.
     timed = F.regexp_replace(iso, r"^(.{10})$", "$1T00:00")

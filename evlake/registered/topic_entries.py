@@ -149,7 +149,7 @@ def flt2(spark, sf_dir):
 def flt3(spark, sf_dir):
     """Rows standing for an empty record list."""
     decoded = decode(inputs.messages(spark, sf_dir))
-    empty = unnest(usable(decoded)).where("origin = 'empty list'").select("partition", "offset")
+    empty = unnest(decoded).where("origin = 'empty list'").select("partition", "offset")
     rows = inputs.rows(spark, sf_dir).alias("r")
     on = (F.col("r.kafka_partition") == F.col("e.partition")) & (F.col("r.kafka_offset") == F.col("e.offset"))
     return rows.join(empty.alias("e"), on, "left_semi").select(*COORDINATES, "event_name", "bucket")

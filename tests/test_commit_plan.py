@@ -1,0 +1,46 @@
+"""The chunked commit plan against the rule followed message by message."""
+
+import random
+
+import pytest
+
+from evlake.operators.commit_plan import commit_plan
+
+SCHEMA = "kafka_topic string, kafka_partition int, kafka_offset long, record_index int"
+
+
+def one_by_one(sizes, bound):
+    """Commits as (first offset, last offset, rows)."""
+    made, waiting, first = [], 0, None
+    for offset, n in sizes:
+        first = offset if first is None else first
+        waiting, last = waiting + n, offset
+        if waiting >= bound:
+            made.append((first, last, waiting))
+            waiting, first = 0, None
+    if waiting:
+        made.append((first, last, waiting))
+    return made
+
+
+@pytest.mark.parametrize("seed,bound,chunk,span", [(1, 5, 7, 3), (2, 25, 50, 2), (3, 1, 10, 100), (4, 40, 3, 2)])
+def test_against_the_rule(spark, seed, bound, chunk, span):
+    rng = random.Random(seed)
+    rows, expected = [], set()
+    for partition in range(3):
+        offsets = sorted(rng.sample(range(900), 300))
+        sizes = [(o, rng.choice([1, 1, 1, 2, 3, 60])) for o in offsets]
+        rows += [("t", partition, o, i) for o, n in sizes for i in range(n)]
+        expected |= {(partition, i, *c) for i, c in enumerate(one_by_one(sizes, bound))}
+    rng.shuffle(rows)
+    plan = commit_plan(spark.createDataFrame(rows, SCHEMA), bound, chunk, span).collect()
+    got = {(r.kafka_partition, r.commit, r.first_offset, r.last_offset, r.added) for r in plan}
+    assert got == expected
+
+
+def test_documented_sizes(spark):
+    rows = [("t", 0, o, 0) for o in range(40)]
+    plan = commit_plan(spark.createDataFrame(rows, SCHEMA), 25).orderBy("commit").collect()
+    assert [r.added for r in plan] == [25, 15]
+    whole = spark.createDataFrame([("t", 0, 0, i) for i in range(3)], SCHEMA)
+    assert [r.added for r in commit_plan(whole, 2).collect()] == [3]

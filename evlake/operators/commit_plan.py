@@ -117,7 +117,12 @@ def _plan(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
 
 
 def message_commits(rows: DataFrame, size: int, chunk: int = CHUNK, span: int = SPAN) -> DataFrame:
-    """Commit number of every message: topic, partition, offset, ``n``, ``commit``."""
+    """Commit number of every message: topic, partition, offset, ``n``, ``commit``.
+
+    An outcome table has ``size`` entries, so large commits get larger chunks and
+    shorter spans; meant for commits of up to some ten thousand rows.
+    """
+    chunk, span = max(chunk, size // 4), max(2, min(span, 10_000_000 // size))
     messages = (
         rows.groupBy(*_PARTITION, "kafka_offset")
         .agg(F.count("*").alias("n"))

@@ -33,7 +33,8 @@ def topic(spark: SparkSession, sf_dir: str) -> FileTopic:
 
     def make() -> FileTopic:
         made = FileTopic(new_folder(spark, "topic"))
-        made.publish(notifications(events(spark, sf_dir)))
+        # Spread like a topic's messages are, whatever files the events came in.
+        made.publish(notifications(events(spark, sf_dir)).repartition("partition", "offset"))
         return made
 
     return _once(spark, "topic", sf_dir, make)
@@ -64,7 +65,8 @@ def table(spark: SparkSession, sf_dir: str) -> ParquetTable:
         source, start = rows(spark, sf_dir), utc(1970, 1, 1)
         for batch, end in enumerate(COMMIT_TIMES):
             time = F.col("ingest_time")
-            made.append(source.where((time >= F.lit(start)) & (time < F.lit(end))), "load", batch, end)
+            period = source.where((time >= F.lit(start)) & (time < F.lit(end)))
+            made.append(period, "load", batch, end, gather_days=True)
             start = end
         return made
 

@@ -527,7 +527,7 @@ def ext2(spark, sf_dir):
     table.append(rows.where("kafka_partition < 2"), "load", 0)
     table.append(rows.where("kafka_partition >= 2"), "load", 1)
     day = dt.date(2024, 1, 3)
-    table.compact(day, 1, "compaction")
+    table.compact(day, 1)
     files = table.files().groupBy(DAY).agg(F.sum("record_count").alias("n_rows"), F.count("*").alias("files"))
     return files.select(
         DAY, "n_rows", F.when(F.col(DAY) == F.lit(day), F.col("files") == 1).alias("one_file")

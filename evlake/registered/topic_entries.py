@@ -69,15 +69,20 @@ def snk5(spark, sf_dir):
     )
 
 
-@query("snk6_generator")
+@query(
+    "snk6_generator",
+    """WITH g AS (SELECT event_id AS id, event_id % 7 AS pick,
+        CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 7) AS BIGINT) % 1000 < 200 AS awkward FROM events)
+    SELECT id % 4 AS kafka_partition, id // 4 AS kafka_offset, CAST(i AS INTEGER) AS record_index,
+      CASE WHEN awkward AND pick = 4 THEN 's3:TestEvent' WHEN awkward AND pick IN (5, 6) THEN NULL
+        ELSE 's3:ObjectCreated:Put' END AS event_name,
+      CASE WHEN NOT awkward OR pick < 4 THEN CASE WHEN awkward AND pick = 0 THEN NULL ELSE 1 + id % 5000000 END END AS object_size
+    FROM g, (VALUES (0), (1)) AS v(i) WHERE i = 0 OR (awkward AND pick = 2)""",
+)
 def snk6(spark, sf_dir):
-    """Messages generated for the event ids, and what they flatten to."""
+    """Messages generated for the event ids, one in five awkward, flattened."""
     made = generated(inputs.events(spark, sf_dir).select(F.col("event_id").alias("id")))
-    return (
-        flatten(decode(made), F.col("timestamp"))
-        .groupBy("event_name", F.col("object_size").isNull().alias("no_size"))
-        .agg(F.count("*").alias("n_rows"))
-    )
+    return flatten(decode(made), F.col("timestamp")).select(*COORDINATES, "event_name", "object_size")
 
 
 # -- decoding -----------------------------------------------------------------

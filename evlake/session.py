@@ -15,6 +15,9 @@ SETTINGS = {
 }
 
 
+_local_folders: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
@@ -25,14 +28,16 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
     Only a local session may go without the setting; it then gets a temporary
-    folder, which is remembered on the session.
+    folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="evlake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="evlake-")
+        folder = _local_folders[context.applicationId]
     return folder.rstrip("/")
 
 

@@ -58,6 +58,7 @@ PAYLOADS = {
     19: f"""{_full()} || ' ' || {_full()}""",
     20: f"""'{{"Records":[{{"s3":{{}},' || substr({_full(s3="S3")}, 2) || ']}}'""",
 }
+# Shapes from 21 on.
 WELL_FORMED = f"""'{{"Records":[' || {_full()} || ']}}'"""
 
 #: Shape 8 carries no value at all; in shape 16 the '?' becomes a stray byte.
@@ -114,14 +115,16 @@ def notifications(events: DataFrame) -> DataFrame:
     )
 
 
-def generated(ids: DataFrame, awkward_ratio: float = 0.2) -> DataFrame:
+def generated(ids: DataFrame, awkward_ratio: float = 0.2, seed: str = "") -> DataFrame:
     """Test messages for a table with an ``id`` column.
 
-    The share ``awkward_ratio`` of the ids, spread by a hash, gets one of the
-    seven awkward shapes in turn; all others are well formed.
+    The share ``awkward_ratio`` of the ids, spread by a hash that ``seed``
+    varies, gets one of the seven awkward shapes in turn; all others are well
+    formed.
     """
     awkward = [4, 5, 0, 6, 2, 1, 3]
-    slot = F.pmod(F.xxhash64("id"), F.lit(1000))
+    digits = F.substring(F.md5(F.concat(F.lit(seed), F.col("id").cast("string"))), 1, 7)
+    slot = F.conv(digits, 16, 10).cast("bigint") % 1000
     shape = F.when(
         slot < int(awkward_ratio * 1000),
         F.element_at(F.array(*[F.lit(s) for s in awkward]), (F.pmod("id", F.lit(7)) + 1).cast("int")),

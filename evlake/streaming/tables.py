@@ -10,6 +10,7 @@ to be on the class path.
 
 import datetime as dt
 import re
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,9 @@ LEDGER = T.StructType(
     ]
 )
 _PLACE = ["data_run", "data_batch", "day"]
+
+#: A ledger of up to this many live folders (some 50 MB) is broadcast to the scan.
+MAX_BROADCAST_FOLDERS = 500_000
 _FOLDERS = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -103,7 +107,8 @@ class ParquetTable:
         stay readable; no file is deleted."""
         check_name(self.namespace, self.name)
         if confirm:
-            self._commit("reset", 0, "delete", None, None, self.live())
+            # A name of its own: a commit must not overwrite what it reads.
+            self._commit(f"reset-{uuid.uuid4().hex}", 0, "delete", None, None, self.live())
         return confirm
 
     # -- writing ------------------------------------------------------------
@@ -116,13 +121,19 @@ class ParquetTable:
         committed_at: dt.datetime | None = None,
         operation: str = "append",
         replaces: DataFrame | None = None,
+        gather_days: bool = False,
     ) -> None:
         """Write one commit. Repeating a (run, batch) replaces the first try.
 
+        Rows are written where they are. For a load spanning many days
+        ``gather_days`` brings each day together first, so that not every task
+        writes a file per day; adaptive execution splits a day that is too big.
         ``replaces`` are ledger rows the commit withdraws, see :meth:`compact`.
         """
         folder = f"{self.path}/data/run_id={run_id}/batch_id={batch_id}"
         dated = conform(rows, self.schema).withColumn(DAY, utc_day(F.col("ingest_time")))
+        if gather_days and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
+            dated = dated.hint("rebalance", DAY)
         dated.write.mode("overwrite").partitionBy(DAY).parquet(folder)
         self._commit(run_id, batch_id, operation, folder, committed_at, replaces)
 
@@ -164,7 +175,7 @@ class ParquetTable:
         target = f"{self.path}/metadata/commits/run={run_id}/batch={batch_id}"
         entry.coalesce(1).write.mode("overwrite").parquet(target)
 
-    def compact(self, day: dt.date, files: int, run_id: str, committed_at=None) -> None:
+    def compact(self, day: dt.date, files: int, committed_at: dt.datetime | None = None) -> None:
         """Rewrite one day into ``files`` files of equal size.
 
         A commit that lands meanwhile is not touched: exactly the folders read
@@ -172,6 +183,7 @@ class ParquetTable:
         """
         old = self.live().where(F.col("day") == F.lit(day))
         rows = self._rows(old).where(F.col(DAY) == F.lit(day)).drop(DAY)
+        run_id = f"compaction-{uuid.uuid4().hex}"
         self.append(rows.repartition(files), run_id, 0, committed_at, "replace", old)
 
     # -- reading ------------------------------------------------------------
@@ -200,14 +212,24 @@ class ParquetTable:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             data = self.spark.createDataFrame([], shape)
+        return self._only_live(data, live).select(*[f.name for f in fields], DAY)
+
+    def _only_live(self, data: DataFrame, live: DataFrame) -> DataFrame:
+        """Data in the folders the ledger lists.
+
+        A semi join on the partition columns. With a ledger of checked size it is
+        a broadcast, which also prunes the folders before the scan and moves no
+        data. Beyond that Spark joins as it sees fit: same rows, slower, and a
+        sign that the table wants compacting.
+        """
         places = live.select(
             F.col("data_run").alias("run_id"),
             F.col("data_batch").alias("batch_id"),
             F.col("day").alias(DAY),
         )
-        # A semi join on the partition columns: Spark prunes the folders with it.
-        kept = data.join(places, ["run_id", "batch_id", DAY], "left_semi")
-        return kept.select(*[f.name for f in fields], DAY)
+        if places.limit(MAX_BROADCAST_FOLDERS + 1).count() <= MAX_BROADCAST_FOLDERS:
+            places = F.broadcast(places)
+        return data.join(places, ["run_id", "batch_id", DAY], "left_semi")
 
     def read(self, version: int | None = None, at: dt.datetime | None = None, with_day=False) -> DataFrame:
         """The table now, after the commit ``version``, or as of the time ``at``."""
@@ -242,19 +264,10 @@ class ParquetTable:
 
     def files(self) -> DataFrame:
         """Path, day and row count of every live data file (footers only)."""
-        live = self._rows_with_path()
-        return live.groupBy("file_path", DAY).agg(F.count("*").alias("record_count"))
-
-    def _rows_with_path(self) -> DataFrame:
         data = self.spark.read.schema(_FOLDERS).parquet(f"{self.path}/data")
-        places = self.live().select(
-            F.col("data_run").alias("run_id"),
-            F.col("data_batch").alias("batch_id"),
-            F.col("day").alias(DAY),
-        )
-        return data.withColumn("file_path", F.col("_metadata.file_path")).join(
-            places, ["run_id", "batch_id", DAY], "left_semi"
-        )
+        named = data.withColumn("file_path", F.col("_metadata.file_path"))
+        live = self._only_live(named, self.live())
+        return live.groupBy("file_path", DAY).agg(F.count("*").alias("record_count"))
 
     def manifests(self) -> DataFrame:
         """The ledger files, this table's counterpart of a manifest list."""

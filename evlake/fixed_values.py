@@ -25,7 +25,6 @@ FLUSH_INTERVAL_SECONDS = 10.0
 MAX_WRITE_ATTEMPTS = 5
 RETRY_BASE_SECONDS = 5.0
 RETRY_CAP_SECONDS = 60.0
-BACKLOG_BATCHES = 10
 
 # Progress report: samples kept, objects and commits shown, scale stops.
 HISTORY_SAMPLES = 72

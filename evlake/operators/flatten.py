@@ -28,7 +28,8 @@ def _built_once(build: Callable):
     built = {}
 
     def get():
-        session = SparkContext.getOrCreate().applicationId
+        context = SparkContext._active_spark_context
+        session = context.applicationId if context else None
         if session not in built:
             built.clear()
             built[session] = build()

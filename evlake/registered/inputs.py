@@ -20,6 +20,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return configure(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+
+
 def _once(spark: SparkSession, what: str, sf_dir: str, make):
     """Written inputs are made once per session and data folder."""
     key = (spark.sparkContext.applicationId, what, sf_dir)

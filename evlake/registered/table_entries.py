@@ -19,7 +19,9 @@ from evlake.registered.oracle_parts import DAMAGED, MESSAGES, REPLAYED, ROWS, SH
 from evlake.registered.topic_entries import ALL_COLUMNS, COORDINATES, all_columns
 from evlake.schema import DAY, EVENTS
 from evlake.session import new_folder
+from evlake.sources.contents import object_records
 from evlake.sources.notifications import notifications
+from evlake.sources.objects import list_objects
 from evlake.sources.topic import FileTopic
 from evlake.streaming.ingest import Ingest, Retry, Sink, quarantine_sink
 from evlake.streaming.tables import ParquetTable
@@ -532,3 +534,33 @@ def ext2(spark, sf_dir):
     return files.select(
         DAY, "n_rows", F.when(F.col(DAY) == F.lit(day), F.col("files") == 1).alias("one_file")
     )
+
+
+def _notified(spark, store, keep):
+    """Table rows for notifications about the objects below ``store`` that pass ``keep``."""
+    found = list_objects(spark, store, ".json").where(keep)
+    key = F.substring_index("path", "/chats/", -1)
+    value = F.concat(
+        F.lit('{"Records":[{"eventName":"s3:ObjectCreated:Put","s3":{"bucket":{"name":"chats"},"object":{"key":"'),
+        F.url_encode(key), F.lit('"}}}]}'),
+    )
+    messages = found.select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.xxhash64("path").alias("offset"),
+        value.cast("binary").alias("value"), F.col("modificationTime").alias("timestamp"),
+    )
+    return flatten(decode(messages), sent())
+
+
+@query(
+    "ext3_object_contents",
+    "SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations WHERE role <> 'system'",
+)
+def ext3(spark, sf_dir):
+    """Conversations stored as JSON objects, those read that an event told of (twice)."""
+    store = new_folder(spark, "store")
+    chats = inputs.conversations(spark, sf_dir)
+    chats.withColumn("by", F.col("role")).write.partitionBy("by").json(f"{store}/chats")
+    rows = _notified(spark, store, ~F.col("path").contains("by=system"))
+    records = object_records(spark, rows.unionAll(rows), store, store, ".json")
+    fields = F.from_json("record", "conv_id bigint, turn bigint, role string, text string")
+    return records.select(fields.alias("r")).select("r.conv_id", "r.turn", "r.role", F.md5("r.text").alias("text_md5"))

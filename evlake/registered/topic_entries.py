@@ -150,14 +150,16 @@ def flt2(spark, sf_dir):
     return found.select("partition", "offset", "origin", F.size("records").alias("n_records"))
 
 
-@query("flt3_empty_list", f"{ROWS} SELECT {SHOWN}, event_name, bucket FROM r WHERE shape = 1")
+@query("flt3_empty_list", f"{ROWS} SELECT {SHOWN}, true AS no_fields FROM r WHERE shape = 1")
 def flt3(spark, sf_dir):
-    """Rows standing for an empty record list."""
-    decoded = decode(inputs.messages(spark, sf_dir))
-    empty = unnest(decoded).where("origin = 'empty list'").select("partition", "offset")
-    rows = inputs.rows(spark, sf_dir).alias("r")
-    on = (F.col("r.kafka_partition") == F.col("e.partition")) & (F.col("r.kafka_offset") == F.col("e.offset"))
-    return rows.join(empty.alias("e"), on, "left_semi").select(*COORDINATES, "event_name", "bucket")
+    """The one row an empty record list stands for."""
+    found = unnest(decode(inputs.messages(spark, sf_dir))).where("origin = 'empty list'")
+    return found.select(
+        F.col("partition").alias("kafka_partition"),
+        F.col("offset").alias("kafka_offset"),
+        "record_index",
+        F.col("record").isNull().alias("no_fields"),
+    )
 
 
 @query(

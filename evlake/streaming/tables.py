@@ -322,8 +322,14 @@ class IcebergTable:
         return confirm
 
     def append(self, rows: DataFrame, run_id: str, batch_id: int) -> None:
+        """One snapshot, marked with its batch; a batch already there is not repeated."""
         self.spark.catalog.refreshTable(self.identifier)
-        conform(rows, self.schema).writeTo(self.identifier).append()
+        mark = f"{run_id}/{batch_id}"
+        known = self.spark.table(f"{self.identifier}.snapshots")
+        if not known.where(F.col("summary")["evlake.batch"] == mark).isEmpty():
+            return
+        writer = conform(rows, self.schema).writeTo(self.identifier)
+        writer.option("snapshot-property.evlake.batch", mark).append()
 
     def read(self, version: int | None = None, at: dt.datetime | None = None) -> DataFrame:
         reader = self.spark.read

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 
 DATA = os.environ.get("EVLAKE_TEST_DATA", "/root/testdata/sf0.001")
-TABLES = "events documents pages".split()
+TABLES = "events documents pages conversations".split()
 
 pytestmark = pytest.mark.skipif(not os.path.exists(DATA), reason="no test data")
 

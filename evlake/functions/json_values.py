@@ -10,6 +10,7 @@ lookup per field.
 """
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -103,14 +104,29 @@ def whole_value(value: Column) -> Column:
     )
 
 
+def _first(obj: Column, names: list[str], read: Callable[[Column], Column]) -> Column:
+    """First non-null reading among the struct fields ``names``.
+
+    An object rarely has two spellings of one field, so the general case sits in
+    a branch of its own: reading every spelling in place makes generated code so
+    long that the JVM leaves it uncompiled.
+    """
+    values = [member(obj, n) for n in names]
+    present = sum((v.isNotNull().cast("int") for v in values), F.lit(0))
+    readings = F.transform(F.array(*values), read)
+    return F.when(present < 2, read(F.coalesce(*values))).otherwise(
+        F.get(F.array_compact(readings), F.lit(0))
+    )
+
+
 def first_text(obj: Column, names: list[str]) -> Column:
     """First usable text among struct fields ``names``."""
-    return F.coalesce(*[text_value(member(obj, n)) for n in names])
+    return _first(obj, names, text_value)
 
 
 def first_whole(obj: Column, names: list[str]) -> Column:
     """First usable integer among struct fields ``names``."""
-    return F.coalesce(*[whole_value(member(obj, n)) for n in names])
+    return _first(obj, names, whole_value)
 
 
 def is_empty(value: Column) -> Column:

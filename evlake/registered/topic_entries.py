@@ -11,7 +11,7 @@ from evlake.registered.oracle_parts import MESSAGES, PAYLOADS, ROWS, ROWS_RAW, S
 from evlake.session import new_folder
 from evlake.sources import objects
 from evlake.sources.notifications import generated
-from evlake.sources.topic import FileTopic, from_offsets, next_offsets
+from evlake.sources.topic import from_offsets, next_offsets
 
 COORDINATES = ["kafka_partition", "kafka_offset", "record_index"]
 

@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from evlake import fixed_values as fixed
 from evlake.operators.decode import decode, quarantine

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from evlake.llm.common import table
 from evlake.llm.exact_dedup import exact_duplicates
+from evlake.llm.near_dedup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +33,33 @@ def query(name: str, sql: str | None = None):
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op6_minhash_near_dedup",
+    """
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (
+      SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4
+             THEN [array_to_string(ws, ' ')]
+             ELSE [array_to_string(ws[i:i+3], ' ') FOR i IN range(1, len(ws) - 2)] END)) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+      FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (
+      SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * k >= 80 * (x.n + y.n - k)),
+    e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+    r AS (SELECT a AS node, a AS reach FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.reach),
+    c AS (SELECT node, min(reach) AS root FROM r GROUP BY node)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.root, d.doc_id) AS component_id,
+           d.doc_id = coalesce(c.root, d.doc_id) AS kept
+    FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = d.doc_id
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

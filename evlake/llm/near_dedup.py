@@ -21,10 +21,11 @@ another text are documents of their own. An empty table gives an empty result.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evlake.llm.arrays import sets_of, shingles_of, slices, texts_of, words_of
@@ -36,7 +37,7 @@ BRANCHES = 2
 #: Minwise tokens of a signature.
 TOKENS = 24
 #: Nodes of up to so many sets are compared exhaustively.
-SMALL_NODE = 32
+SMALL_NODE = 512
 #: A pair at the threshold agrees in fewer tokens with probability 2e-6.
 LEAST_AGREEING = 10
 
@@ -77,6 +78,7 @@ def _sketches(shingle_words: int):
 
 SKETCH = "row_id long, row_hash long, row_bytes long, n_shingles long, fp1 long, fp2 long, tokens array<int>"
 CLASS = ["fp1", "fp2", "n_shingles"]
+SET = ["node", "n_shingles", "tokens"]
 
 
 def _confirm(shingle_words: int, percent: int):
@@ -100,69 +102,84 @@ def _confirm(shingle_words: int, percent: int):
     return run
 
 
+def _alike(sizes: tuple, tokens: tuple, percent: int) -> Column:
+    """Whether two sets' sizes and signatures allow the similarity asked for."""
+    same = F.aggregate(F.zip_with(*tokens, lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
+    return (F.least(*sizes) * 100 >= F.greatest(*sizes) * percent) & (same >= LEAST_AGREEING)
+
+
+def _exhaustive(percent: int):
+    """Plausible pairs, between groups not yet linked, of every small node's sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("sets")
+            fields = lists.values
+            node, root, size = (fields.field(c).to_numpy() for c in ("node", "root", "n_shingles"))
+            tokens = fields.field("tokens").values.to_numpy().reshape(-1, TOKENS)
+            first = lists.offsets.to_numpy()
+            pairs = []
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                for i in range(a, b - 1):
+                    rest = slice(i + 1, b)
+                    ok = (tokens[i] == tokens[rest]).sum(1) >= LEAST_AGREEING
+                    ok &= root[i] != root[rest]
+                    ok &= np.minimum(size[i], size[rest]) * 100 >= np.maximum(size[i], size[rest]) * percent
+                    other = node[rest][ok]
+                    if len(other):
+                        pairs.append(np.stack((np.minimum(node[i], other), np.maximum(node[i], other))))
+            if pairs:
+                found = np.unique(np.concatenate(pairs, 1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+
+    return run
+
+
 class _Join:
     """State of one run: the classes, the texts fetched so far and the links found."""
 
     def __init__(self, texts: DataFrame, classes: DataFrame, shingle_words: int, percent: int):
         self.texts, self.classes = texts, classes
-        self.shingle_words, self.percent = shingle_words, percent
+        self.confirm = _confirm(shingle_words, percent)
         self.fetched: list[DataFrame] = []
         self.links: list[DataFrame] = []
-
-    def _plausible(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and signatures allow the similarity asked for."""
-        total = pairs.count()
-        own = self.classes.select("node", "n_shingles", "tokens")
-        many = pairs.groupBy("a").agg(F.count("*").alias("n")).join(own.withColumnRenamed("node", "a"), "a")
-        a = with_lookup(pairs, many, ["a"], "n", total).withColumnsRenamed({"n_shingles": "n_a", "tokens": "tokens_a"})
-        both = a.join(own.withColumnRenamed("node", "b"), "b")
-        alike = F.aggregate(
-            F.zip_with("tokens_a", "tokens", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y
-        )
-        sizes = F.least("n_a", "n_shingles") * 100 >= F.greatest("n_a", "n_shingles") * self.percent
-        return both.where(sizes).where(alike >= LEAST_AGREEING).select("a", "b")
+        self.roots: DataFrame | None = None
 
     def _fetch(self, pairs: DataFrame) -> DataFrame:
         """Texts of the classes in ``pairs``; each is fetched once in a run."""
         need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         for have in self.fetched:
             need = need.join(have.select("node"), "node", "left_anti")
-        keyed = need.join(self.classes.select("node", *KEY), "node")
+        # Stored, so that its size is known when the join is planned.
+        keyed = stored(need.join(self.classes.select("node", *KEY), "node"), "wanted")
         # Rows repeated in full have one key, and any of them will do.
         own = self.texts.join(keyed, KEY).select("node", "text").dropDuplicates(["node"])
         self.fetched.append(stored(own, "pair-texts"))
-        every = self.fetched[0]
-        for have in self.fetched[1:]:
-            every = every.unionByName(have)
-        return every
-
-    def compare(self, candidates: DataFrame) -> bool:
-        """Add the similar ones among candidate pairs (a, b) to the links."""
-        candidates = stored(candidates, "candidates")
-        pairs = stored(self._plausible(candidates), "pairs")
-        drop_stored(candidates)
+        return reduce(DataFrame.unionByName, self.fetched)
+
+    def compare(self, candidates: DataFrame) -> None:
+        """Confirm candidate pairs (a, b); the similar ones join their groups."""
+        pairs = stored(candidates, "pairs")
         if pairs.isEmpty():
-            return False
+            return
         texts = self._fetch(pairs)
         # Plain joins of stored tables, so that adaptive execution can split the
         # partition of a pivot with very many partners.
         with_b = pairs.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
         both = with_b.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
-        found = stored(both.mapInArrow(_confirm(self.shingle_words, self.percent), "a long, b long"), "links")
+        found = stored(both.mapInArrow(self.confirm, "a long, b long"), "links")
         if found.isEmpty():
-            return False
-        self.links.append(found)
-        return True
+            return
+        # The links before are known by their roots.
+        self.links = [*self.links[-1:], found]
+        self.roots = stored(components(reduce(DataFrame.unionByName, self.links)), "roots")
+        self.links.append(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
-    def roots(self) -> DataFrame:
-        """node and root of every linked class."""
-        every = self.links[0]
-        for more in self.links[1:]:
-            every = every.unionByName(more)
-        found = stored(components(every), "roots")
-        # The links are now known by their roots.
-        self.links = [found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b")]
-        return found
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """Rows with the root of their node's group so far."""
+        if self.roots is None:
+            return rows.withColumn("root", F.col("node"))
+        return rows.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def _branch(rows: DataFrame, level: int) -> DataFrame:
@@ -171,7 +188,7 @@ def _branch(rows: DataFrame, level: int) -> DataFrame:
         F.pmod(F.xxhash64(F.col("path"), F.lit(level), F.lit(i)), F.lit(TOKENS)).cast("int") for i in range(BRANCHES)
     ]
     children = F.array(*[F.xxhash64("path", F.lit(i), p, F.element_at("tokens", p + 1)) for i, p in enumerate(places)])
-    return rows.select("node", F.explode(children).alias("path"))
+    return rows.select(*SET, F.explode(children).alias("path"))
 
 
 def _classes(sketches: DataFrame) -> DataFrame:
@@ -215,44 +232,40 @@ def near_duplicates(
 
     # Level 1: each tree's root is the same for all sets.
     roots = F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)]))
-    rows, level, roots_known = classes.select("node", "tokens", roots.alias("path")), 1, None
-    while True:
-        rows = stored(_branch(rows, level), "branches")
-        total = rows.count()
+    rows, level, total = classes.select(*SET, roots.alias("path")), 1, classes.count() * TREES
+    while total:
+        rows, total = _branch(rows, level), total * BRANCHES
+        # At first the smallest id, often the same in all trees, later another each time.
         pivot = F.min("node") if level == 1 else F.min_by("node", F.xxhash64("path", "node"))
         sizes = rows.groupBy("path").agg(F.count("*").alias("size"), pivot.alias("pivot")).where("size > 1")
-        sizes = stored(sizes, "sizes")
-        live = stored(with_lookup(rows, sizes.withColumn("n", F.col("size")), ["path"], "n", total), "live")
-        drop_stored(rows)
-        if live.isEmpty():
-            break
-        stars = live.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        if join.compare(stars):
-            roots_known = join.roots()
+        pivots = classes.select(
+            F.col("node").alias("pivot"), F.col("n_shingles").alias("pivot_n"), F.col("tokens").alias("pivot_tokens")
+        )
+        sizes = stored(sizes.join(pivots, "pivot").withColumn("n", F.col("size")), "sizes")
+        alike = _alike(("n_shingles", "pivot_n"), ("tokens", "pivot_tokens"), percent)
+        live = with_lookup(rows, sizes, ["path"], "n", total)
+        live = stored(live.select("path", "size", "pivot", *SET, alike.alias("alike")), "live")
+        stars = live.where("alike and node <> pivot")
+        join.compare(stars.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct())
         # Only nodes with sets of more than one group are of further interest.
-        placed = live.withColumn("root", F.col("node"))
-        if roots_known is not None:
-            placed = (
-                live.join(roots_known, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            )
-        placed = stored(placed.select("path", "node", "root", "size"), "placed")
-        mixed = placed.groupBy("path").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-        mixed = mixed.where("low <> high").select("path", "n")
-        left = stored(with_lookup(placed, mixed, ["path"], "n", total), "mixed")
+        placed = stored(join.placed(live).select("path", "size", "root", *SET), "placed")
         drop_stored(live)
-        drop_stored(placed)
-        small = left.where(F.col("size") <= SMALL_NODE)
-        members = small.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("node", "root"))).alias("m"))
-        one = members.select("m", F.explode("m").alias("x"))
-        two = one.select("x", F.explode(F.filter("m", lambda y: (y["node"] > F.col("x.node")) & (y["root"] != F.col("x.root")))).alias("y"))
-        if join.compare(two.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()):
-            roots_known = join.roots()
-        large = left.where(F.col("size") > SMALL_NODE)
-        if large.isEmpty():
+        several = F.min("root") != F.max("root")
+        members = placed.where(F.col("size") <= SMALL_NODE).groupBy("path").agg(
+            F.collect_list(F.struct("root", *SET)).alias("sets"), several.alias("several")
+        )
+        pairs = members.where("several").select("sets").mapInArrow(_exhaustive(percent), "a long, b long")
+        join.compare(pairs.distinct())
+        large = placed.where(F.col("size") > SMALL_NODE)
+        mixed = large.groupBy("path").agg(F.count("*").alias("n"), several.alias("several")).where("several")
+        mixed = stored(mixed.select("path", "n"), "mixed")
+        if mixed.isEmpty():
             break
-        rows, level = large.join(classes.select("node", "tokens"), "node").select("node", "tokens", "path"), level + 1
+        rows = stored(with_lookup(large, mixed, ["path"], "n", large.count()).select("path", *SET), "rows")
+        drop_stored(placed)
+        level, total = level + 1, rows.count()
 
-    return _placed(sketches, classes, roots_known)
+    return _placed(sketches, classes, join.roots)
 
 
 def _placed(sketches: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:

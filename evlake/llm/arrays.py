@@ -81,9 +81,15 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(a, b - a)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, hashed: bool = True) -> Words:
+#: Bytes of letters: a-z, and everything beyond ASCII.
+LETTERS = np.zeros(256, bool)
+LETTERS[97:123] = LETTERS[128:] = True
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, made_of: np.ndarray = _INSIDE) -> Words:
+    """The words, runs of bytes that ``made_of`` marks."""
     low = _LOWER[data]
-    inside = _INSIDE[low]
+    inside = made_of[low]
     before, after = np.zeros_like(inside), np.zeros_like(inside)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     some = offsets[:-1] < offsets[1:]
@@ -91,7 +97,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, hashed: bool = True) -> Word
     after[offsets[1:][some] - 1] = False
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
     hashes = np.zeros(0, np.uint64)
-    if hashed and len(starts):
+    if len(starts):
         sums = np.zeros(len(low) + 1, np.uint64)
         # Sum of byte * base^position; a difference of two sums times base^-start is
         # the word's own polynomial, wherever it stands.

@@ -5,8 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from evlake.llm.common import table
+from evlake.llm.decontaminate import leaks
 from evlake.llm.exact_dedup import exact_duplicates
 from evlake.llm.near_dedup import near_duplicates
+from evlake.llm.toxicity import fit, scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +65,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_benchmark_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Labels in the order of the chain; the last decides.
+CHAIN = ["quality", "toxic"]
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents rejected as toxic, with their probabilities."""
+    docs = table(spark, sf_dir, "documents")
+    return scores(docs, fit(docs, table(spark, sf_dir, "labels"), CHAIN)).where("rejected")

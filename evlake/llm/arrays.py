@@ -54,6 +54,12 @@ class Words:
     ends: np.ndarray
     hashes: np.ndarray
     first: np.ndarray
+    sums: np.ndarray
+
+    def heads(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words longer than ``size`` bytes, and the hashes of their first bytes."""
+        which = np.flatnonzero(self.ends - self.starts > size)
+        return which, _hashed(self.sums, self.starts[which], self.starts[which] + size, size)
 
     def text(self, i: int) -> str:
         return self.data[self.starts[i] : self.ends[i]].tobytes().decode("utf-8", "replace")
@@ -96,15 +102,17 @@ def words_of(data: np.ndarray, offsets: np.ndarray, made_of: np.ndarray = _INSID
     before[offsets[:-1][some]] = False
     after[offsets[1:][some] - 1] = False
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    hashes = np.zeros(0, np.uint64)
-    if len(starts):
-        sums = np.zeros(len(low) + 1, np.uint64)
-        # Sum of byte * base^position; a difference of two sums times base^-start is
-        # the word's own polynomial, wherever it stands.
-        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _power_table(_ODD, len(low)), out=sums[1:])
-        own = (sums[ends] - sums[starts]) * _power_table(_ODD_INVERSE, len(low) + 1)[starts]
-        hashes = mix(own + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return Words(low, starts, ends, hashes, np.searchsorted(starts, offsets))
+    sums = np.zeros(len(low) + 1, np.uint64)
+    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _power_table(_ODD, len(low)), out=sums[1:])
+    return Words(low, starts, ends, _hashed(sums, starts, ends), np.searchsorted(starts, offsets), sums)
+
+
+def _hashed(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """Hashes of byte ranges. ``sums`` adds up byte * base^position; a difference of two
+    sums times base^-start is the range's own polynomial, wherever it stands."""
+    own = (sums[ends] - sums[starts]) * _power_table(_ODD_INVERSE, len(sums))[starts]
+    length = (ends - starts).astype(np.uint64) + np.uint64(salt << 32)
+    return mix(own + length * np.uint64(0xD6E8FEB86659FD93))
 
 
 def shingles_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,8 +10,8 @@ The models are fitted on at most ``SAMPLE`` labelled rows, the first by a hash o
 their ids: a bound whatever the number of labels, documented here as a parameter.
 Their texts are found with a broadcast of these ids. Scoring reads every text in whole
 and shuffles nothing; features are whether and how often a word occurs, for the
-``FEATURES`` words that tell the labels apart best. Words are runs of letters, A-Z as
-a-z.
+``FEATURES`` words and word beginnings that tell the labels apart best; a beginning
+stands for all inflections of a stem. Words are runs of letters, A-Z as a-z.
 
 Defined results: a null or blank text has no features and gets the models' base
 rates; null labels count as 0; labels of unknown documents are ignored; without any
@@ -30,6 +30,8 @@ from evlake.llm.arrays import LETTERS, slices, texts_of, words_of
 
 SAMPLE = 8192
 FEATURES = 256
+#: Bytes of the word beginnings.
+HEADS = (4, 5, 6)
 FOLDS = 5
 #: A word is a feature only if so many of the sample's rows have it.
 LEAST_ROWS = 5
@@ -37,6 +39,16 @@ RIDGE = 1e-4
 STEPS = 12
 
 
+def _marks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row and hash of every word, and of the beginnings of every longer word."""
+    found = words_of(*texts_of(batch.column("text")), LETTERS)
+    row = np.repeat(np.arange(batch.num_rows), np.diff(found.first))
+    yield row, found.hashes
+    for size in HEADS:
+        which, hashes = found.heads(size)
+        yield row[which], hashes
+
+
 @dataclass
 class Chain:
     """Feature words by hash, and for each label the weights and the constant."""
@@ -47,14 +59,16 @@ class Chain:
     threshold: float = 0.5
 
     def features(self, batch: pa.RecordBatch) -> np.ndarray:
-        found = words_of(*texts_of(batch.column("text")), LETTERS)
         x = np.zeros((batch.num_rows, len(self.words)), np.float32)
-        if len(self.words) and len(found.hashes):
-            at = np.searchsorted(self.words, found.hashes)
+        # Most words are no feature; a table of the hashes' first bits says so at once.
+        maybe = np.zeros(1 << 16, bool)
+        maybe[self.words >> np.uint64(48)] = True
+        for row, hashes in _marks(batch):
+            here = np.flatnonzero(maybe[hashes >> np.uint64(48)])
+            at = np.searchsorted(self.words, hashes[here])
             at[at == len(self.words)] = 0
-            hit = np.flatnonzero(self.words[at] == found.hashes)
-            row = np.searchsorted(found.first, hit, "right") - 1
-            np.add.at(x, (row, at[hit]), 1)
+            hit = self.words[at] == hashes[here] if len(here) else here
+            np.add.at(x, (row[here[hit]], at[hit]), 1)
         return 1 - np.exp2(-x)
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
@@ -94,8 +108,11 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct word hashes of each text, next to the other columns."""
     for whole_batch in batches:
         for batch in slices(whole_batch, "text"):
-            found = words_of(*texts_of(batch.column("text")), LETTERS)
-            own = [np.unique(found.hashes[a:b]).tobytes() for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
+            row, hashes = (np.concatenate(x) for x in zip(*_marks(batch), strict=True))
+            order = np.argsort(row, kind="stable")
+            first = np.searchsorted(row[order], np.arange(batch.num_rows + 1))
+            hashes = hashes[order]
+            own = [np.unique(hashes[a:b]).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
             others = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in others], pa.array(own, pa.binary()), batch.column("text")],

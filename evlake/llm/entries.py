@@ -4,10 +4,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from evlake.llm.common import table
 from evlake.llm.decontaminate import leaks
 from evlake.llm.exact_dedup import exact_duplicates
+from evlake.llm.mixing import mix
 from evlake.llm.near_dedup import near_duplicates
+from evlake.llm.sharding import shards
 from evlake.llm.toxicity import fit, scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +84,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents rejected as toxic, with their probabilities."""
     docs = table(spark, sf_dir, "documents")
     return scores(docs, fit(docs, table(spark, sf_dir, "labels"), CHAIN)).where("rejected")
+
+
+@query("op1_sharding")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"))
+
+
+@query("op2_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

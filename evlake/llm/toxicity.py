@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from evlake.llm.arrays import LETTERS, slices, texts_of, words_of
 
 SAMPLE = 8192
-FEATURES = 256
+FEATURES = 96
 #: Bytes of the word beginnings.
 HEADS = (4, 5, 6)
 FOLDS = 5
 #: A word is a feature only if so many of the sample's rows have it.
 LEAST_ROWS = 5
-RIDGE = 1e-4
+RIDGE = 1e-3
 STEPS = 12
 
 

@@ -10,6 +10,7 @@ from evlake.llm.decontaminate import leaks
 from evlake.llm.exact_dedup import exact_duplicates
 from evlake.llm.mixing import mix
 from evlake.llm.near_dedup import near_duplicates
+from evlake.llm.pii import personal_data
 from evlake.llm.sharding import shards
 from evlake.llm.toxicity import fit, scores
 
@@ -97,6 +98,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_pii")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

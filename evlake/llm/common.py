@@ -47,11 +47,15 @@ def with_lookup(left: DataFrame, right: DataFrame, keys: list[str], rows: str, t
     """Inner join of ``left`` with the rows of ``right``, one per key.
 
     ``rows`` names the column of ``right`` that says how many rows of ``left`` have
-    the key, ``total`` is their sum. Hot keys are looked up in a broadcast table of
-    at most ``HOT_PART`` rows and never shuffled; the others are joined on the key.
+    the key, ``total`` is their sum. Hot keys, if there are any, are looked up in a
+    broadcast table of at most ``HOT_PART`` rows and never shuffled; the others are
+    joined on the key.
     """
+    right = stored(right, "lookup")
     hot = F.col(rows) * HOT_PART > total
     few, many = right.where(hot).drop(rows), right.where(~hot).drop(rows)
+    if few.isEmpty():
+        return left.join(many, keys)
     at_hot = left.join(F.broadcast(few), keys)
     rest = left.join(F.broadcast(few.select(*keys)), keys, "left_anti")
     return at_hot.unionByName(rest.join(many, keys))

@@ -25,11 +25,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evlake.llm.arrays import sets_of, shingles_of, slices, texts_of, words_of
-from evlake.llm.common import KEY, NO_ID, drop_stored, row_key, stored, whole, with_lookup
+from evlake.llm.arrays import mix, sets_of, shingles_of, slices, texts_of, words_of
+from evlake.llm.common import KEY, NO_ID, row_key, stored, whole, with_lookup
 from evlake.llm.components import components
 
 TREES = 6
@@ -38,8 +38,11 @@ BRANCHES = 2
 TOKENS = 24
 #: Nodes of up to so many sets are compared exhaustively.
 SMALL_NODE = 512
-#: A pair at the threshold agrees in fewer tokens with probability 2e-6.
-LEAST_AGREEING = 10
+#: Bins of a sketch: each holds a byte of the least hash that falls into it.
+BINS = 256
+#: Pairs are dropped unconfirmed only if their sketches agree in so many standard
+#: deviations fewer bins than a pair at the threshold (probability 2e-8).
+DEVIATIONS = 5.5
 
 _random = np.random.default_rng(20240607)
 _XOR = _random.integers(0, 2**64, TOKENS, np.uint64)
@@ -59,6 +62,10 @@ def _sketches(shingle_words: int):
                         least = np.minimum.reduceat((hashes ^ _XOR[i]) * _TIMES[i], offsets[some])
                         tokens[some, i] = (least >> np.uint64(17)).astype(np.uint32).view(np.int32)
                 own, offsets = sets_of(hashes, offsets)
+                sketch = np.zeros((batch.num_rows, BINS), np.uint8)
+                row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+                # Sorted by hash, so written backwards the least of a bin stays.
+                sketch[row[::-1], own[::-1] % BINS] = mix(own[::-1]) % 255 + 1
                 if len(some):
                     fp[0, some] = np.add.reduceat(own * (own >> np.uint64(32) | np.uint64(1)), offsets[some])
                     fp[1, some] = np.bitwise_xor.reduceat(own, offsets[some])
@@ -70,15 +77,15 @@ def _sketches(shingle_words: int):
                         pa.array(np.arange(0, TOKENS * batch.num_rows + 1, TOKENS, dtype=np.int32)),
                         pa.array(tokens.reshape(-1)),
                     ),
+                    pa.array([s.tobytes() for s in sketch], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, [*KEY, "n_shingles", "fp1", "fp2", "tokens"])
+                yield pa.RecordBatch.from_arrays(columns, [*KEY, "n_shingles", "fp1", "fp2", "tokens", "sketch"])
 
     return run
 
 
-SKETCH = "row_id long, row_hash long, row_bytes long, n_shingles long, fp1 long, fp2 long, tokens array<int>"
+SKETCH = "row_id long, row_hash long, row_bytes long, n_shingles long, fp1 long, fp2 long, tokens array<int>, sketch binary"
 CLASS = ["fp1", "fp2", "n_shingles"]
-SET = ["node", "n_shingles", "tokens"]
 
 
 def _confirm(shingle_words: int, percent: int):
@@ -102,10 +109,31 @@ def _confirm(shingle_words: int, percent: int):
     return run
 
 
-def _alike(sizes: tuple, tokens: tuple, percent: int) -> Column:
-    """Whether two sets' sizes and signatures allow the similarity asked for."""
-    same = F.aggregate(F.zip_with(*tokens, lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
-    return (F.least(*sizes) * 100 >= F.greatest(*sizes) * percent) & (same >= LEAST_AGREEING)
+def _alike(sizes: tuple, sketches: tuple, percent: int) -> np.ndarray:
+    """Whether sets' sizes and sketches allow the similarity asked for."""
+    one, two = sketches
+    share = percent / 100
+    bins = ((one | two) > 0).sum(-1)
+    same = ((one == two) & (one > 0)).sum(-1)
+    least = share * bins - DEVIATIONS * np.sqrt(share * (1 - share) * bins)
+    return (np.minimum(*sizes) * 100 >= np.maximum(*sizes) * percent) & (same >= least)
+
+
+def _sketch_rows(column: pa.Array) -> np.ndarray:
+    data, offsets = texts_of(column)
+    return data.reshape(len(offsets) - 1, BINS)
+
+
+def _plausible(percent: int):
+    """Keeps the pairs (a, b) that their sizes and sketches leave possible."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+            sketches = [_sketch_rows(batch.column(c)) for c in ("sketch_a", "sketch_b")]
+            yield batch.select(["a", "b"]).filter(pa.array(_alike(sizes, sketches, percent)))
+
+    return run
 
 
 def _exhaustive(percent: int):
@@ -116,17 +144,15 @@ def _exhaustive(percent: int):
             lists = batch.column("sets")
             fields = lists.values
             node, root, size = (fields.field(c).to_numpy() for c in ("node", "root", "n_shingles"))
-            tokens = fields.field("tokens").values.to_numpy().reshape(-1, TOKENS)
+            sketch = _sketch_rows(fields.field("sketch"))
             first = lists.offsets.to_numpy()
             pairs = []
             for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
                 for i in range(a, b - 1):
-                    rest = slice(i + 1, b)
-                    ok = (tokens[i] == tokens[rest]).sum(1) >= LEAST_AGREEING
-                    ok &= root[i] != root[rest]
-                    ok &= np.minimum(size[i], size[rest]) * 100 >= np.maximum(size[i], size[rest]) * percent
-                    other = node[rest][ok]
-                    if len(other):
+                    rest = i + 1 + np.flatnonzero(root[i + 1 : b] != root[i])
+                    rest = rest[_alike((size[i], size[rest]), (sketch[i], sketch[rest]), percent)]
+                    if len(rest):
+                        other = node[rest]
                         pairs.append(np.stack((np.minimum(node[i], other), np.maximum(node[i], other))))
             if pairs:
                 found = np.unique(np.concatenate(pairs, 1), axis=1)
@@ -157,6 +183,16 @@ class _Join:
         self.fetched.append(stored(own, "pair-texts"))
         return reduce(DataFrame.unionByName, self.fetched)
 
+    def plausible(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """Those of the pairs (pivot a, b) that sizes and sketches leave possible."""
+        pairs = stored(pairs, "stars")
+        own = self.classes.select("node", "n_shingles", "sketch")
+        of_a = own.withColumnsRenamed({"node": "a", "n_shingles": "n_a", "sketch": "sketch_a"})
+        pivots = pairs.groupBy("a").agg(F.count("*").alias("n")).join(of_a, "a")
+        known = with_lookup(pairs, pivots, ["a"], "n", pairs.count())
+        both = known.join(own.withColumnsRenamed({"node": "b", "n_shingles": "n_b", "sketch": "sketch_b"}), "b")
+        return both.mapInArrow(_plausible(percent), "a long, b long")
+
     def compare(self, candidates: DataFrame) -> None:
         """Confirm candidate pairs (a, b); the similar ones join their groups."""
         pairs = stored(candidates, "pairs")
@@ -188,7 +224,7 @@ def _branch(rows: DataFrame, level: int) -> DataFrame:
         F.pmod(F.xxhash64(F.col("path"), F.lit(level), F.lit(i)), F.lit(TOKENS)).cast("int") for i in range(BRANCHES)
     ]
     children = F.array(*[F.xxhash64("path", F.lit(i), p, F.element_at("tokens", p + 1)) for i, p in enumerate(places)])
-    return rows.select(*SET, F.explode(children).alias("path"))
+    return rows.select("node", F.explode(children).alias("path"))
 
 
 def _classes(sketches: DataFrame) -> DataFrame:
@@ -201,8 +237,9 @@ def _classes(sketches: DataFrame) -> DataFrame:
             F.min(F.struct(F.col("row_id") == NO_ID, *KEY)).alias("least"),
             F.count("*").alias("members"),
             F.first("tokens").alias("tokens"),
+            F.first("sketch").alias("sketch"),
         )
-        .select(*CLASS, *[f"least.{k}" for k in KEY], "members", "tokens")
+        .select(*CLASS, *[f"least.{k}" for k in KEY], "members", "tokens", "sketch")
     )
     # An id that one set has is its node; where ids are null or repeat it is a hash.
     hashed = -F.shiftrightunsigned(F.xxhash64("fp1", "fp2", "n_shingles"), 1) - 1
@@ -232,37 +269,26 @@ def near_duplicates(
 
     # Level 1: each tree's root is the same for all sets.
     roots = F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)]))
-    rows, level, total = classes.select(*SET, roots.alias("path")), 1, classes.count() * TREES
+    rows, level, total = classes.select("node", "tokens", roots.alias("path")), 1, classes.count() * TREES
+    several = F.min("root") != F.max("root")
     while total:
         rows, total = _branch(rows, level), total * BRANCHES
-        # At first the smallest id, often the same in all trees, later another each time.
+        # At first the smallest node, often the same in all trees, later another each time.
         pivot = F.min("node") if level == 1 else F.min_by("node", F.xxhash64("path", "node"))
         sizes = rows.groupBy("path").agg(F.count("*").alias("size"), pivot.alias("pivot")).where("size > 1")
-        pivots = classes.select(
-            F.col("node").alias("pivot"), F.col("n_shingles").alias("pivot_n"), F.col("tokens").alias("pivot_tokens")
-        )
-        sizes = stored(sizes.join(pivots, "pivot").withColumn("n", F.col("size")), "sizes")
-        alike = _alike(("n_shingles", "pivot_n"), ("tokens", "pivot_tokens"), percent)
-        live = with_lookup(rows, sizes, ["path"], "n", total)
-        live = stored(live.select("path", "size", "pivot", *SET, alike.alias("alike")), "live")
-        stars = live.where("alike and node <> pivot")
-        join.compare(stars.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct())
+        live = stored(with_lookup(rows, sizes.withColumn("n", F.col("size")), ["path"], "n", total), "live")
+        stars = live.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+        join.compare(join.plausible(stars, percent))
         # Only nodes with sets of more than one group are of further interest.
-        placed = stored(join.placed(live).select("path", "size", "root", *SET), "placed")
-        drop_stored(live)
-        several = F.min("root") != F.max("root")
-        members = placed.where(F.col("size") <= SMALL_NODE).groupBy("path").agg(
-            F.collect_list(F.struct("root", *SET)).alias("sets"), several.alias("several")
-        )
-        pairs = members.where("several").select("sets").mapInArrow(_exhaustive(percent), "a long, b long")
+        placed = stored(join.placed(live).select("path", "size", "node", "root"), "placed")
+        mixed = placed.groupBy("path").agg(F.count("*").alias("n"), several.alias("several")).where("several")
+        mixed = stored(with_lookup(placed, mixed.select("path", "n"), ["path"], "n", placed.count()), "mixed")
+        small = mixed.where(F.col("size") <= SMALL_NODE).join(classes.select("node", "n_shingles", "sketch"), "node")
+        sets = F.collect_list(F.struct("node", "root", "n_shingles", "sketch"))
+        pairs = small.groupBy("path").agg(sets.alias("sets")).select("sets").mapInArrow(_exhaustive(percent), "a long, b long")
         join.compare(pairs.distinct())
-        large = placed.where(F.col("size") > SMALL_NODE)
-        mixed = large.groupBy("path").agg(F.count("*").alias("n"), several.alias("several")).where("several")
-        mixed = stored(mixed.select("path", "n"), "mixed")
-        if mixed.isEmpty():
-            break
-        rows = stored(with_lookup(large, mixed, ["path"], "n", large.count()).select("path", *SET), "rows")
-        drop_stored(placed)
+        large = mixed.where(F.col("size") > SMALL_NODE).join(classes.select("node", "tokens"), "node")
+        rows = stored(large.select("node", "tokens", "path"), "rows")
         level, total = level + 1, rows.count()
 
     return _placed(sketches, classes, join.roots)

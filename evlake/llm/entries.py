@@ -9,6 +9,7 @@ from evlake.llm.chat import read_back, windows
 from evlake.llm.common import table
 from evlake.llm.decontaminate import leaks
 from evlake.llm.exact_dedup import exact_duplicates
+from evlake.llm.html_text import extracted
 from evlake.llm.mixing import mix
 from evlake.llm.near_dedup import near_duplicates
 from evlake.llm.pii import personal_data
@@ -112,6 +113,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(windows(rows.unionByName(awkward)))
 
 
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

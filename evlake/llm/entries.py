@@ -10,6 +10,7 @@ from evlake.llm.common import table
 from evlake.llm.decontaminate import leaks
 from evlake.llm.exact_dedup import exact_duplicates
 from evlake.llm.html_text import extracted
+from evlake.llm.language_model import scores as text_scores
 from evlake.llm.mixing import mix
 from evlake.llm.near_dedup import near_duplicates
 from evlake.llm.pii import personal_data
@@ -118,6 +119,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(table(spark, sf_dir, "pages"))
 
 
+@query("op7_lm_scoring")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_scores(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

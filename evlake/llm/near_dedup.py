@@ -21,11 +21,12 @@ another text are documents of their own. An empty table gives an empty result.
 """
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evlake.llm.arrays import mix, sets_of, shingles_of, slices, texts_of, words_of
@@ -38,6 +39,10 @@ BRANCHES = 2
 TOKENS = 24
 #: Nodes of up to so many sets are compared exhaustively.
 SMALL_NODE = 512
+#: Sets on either side of a tile, the part of a node's pairs that is confirmed at once,
+#: and nodes or tiles that a task holds at a time.
+TILE = 64
+BATCH_NODES = 16
 #: Bins of a sketch: each holds a byte of the least hash that falls into it.
 BINS = 256
 #: Pairs are dropped unconfirmed only if their sketches agree in so many standard
@@ -137,7 +142,8 @@ def _plausible(percent: int):
 
 
 def _exhaustive(percent: int):
-    """Plausible pairs, between groups not yet linked, of every small node's sets."""
+    """Plausible pairs, between groups not yet linked, of every small node's sets; each
+    with the tile of the node's square of pairs that it lies in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,27 +152,83 @@ def _exhaustive(percent: int):
             node, root, size = (fields.field(c).to_numpy() for c in ("node", "root", "n_shingles"))
             sketch = _sketch_rows(fields.field("sketch"))
             first = lists.offsets.to_numpy()
-            pairs = []
-            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            for path, a, b in zip(batch.column("path").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
+                pairs = []
                 for i in range(a, b - 1):
                     rest = i + 1 + np.flatnonzero(root[i + 1 : b] != root[i])
                     rest = rest[_alike((size[i], size[rest]), (sketch[i], sketch[rest]), percent)]
                     if len(rest):
-                        other = node[rest]
-                        pairs.append(np.stack((np.minimum(node[i], other), np.maximum(node[i], other))))
-            if pairs:
-                found = np.unique(np.concatenate(pairs, 1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+                        tile = (i - a) // TILE * SMALL_NODE + (rest - a) // TILE
+                        low, high = np.minimum(node[i], node[rest]), np.maximum(node[i], node[rest])
+                        pairs.append(np.stack((tile, low, high)))
+                if pairs:
+                    found = np.concatenate(pairs, 1)
+                    paths = pa.array(np.full(found.shape[1], path, np.int64))
+                    yield pa.RecordBatch.from_arrays([paths, *map(pa.array, found)], ["path", "tile", "a", "b"])
 
     return run
 
 
+def _confirm_tile(shingle_words: int, percent: int):
+    """Links among a tile's texts, each taken apart once; of links that close a circle
+    within the tile none is needed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members, pairs = batch.column("members"), batch.column("pairs")
+            first, upto = members.offsets.to_numpy(), pairs.offsets.to_numpy()
+            names = members.values.field("node").to_numpy()
+            one, two = (pairs.values.field(c).to_numpy() for c in ("a", "b"))
+            for t in range(batch.num_rows):
+                own = members.values.slice(first[t], first[t + 1] - first[t])
+                node = names[first[t] : first[t + 1]].tolist()
+                sets = {}
+                rows = pa.RecordBatch.from_arrays([own.field("text"), pa.array(range(len(node)))], ["text", "at"])
+                for piece in slices(rows, "text"):
+                    hashes, at = sets_of(*shingles_of(words_of(*texts_of(piece.column("text"))), shingle_words))
+                    for k, i in enumerate(piece.column("at").to_pylist()):
+                        sets[node[i]] = hashes[at[k] : at[k + 1]]
+                parent = {x: x for x in node}
+
+                def root(x, parent=parent):
+                    while parent[x] != x:
+                        parent[x] = x = parent[parent[x]]
+                    return x
+
+                links = []
+                for a, b in zip(one[upto[t] : upto[t + 1]].tolist(), two[upto[t] : upto[t + 1]].tolist(), strict=True):
+                    if root(a) == root(b):
+                        continue
+                    x, y = sets[a], sets[b]
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * shared >= percent * (len(x) + len(y) - shared):
+                        parent[root(a)] = root(b)
+                        links.append((a, b))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*links, strict=True)], ["a", "b"])
+
+    return run
+
+
+@contextmanager
+def _few_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows, for rows that are long lists."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class _Join:
     """State of one run: the classes, the texts fetched so far and the links found."""
 
     def __init__(self, texts: DataFrame, classes: DataFrame, shingle_words: int, percent: int):
         self.texts, self.classes = texts, classes
         self.confirm = _confirm(shingle_words, percent)
+        self.confirm_tile = _confirm_tile(shingle_words, percent)
         self.fetched: list[DataFrame] = []
         self.links: list[DataFrame] = []
         self.roots: DataFrame | None = None
@@ -203,7 +265,27 @@ class _Join:
         # partition of a pivot with very many partners.
         with_b = pairs.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
         both = with_b.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
-        found = stored(both.mapInArrow(self.confirm, "a long, b long"), "links")
+        self._found(stored(both.mapInArrow(self.confirm, "a long, b long"), "links"))
+
+    def compare_tiles(self, candidates: DataFrame) -> None:
+        """The same for pairs (path, tile, a, b) of small nodes. A pair is confirmed in
+        one tile only, and a text goes to each of its tiles once, not once per pair."""
+        spark, place = candidates.sparkSession, F.min(F.struct("path", "tile")).alias("place")
+        with _few_rows(spark, BATCH_NODES):
+            pairs = stored(candidates, "tile-pairs").groupBy("a", "b").agg(place)
+            pairs = stored(pairs.select("place.path", "place.tile", "a", "b"), "tiles")
+            if pairs.isEmpty():
+                return
+            texts = self._fetch(pairs)
+            each = pairs.select("path", "tile", F.explode(F.array("a", "b")).alias("node")).distinct()
+            members = each.join(texts, "node").groupBy("path", "tile")
+            tiles = members.agg(F.collect_list(F.struct("node", "text")).alias("members")).join(
+                pairs.groupBy("path", "tile").agg(F.collect_list(F.struct("a", "b")).alias("pairs")), ["path", "tile"]
+            )
+            found = stored(tiles.select("members", "pairs").mapInArrow(self.confirm_tile, "a long, b long"), "links")
+        self._found(found)
+
+    def _found(self, found: DataFrame) -> None:
         if found.isEmpty():
             return
         # The links before are known by their roots.
@@ -285,8 +367,8 @@ def near_duplicates(
         mixed = stored(with_lookup(placed, mixed.select("path", "n"), ["path"], "n", placed.count()), "mixed")
         small = mixed.where(F.col("size") <= SMALL_NODE).join(classes.select("node", "n_shingles", "sketch"), "node")
         sets = F.collect_list(F.struct("node", "root", "n_shingles", "sketch"))
-        pairs = small.groupBy("path").agg(sets.alias("sets")).select("sets").mapInArrow(_exhaustive(percent), "a long, b long")
-        join.compare(pairs.distinct())
+        shape = "path long, tile long, a long, b long"
+        join.compare_tiles(small.groupBy("path").agg(sets.alias("sets")).mapInArrow(_exhaustive(percent), shape))
         large = mixed.where(F.col("size") > SMALL_NODE).join(classes.select("node", "tokens"), "node")
         rows = stored(large.select("node", "tokens", "path"), "rows")
         level, total = level + 1, rows.count()

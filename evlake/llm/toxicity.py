@@ -43,10 +43,15 @@ def _marks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row and hash of every word, and of the beginnings of every longer word."""
     found = words_of(*texts_of(batch.column("text")), LETTERS)
     row = np.repeat(np.arange(batch.num_rows), np.diff(found.first))
-    yield row, found.hashes
+    yield row, _short(found.hashes)
     for size in HEADS:
         which, hashes = found.heads(size)
-        yield row[which], hashes
+        yield row[which], _short(hashes)
+
+
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """32 bits tell the few features from other words well enough, in half the memory."""
+    return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
 @dataclass
@@ -62,9 +67,9 @@ class Chain:
         x = np.zeros((batch.num_rows, len(self.words)), np.float32)
         # Most words are no feature; a table of the hashes' first bits says so at once.
         maybe = np.zeros(1 << 16, bool)
-        maybe[self.words >> np.uint64(48)] = True
+        maybe[self.words >> np.uint32(16)] = True
         for row, hashes in _marks(batch):
-            here = np.flatnonzero(maybe[hashes >> np.uint64(48)])
+            here = np.flatnonzero(maybe[hashes >> np.uint32(16)])
             at = np.searchsorted(self.words, hashes[here])
             at[at == len(self.words)] = 0
             hit = self.words[at] == hashes[here] if len(here) else here
@@ -135,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, names: list[str], id_column: str = "
         _hashes, f"doc_id long, {numbers}, hashes binary, text string"
     ).drop("text")
     sample = found.limit(2 * SAMPLE).toArrow().sort_by("doc_id")
-    sets = [np.frombuffer(b, np.uint64) for b in sample.column("hashes").to_pylist()]
+    sets = [np.frombuffer(b, np.uint32) for b in sample.column("hashes").to_pylist()]
     # One row for equal texts, so that copies do not crowd the sample.
     first = {s.tobytes(): i for i, s in reversed(list(enumerate(sets)))}
     take = np.array(sorted(first.values()), np.int64)
@@ -171,24 +176,28 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def _choose(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The most telling words by the chi-square of their rows, and the feature matrix."""
-    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    words, at, rows = np.unique(every, return_inverse=True, return_counts=True)
+    words, rows = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint32), return_counts=True)
+    words, rows = words[rows >= LEAST_ROWS], rows[rows >= LEAST_ROWS]
     score = np.zeros(len(words))
     for i in range(y.shape[1]):
         base = y[:, i].mean() if len(y) else 0
-        with_label = np.bincount(at, y[row, i], len(words))
+        own = [sets[k] for k in np.flatnonzero(y[:, i])]
+        known = _places(words, np.concatenate(own)) if own else np.zeros(0, np.int64)
+        with_label = np.bincount(known, minlength=len(words))
         score = np.maximum(score, (with_label - rows * base) ** 2 / np.maximum(1e-9, rows * base * (1 - base)))
-    score[rows < LEAST_ROWS] = -1
-    order = np.lexsort((words, -score))[:FEATURES]
-    chosen = np.sort(order[score[order] >= 0])
+    chosen = np.sort(words[np.lexsort((words, -score))[:FEATURES]])
     x = np.zeros((len(sets), len(chosen)), np.float32)
-    place = np.full(len(words), -1)
-    place[chosen] = np.arange(len(chosen))
-    hit = place[at] >= 0
-    # In the sample a word counts as there or not; a single use has feature 1/2.
-    x[row[hit], place[at[hit]]] = 0.5
-    return words[chosen], x
+    for k, s in enumerate(sets):
+        # In the sample a word counts as there or not; a single use has feature 1/2.
+        x[k, _places(chosen, s)] = 0.5
+    return chosen, x
+
+
+def _places(words: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Places in the sorted ``words`` of those in ``found`` that are there."""
+    at = np.searchsorted(words, found)
+    at = np.minimum(at, max(len(words) - 1, 0))
+    return at[words[at] == found] if len(words) else at[:0]
 
 
 def _score(chain: Chain):

@@ -21,6 +21,8 @@ REDACTED = "<redacted>"
 
 # Batching and retry defaults.
 BATCH_SIZE = 100
+MAX_MESSAGES = 1_000_000
+MAX_FILES = 1000
 FLUSH_INTERVAL_SECONDS = 10.0
 MAX_WRITE_ATTEMPTS = 5
 RETRY_BASE_SECONDS = 5.0

@@ -27,8 +27,9 @@ def rate(earlier: Column, later: Column, seconds: Column) -> Column:
     return F.when(seconds > 0, (later - earlier) / seconds)
 
 
-def rows_per_file(rows: Column, files: Column) -> Column:
-    return F.when(files > 0, rows / files)
+def mean_file_rows(rows: Column, files: Column) -> Column:
+    """Rows in a data file on average; null while there is no file."""
+    return rows / F.nullif(F.greatest(files, F.lit(0)), F.lit(0))
 
 
 def is_buffering(gap: Column, batch_size: int) -> Column:
@@ -36,9 +37,9 @@ def is_buffering(gap: Column, batch_size: int) -> Column:
     return (gap > 0) & (gap < batch_size)
 
 
-def nice_scale(value: Column) -> Column:
-    """Smallest scale stop at or above the value, else a little over the value."""
-    target = F.greatest(F.lit(0.0), value.cast("double"))
-    stops = [F.when(target <= s, F.lit(s).cast("bigint")) for s in SCALE_STOPS]
-    beyond = F.floor(target * 1.05) + 1
-    return F.when(value.isNotNull(), F.coalesce(*stops, beyond))
+def axis_top(value: Column) -> Column:
+    """Top of an axis that shows ``value``: the first stop that reaches it, or a twentieth
+    more than the value where none does."""
+    shown = F.greatest(value.cast("double"), F.lit(0.0))
+    reached = F.filter(F.array(*[F.lit(stop).cast("bigint") for stop in SCALE_STOPS]), lambda stop: stop >= shown)
+    return F.when(value.isNotNull(), F.coalesce(F.try_element_at(reached, F.lit(1)), F.floor(shown * 1.05) + 1))

@@ -1,5 +1,7 @@
 """Object-store addresses: parsing, joining, redacting."""
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,18 +49,18 @@ def redact_uri(uri: Column) -> Column:
     return F.regexp_replace(uri, r"(?s)^(.*?://[^:@]*):[^@]*@", f"$1:{REDACTED}@")
 
 
-def is_secret_name(name: Column) -> Column:
-    lowered = F.lower(name)
-    found = F.lit(False)
-    for part in SECRET_NAME_PARTS:
-        found = found | lowered.contains(part)
-    return found
+#: Any of the tell-tale parts, wherever it stands in a name.
+_SECRET = "(?i)" + "|".join(re.escape(part) for part in SECRET_NAME_PARTS)
+
+
+def names_a_secret(name: Column) -> Column:
+    return name.rlike(_SECRET)
 
 
 def redact_properties(properties: Column) -> Column:
     """A string map with the values of secret-looking names masked."""
     return F.transform_values(
-        properties, lambda k, v: F.when(is_secret_name(k), F.lit(REDACTED)).otherwise(v)
+        properties, lambda k, v: F.when(names_a_secret(k), F.lit(REDACTED)).otherwise(v)
     )
 
 
@@ -69,3 +71,9 @@ def base_name(key: Column) -> Column:
 def decode_key(key: Column) -> Column:
     """URL-decoded object key: ``+`` is a space, stray ``%`` stays as it is."""
     return F.try_url_decode(F.regexp_replace(key, r"%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def masked(text: str) -> str:
+    """Text for a log line: passwords in addresses and values of secret names hidden."""
+    text = re.sub(r"(://[^:@/\s]*):[^@\s]*@", rf"\1:{REDACTED}@", text)
+    return re.sub(rf"({_SECRET[4:]})([\w.-]*[\"']?\s*[=:]\s*[\"']?)[^\s,;\"'}}]+", rf"\1\2{REDACTED}", text, flags=re.I)

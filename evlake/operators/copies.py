@@ -4,7 +4,7 @@ A replay may give one key any number of copies, so copies are always combined
 before the shuffle and never gathered in one place.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evlake.schema import ROW_KEY
@@ -20,12 +20,19 @@ def duplicates(rows: DataFrame) -> DataFrame:
 
 
 def drop_copies(rows: DataFrame) -> DataFrame:
-    """One row per key: the earliest ingested, ties broken by the other columns."""
+    """One row per key: the earliest ingested, ties broken by the other columns.
+
+    Keys are counted without their payload. Only rows of keys that have copies are
+    ranked, and of each task's copies only the first goes through the shuffle.
+    """
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"copied.{c}")) for c in ROW_KEY]
+    copied = copy_counts(rows).where("copies > 1").alias("copied")
+    single = rows.alias("r").join(copied, same, "left_anti")
     rest = [c for c in rows.columns if c not in ROW_KEY]
-    order = ["ingest_time"] + [c for c in rest if c != "ingest_time"]
-    first = F.min(F.struct(*order)).alias("first")
-    kept = rows.groupBy(*ROW_KEY).agg(first)
-    return kept.select(*[f"first.{c}" if c in rest else c for c in rows.columns])
+    order = [F.asc_nulls_first(c) for c in ["ingest_time", *[c for c in rest if c != "ingest_time"]]]
+    rank = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(*order))
+    several = rows.alias("r").join(copied, same, "left_semi").withColumn("copy_rank", rank)
+    return single.unionByName(several.where("copy_rank = 1").drop("copy_rank"))
 
 
 def drop_copies_streaming(rows: DataFrame, within: str) -> DataFrame:

@@ -33,16 +33,18 @@ def table_metrics(live: DataFrame, history: DataFrame, now: dt.datetime) -> Data
 
     Reads the commit ledger only, never the data.
     """
-    size = live.agg(
-        F.sum("n_rows").alias("table_rows"), F.sum("n_files").alias("table_files"), F.lit(1).alias("one")
+    # One aggregate over both tables, told apart by which columns they fill.
+    both = live.select("n_rows", "n_files").unionByName(
+        history.select(F.struct("committed_at", "snapshot_id", "added").alias("commit")), allowMissingColumns=True
     )
-    commits = history.agg(
-        F.count("*").alias("table_commits"),
-        F.max(F.struct("committed_at", "run_id", "batch_id", "added")).alias("last"),
-        F.lit(1).alias("one"),
+    found = both.agg(
+        F.sum("n_rows").alias("table_rows"),
+        F.sum("n_files").alias("table_files"),
+        F.count("commit").alias("table_commits"),
+        F.max("commit").alias("last"),
     )
     age = F.unix_micros(F.lit(now)) - F.unix_micros("last.committed_at")
-    return size.join(commits, "one").select(
+    return found.select(
         "table_rows",
         "table_files",
         "table_commits",
@@ -52,8 +54,8 @@ def table_metrics(live: DataFrame, history: DataFrame, now: dt.datetime) -> Data
 
 
 def recent_commits(history: DataFrame, n: int = LATEST_COMMITS) -> DataFrame:
-    newest = history.orderBy(F.desc("committed_at"), F.desc("run_id"), F.desc("batch_id")).limit(n)
-    return newest.select("committed_at", "operation", "added").orderBy("committed_at")
+    newest = history.orderBy(F.desc("snapshot_id")).limit(n)
+    return newest.orderBy("snapshot_id").select("committed_at", "operation", "added")
 
 
 def warehouse_counts(listing: DataFrame) -> DataFrame:
@@ -143,8 +145,8 @@ def stage_gaps(samples: DataFrame, batch_size: int) -> DataFrame:
         waiting.alias("table_behind"),
         pm.effective_lag(F.col("topic_lag"), on_topic, F.col("table_rows")).alias("lag"),
         pm.is_buffering(waiting, batch_size).alias("buffering"),
-        pm.rows_per_file(F.col("table_rows"), F.col("data_files")).alias("rows_per_file"),
-        pm.nice_scale(
+        pm.mean_file_rows(F.col("table_rows"), F.col("data_files")).alias("rows_per_file"),
+        pm.axis_top(
             F.greatest("source_objects", on_topic, "table_rows")
         ).alias("scale"),
     )

@@ -1,10 +1,10 @@
 """Does the table hold what the topic held? All of it once, some of it twice?"""
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evlake.functions.uris import same_bucket
-from evlake.operators.offsets import next_offsets
 from evlake.schema import ROW_KEY
 
 
@@ -62,10 +62,11 @@ def batching_holds(commits_before: DataFrame, commits_after: DataFrame, rows_gai
     )
 
 
-def acknowledged(messages: DataFrame, table: DataFrame) -> DataFrame:
-    """Committed against published offsets per partition."""
+def acknowledged(messages: DataFrame, committed: DataFrame) -> DataFrame:
+    """Committed against published offsets per partition. ``committed`` has the columns
+    of :func:`evlake.operators.offsets.next_offsets`; the table's log has them."""
     published = messages.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("published"))
-    done = next_offsets(table).select(
+    done = committed.select(
         F.col("kafka_topic").alias("topic"),
         F.col("kafka_partition").alias("partition"),
         F.col("next_offset").alias("committed"),
@@ -75,8 +76,11 @@ def acknowledged(messages: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def separate_buckets(spark: SparkSession, watched: str, warehouse: str) -> None:
+def separate_buckets(watched: str, warehouse: str) -> None:
     """Refuse a warehouse inside the watched bucket: it would feed itself."""
-    uris = spark.createDataFrame([(watched, warehouse)], "a string, b string")
-    if uris.select(same_bucket(F.col("a"), F.col("b"))).head()[0]:
+    ours, theirs = (_BUCKET.match(uri.strip()) for uri in (watched, warehouse))
+    if ours and theirs and ours[1] == theirs[1]:
         raise ValueError(f"the table {warehouse} must not be stored in the watched bucket")
+
+
+_BUCKET = re.compile(r"s3a?://([^/]+)")

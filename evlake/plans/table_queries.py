@@ -1,5 +1,7 @@
 """Questions asked of the object-event table."""
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,11 +41,18 @@ def between(rows: DataFrame, start, end) -> DataFrame:
 
     A filter on ``ingest_time`` alone prunes no day folder, so the day is
     filtered as well wherever the table still shows its partition column.
-    ``start`` and ``end`` are timestamp text in UTC.
+    ``start`` and ``end`` are datetimes, or their text in ISO form; without a zone
+    they are in UTC.
     """
-    first, last = (F.lit(f"{t}+00:00" if "+" not in t else t).cast("timestamp") for t in (start, end))
-    kept = rows.where((F.col("ingest_time") >= first) & (F.col("ingest_time") < last))
+    first, last = (moment(t) for t in (start, end))
+    kept = rows.where((F.col("ingest_time") >= F.lit(first)) & (F.col("ingest_time") < F.lit(last)))
     if DAY in rows.columns:
-        days = [F.lit(t[:10]).cast("date") for t in (start, end)]
-        kept = kept.where(F.col(DAY).between(*days))
+        kept = kept.where(F.col(DAY).between(F.lit(first.date()), F.lit(last.date())))
     return kept
+
+
+def moment(when: dt.datetime | str) -> dt.datetime:
+    """A point in time in UTC."""
+    if isinstance(when, str):
+        when = dt.datetime.fromisoformat(when)
+    return when.replace(tzinfo=dt.timezone.utc) if when.tzinfo is None else when.astimezone(dt.timezone.utc)

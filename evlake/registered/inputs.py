@@ -24,6 +24,10 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/conversations.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+
+
 def _once(spark: SparkSession, what: str, sf_dir: str, make):
     """Written inputs are made once per session and data folder."""
     key = (spark.sparkContext.applicationId, what, sf_dir)
@@ -69,7 +73,10 @@ def table(spark: SparkSession, sf_dir: str) -> ParquetTable:
         source, start = rows(spark, sf_dir), utc(1970, 1, 1)
         for batch, end in enumerate(COMMIT_TIMES):
             time = F.col("ingest_time")
-            period = source.where((time >= F.lit(start)) & (time < F.lit(end)))
+            period = source.where(time >= F.lit(start))
+            # The last period is open, so that no event is left out.
+            if end != COMMIT_TIMES[-1]:
+                period = period.where(time < F.lit(end))
             made.append(period, "load", batch, end, gather_days=True)
             start = end
         return made

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from evlake.functions import progress_math as pm
-from evlake.operators.offsets import consumer_lag, next_offsets, topic_totals, watermarks
+from evlake.operators.offsets import consumer_lag, topic_totals, watermarks
 from evlake.plans import progress
 from evlake.registered import inputs
 from evlake.registered.entries import micros, query
@@ -64,7 +64,8 @@ def met4(spark, sf_dir):
 def met5(spark, sf_dir):
     """How far the first two commits are behind the topic."""
     marks = watermarks(inputs.messages(spark, sf_dir))
-    committed = next_offsets(inputs.table(spark, sf_dir).read(at=inputs.utc(2024, 1, 25)))
+    # What was committed stands in the log; no row of the table is read.
+    committed = inputs.table(spark, sf_dir).next_offsets(at=inputs.utc(2024, 1, 25))
     return consumer_lag(marks, committed).select("end_offset", "committed", "lag")
 
 
@@ -73,25 +74,39 @@ def met5(spark, sf_dir):
 
 @query(
     "met7_table_metrics",
-    f"""{ROWS} SELECT count(*) AS table_rows, CAST(3 AS BIGINT) AS table_commits,
+    f"""{ROWS} SELECT count(*) AS table_rows, count(DISTINCT CASE WHEN sent_us < {int(inputs.COMMIT_TIMES[0].timestamp() * 1_000_000)} THEN 0
+        WHEN sent_us < {int(inputs.COMMIT_TIMES[1].timestamp() * 1_000_000)} THEN 1 ELSE 2 END) AS table_commits,
       count(*) FILTER (sent_us >= {int(inputs.COMMIT_TIMES[1].timestamp() * 1_000_000)}) AS last_added,
-      CAST(3600 AS DOUBLE) AS last_commit_age_s FROM r""",
+      CAST(3600 AS DOUBLE) AS last_commit_age_s, count(*) > 0 AS table_files FROM r""",
 )
 def met7(spark, sf_dir):
     table = inputs.table(spark, sf_dir)
     now = inputs.utc(2024, 3, 1, 1)
-    return progress.table_metrics(table.live(), table.history(), now).drop("table_files")
+    found = progress.table_metrics(table.live(), table.history(), now)
+    return found.withColumn("table_files", F.col("table_files") > 0)
 
 
-@query("met8_warehouse_files", "SELECT true AS data_files_match, true AS has_metadata, true AS newest_is_parquet")
+@query(
+    "met8_warehouse_files",
+    f"""{ROWS}, d AS (SELECT count(DISTINCT CAST(make_timestamp(sent_us) AS DATE)) AS days,
+      count(DISTINCT CASE WHEN sent_us < {int(inputs.COMMIT_TIMES[0].timestamp() * 1_000_000)} THEN 0
+        WHEN sent_us < {int(inputs.COMMIT_TIMES[1].timestamp() * 1_000_000)} THEN 1 ELSE 2 END) AS commits FROM r)
+    SELECT days AS day_folders, commits AS log_files, days >= 1 AS data_files_match, days >= 1 AS newest_is_parquet FROM d""",
+)
 def met8(spark, sf_dir):
-    """The files found in the table's folder against those its ledger knows."""
+    """The files found in the table's folder against those its log knows."""
     table = inputs.table(spark, sf_dir)
-    known = table.live().agg(F.sum("n_files").alias("known"), F.lit(1).alias("one"))
-    found = progress.warehouse_counts(list_objects(spark, table.path))
-    return found.withColumn("one", F.lit(1)).join(known, "one").select(
-        (F.col("data_files") == F.col("known")).alias("data_files_match"),
-        (F.col("metadata_files") > 0).alias("has_metadata"),
+    listing = list_objects(spark, table.path)
+    known = table.live().agg(F.sum("n_files")).head()[0]
+    counted = progress.warehouse_counts(listing)
+    days = listing.agg(
+        F.count_distinct(F.nullif(F.regexp_extract("path", "ingest_time_day=([^/]+)", 1), F.lit(""))).alias("day_folders"),
+        F.count_if(F.col("path").rlike(r"/log/\d+\.json$")).alias("log_files"),
+    ).head()
+    return counted.select(
+        F.lit(days.day_folders).alias("day_folders"),
+        F.lit(days.log_files).alias("log_files"),
+        (F.col("data_files") == known).alias("data_files_match"),
         F.col("newest_data_file").endswith(".parquet").alias("newest_is_parquet"),
     )
 
@@ -203,4 +218,4 @@ _STOPS = " ".join(
 )
 def met17(spark, sf_dir):
     value = F.expr("cast(floor(value * 100) as double) * (1 + event_id % 100)")
-    return inputs.events(spark, sf_dir).select("event_id", pm.nice_scale(value).alias("scale"))
+    return inputs.events(spark, sf_dir).select("event_id", pm.axis_top(value).alias("scale"))

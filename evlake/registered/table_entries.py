@@ -1,12 +1,12 @@
 """Ingestion, table lifecycle, table queries, reconciliation."""
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evlake.fixed_values import BATCH_SIZE
 from evlake.functions.uris import same_bucket
-from evlake.operators.commit_plan import commit_plan
 from evlake.operators.conform import conform, drift_report
 from evlake.operators.copies import copy_counts, drop_copies, duplicates
 from evlake.operators.decode import decode
@@ -23,9 +23,8 @@ from evlake.sources.contents import object_records
 from evlake.sources.notifications import notifications
 from evlake.sources.objects import list_objects
 from evlake.sources.topic import FileTopic
-from evlake.streaming.ingest import Ingest, Retry, Sink, quarantine_sink
-from evlake.streaming.tables import ParquetTable
-
+from evlake.streaming.ingest import Ingest, Retry, Sink, console_sink
+from evlake.streaming.tables import CommitConflict, ParquetTable
 
 
 def sent():
@@ -76,14 +75,95 @@ def snk3(spark, sf_dir):
         known = rows.where("bucket is not null")
         known.write.mode("overwrite").parquet(f"{extra}/batch_id={batch_id}")
 
-    sinks = [Sink("broken", broken), quarantine_sink(bad), Sink("extra", to_files, required=True)]
+    sinks = [Sink("broken", broken), Sink("extra", to_files, required=True)]
     table = inputs.new_table(spark, "fan-out")
-    _ingest(spark, inputs.topic(spark, sf_dir), table, sinks=sinks).drain(spark)
+    _ingest(spark, inputs.topic(spark, sf_dir), table, sinks=sinks, bad=bad).drain(spark)
     found = {"table": table.read(), "quarantine": spark.read.parquet(bad), "by bucket": spark.read.parquet(extra)}
     counts = [df.agg(F.lit(n).alias("target"), F.count("*").alias("n_rows")) for n, df in found.items()]
     return counts[0].unionAll(counts[1]).unionAll(counts[2])
 
 
+@query(
+    "snk1_console",
+    f"WITH {MESSAGES} SELECT count(*) AS shown, count(DISTINCT CAST(part AS BIGINT) * 1000000000 + off) AS messages FROM m WHERE shape NOT IN (7, 8, 19)",
+)
+def snk1(spark, sf_dir):
+    """Every payload of a stream shown as indented JSON, here to a file."""
+    out, shown = new_folder(spark, "shown"), []
+
+    def keep(rows, decoded, batch_id):
+        console_sink(show=shown.append).write(rows, decoded, batch_id)
+
+    table = inputs.new_table(spark, "console")
+    _ingest(spark, inputs.topic(spark, sf_dir), table, sinks=[Sink("console", keep, required=True)]).drain(spark)
+    keys = table.read().select("kafka_partition", "kafka_offset").distinct()
+    keys.write.parquet(out)
+    return spark.read.parquet(out).agg(F.lit(len(shown)).cast("long").alias("shown"), F.count("*").alias("messages"))
+
+
+@query(
+    "snk4_start_all_or_none",
+    f"{ROWS} SELECT count(*) - count(*) AS rows_after_refusal, count(*) AS rows_after_start, 'b,a' AS closed FROM r",
+)
+def snk4(spark, sf_dir):
+    """A sink that cannot be opened closes the others and consumes nothing."""
+    table, closed, broken = inputs.new_table(spark, "all-or-none"), [], [True]
+
+    def check():
+        if broken:
+            raise OSError("unreachable")
+
+    def sink(name, **more):
+        return Sink(name, lambda *args: None, close=lambda: closed.append(name), **more)
+
+    sinks = [sink("a"), sink("b"), sink("c", check=check)]
+    job = _ingest(spark, inputs.topic(spark, sf_dir), table, sinks=sinks)
+    try:
+        job.drain(spark)
+    except OSError:
+        pass
+    refused = table.row_count().head()[0]
+    order = ",".join(n for n in closed if n in "ab")
+    broken.clear()
+    job.drain(spark)
+    return table.row_count().select(
+        F.lit(refused).cast("long").alias("rows_after_refusal"), F.col("n_rows").alias("rows_after_start"),
+        F.lit(order).alias("closed"),
+    )
+
+
+@query(
+    "ing2_time_bound",
+    f"""{ROWS} SELECT CAST(sent_us >= {int(inputs.utc(2024, 1, 16).timestamp() * 1_000_000)} AS INTEGER) AS interval,
+      count(*) AS added FROM r GROUP BY 1""",
+)
+def ing2(spark, sf_dir):
+    """What arrives between two ticks of the trigger is one commit; idle ticks make none."""
+    made, half = notifications(inputs.events(spark, sf_dir)), F.lit(inputs.utc(2024, 1, 16))
+    topic, table = FileTopic(new_folder(spark, "topic")), inputs.new_table(spark, "ticks")
+    topic.publish(made.where(sent() < half))
+    query = _ingest(spark, topic, table).start(spark, every=0.5)
+    try:
+        query.processAllAvailable()
+        topic.publish(made.where(sent() >= half))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    number = (F.row_number().over(Window.orderBy("snapshot_id")) - 1).alias("interval")
+    return table.history().select(number, "added")
+
+
+@query("ing10_check_only", f"{ROWS} SELECT count(*) - count(*) AS rows_after_check, count(*) AS rows_after_run FROM r")
+def ing10(spark, sf_dir):
+    """A check opens everything and consumes nothing; the run after it takes all."""
+    table = inputs.new_table(spark, "checked")
+    job = _ingest(spark, inputs.topic(spark, sf_dir), table)
+    job.check()
+    before = table.row_count().head()[0]
+    job.drain(spark)
+    return table.row_count().select(F.lit(before).alias("rows_after_check"), F.col("n_rows").alias("rows_after_run"))
+
+
 @query("src3_resume", _ONCE)
 def src3(spark, sf_dir):
     """A second run on the same checkpoint takes up where the first stopped."""
@@ -161,7 +241,7 @@ def ing7(spark, sf_dir):
     return _copies(table.read())
 
 
-@query("ing8_admission_bound", f"{ROWS} SELECT CAST(4 AS BIGINT) AS commits, count(*) AS n_rows FROM r")
+@query("ing8_admission_bound", f"{ROWS} SELECT least(4, count(*)) AS commits, count(*) AS n_rows FROM r")
 def ing8(spark, sf_dir):
     """Four files on the topic, one admitted per batch: four commits."""
     topic = FileTopic(new_folder(spark, "topic"), max_files=1)
@@ -171,35 +251,24 @@ def ing8(spark, sf_dir):
     return table.history().agg(F.count("*").alias("commits"), F.sum("added").alias("n_rows"))
 
 
-def _plan_sql(size: int) -> str:
-    """Greedy commits by following, per partition, each commit to the next."""
-    return f"""WITH RECURSIVE msg AS (
-      SELECT part, off, CASE shape WHEN 0 THEN 2 WHEN 18 THEN 3 ELSE 1 END AS n
-      FROM (WITH {MESSAGES} SELECT * FROM m) x WHERE shape NOT IN (7, 8, 19)),
-    c AS (SELECT part, off, n, sum(n) OVER (PARTITION BY part ORDER BY off) AS total,
-        row_number() OVER (PARTITION BY part ORDER BY off) AS i FROM msg),
-    ends AS (SELECT part, max(i) AS last_i FROM c GROUP BY part),
-    nxt AS (SELECT a.part, a.i, coalesce(min(b.i), max(e.last_i)) AS j
-      FROM c a JOIN ends e ON e.part = a.part
-      LEFT JOIN c b ON b.part = a.part AND b.i >= a.i AND b.i < a.i + {size} AND b.total >= a.total - a.n + {size}
-      GROUP BY a.part, a.i),
-    g AS (SELECT part, CAST(0 AS BIGINT) AS commit, i, j FROM nxt WHERE i = 1
-      UNION ALL SELECT g.part, g.commit + 1, nxt.i, nxt.j FROM g JOIN nxt ON nxt.part = g.part AND nxt.i = g.j + 1)
-    SELECT g.part AS kafka_partition, g.commit, CAST(sum(c.n) AS BIGINT) AS added,
-      min(c.off) AS first_offset, max(c.off) AS last_offset
-    FROM g JOIN c ON c.part = g.part AND c.i BETWEEN g.i AND g.j GROUP BY g.part, g.commit"""
-
-
-@query("ing1_size_bound", _plan_sql(BATCH_SIZE))
-def ing1(spark, sf_dir):
-    """Commits of the default size; messages are never split."""
-    return commit_plan(inputs.rows(spark, sf_dir), BATCH_SIZE).drop("kafka_topic")
+@query("ing6_failed_repeat", _ONCE)
+def ing6_failed(spark, sf_dir):
+    """A stored batch whose repeat breaks off keeps its rows."""
+    table, rows = inputs.new_table(spark, "failed-repeat"), inputs.rows(spark, sf_dir)
+    table.append(rows, "run", 0)
+    broken = ParquetTable(spark, table.path.rsplit("/", 2)[0], table.namespace, table.name)
 
+    def lost(*args):
+        raise OSError("store not reachable")
 
-@query("ing3_commit_plan", _plan_sql(25))
-def ing3(spark, sf_dir):
-    """Commits of 25, planned in small chunks chained together."""
-    return commit_plan(inputs.rows(spark, sf_dir), 25, chunk=200, span=4).drop("kafka_topic")
+    # Even a repeat that gets as far as writing takes nothing away.
+    broken._holds, broken._commit = lambda *args: False, lost
+    try:
+        broken.append(rows, "run", 0)
+    except OSError:
+        pass
+    table.append(rows, "run", 0)
+    return _copies(table.read())
 
 
 @query("ing5_next_offsets", f"{ROWS} SELECT part AS kafka_partition, max(off) + 1 AS next_offset FROM r GROUP BY part")
@@ -265,6 +334,16 @@ def tbl5(spark, sf_dir):
     return _copies(table.read())
 
 
+@query("tbl5_repeat_after_reset", _ONCE)
+def tbl5_repeat(spark, sf_dir):
+    """A batch stored, withdrawn by a reset and repeated is there again."""
+    table, rows = inputs.new_table(spark, "repeat-after-reset"), inputs.rows(spark, sf_dir)
+    table.append(rows, "run", 0)
+    table.reset(confirm=True)
+    table.append(rows, "run", 0)
+    return _copies(table.read())
+
+
 @query("src6_table_load", f"{ROWS} SELECT count(*) AS n_rows, count(DISTINCT {_DAY_SQL}) AS days FROM r")
 def src6(spark, sf_dir):
     """The existing table opened by name, without creating anything."""
@@ -280,7 +359,7 @@ def src6(spark, sf_dir):
 
 @query("qry1_row_count", f"{ROWS} SELECT count(*) AS n_rows FROM r")
 def qry1(spark, sf_dir):
-    return table_queries.row_count(inputs.table(spark, sf_dir).read())
+    return inputs.table(spark, sf_dir).row_count()
 
 
 @query(
@@ -354,19 +433,25 @@ def qry7(spark, sf_dir):
 
 @query(
     "qry8_data_files",
-    f"{ROWS} SELECT {_DAY_SQL} AS ingest_time_day, CAST(count(*) AS BIGINT) AS record_count, true AS has_files FROM r GROUP BY 1",
+    f"""{ROWS} SELECT {_DAY_SQL} AS ingest_time_day, CAST(count(*) AS BIGINT) AS record_count,
+      count(DISTINCT {_BATCH_SQL}) AS commits, true AS in_day_folder, true AS one_path_each FROM r GROUP BY 1""",
 )
 def qry8(spark, sf_dir):
-    """Record counts of the data files, added up per day folder."""
-    files = inputs.table(spark, sf_dir).files()
-    return files.groupBy(DAY).agg(
-        F.sum("record_count").alias("record_count"), (F.count("*") > 0).alias("has_files")
+    """Records and paths of the data files, added up per day folder."""
+    table = inputs.table(spark, sf_dir)
+    in_folder = F.col("file_path").contains(F.concat(F.lit(f"/{DAY}="), F.col(DAY).cast("string"), F.lit("/")))
+    tries = F.regexp_extract("file_path", "/try=([^/]+)/", 1)
+    return table.files().groupBy(DAY).agg(
+        F.sum("record_count").alias("record_count"),
+        F.count_distinct(tries).alias("commits"),
+        F.bool_and(in_folder).alias("in_day_folder"),
+        (F.count_distinct("file_path") == F.count("*")).alias("one_path_each"),
     )
 
 
 @query("qry9_manifest_count", f"{ROWS} SELECT count(DISTINCT {_BATCH_SQL}) AS manifests FROM r")
 def qry9(spark, sf_dir):
-    """One ledger file per commit."""
+    """One file of the log per commit."""
     return inputs.table(spark, sf_dir).manifests().agg(F.count("*").alias("manifests"))
 
 
@@ -379,15 +464,15 @@ def qry10(spark, sf_dir):
     """The table as it was after each of its commits."""
     table = inputs.table(spark, sf_dir)
     counts = [
-        table.read(version=c.snapshot_id).agg(F.lit(c.batch_id).alias("batch_id"), F.count("*").alias("n_rows"))
+        table.row_count(version=c.snapshot_id).select(F.lit(c.batch_id).alias("batch_id"), "n_rows")
         for c in table.history().collect()
     ]
-    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+    return reduce(DataFrame.unionAll, counts)
 
 
 @query("qry11_as_of_time", f"{ROWS} SELECT count(*) AS n_rows FROM r WHERE {_BATCH_SQL} <= 1")
 def qry11(spark, sf_dir):
-    return table_queries.row_count(inputs.table(spark, sf_dir).read(at=inputs.utc(2024, 1, 25)))
+    return inputs.table(spark, sf_dir).row_count(at=inputs.utc(2024, 1, 25))
 
 
 @query(
@@ -416,7 +501,8 @@ _FROM, _TO = "2024-01-05 06:00:00", "2024-01-07 12:00:00"
 )
 def qry_between(spark, sf_dir):
     """Rows of a period; only the day folders it touches are read."""
-    rows = inputs.table(spark, sf_dir).read(with_day=True)
+    days = tuple(table_queries.moment(t).date() for t in (_FROM, _TO))
+    rows = inputs.table(spark, sf_dir).read(with_day=True, days=days)
     return table_queries.between(rows, _FROM, _TO).groupBy(DAY).agg(F.count("*").alias("n_rows"))
 
 
@@ -498,7 +584,7 @@ def rec4_lost(spark, sf_dir):
     SELECT part AS partition, published, committed, published = committed AS complete FROM a JOIN d USING (part)""",
 )
 def rec5(spark, sf_dir):
-    done = reconcile.acknowledged(inputs.messages(spark, sf_dir), inputs.table(spark, sf_dir).read())
+    done = reconcile.acknowledged(inputs.messages(spark, sf_dir), inputs.table(spark, sf_dir).next_offsets())
     return done.drop("topic")
 
 
@@ -525,9 +611,7 @@ def ext1(spark, sf_dir):
 )
 def ext2(spark, sf_dir):
     """Two loads of half the rows each, one day then rewritten into one file."""
-    table, rows = inputs.new_table(spark, "compacted"), inputs.rows(spark, sf_dir)
-    table.append(rows.where("kafka_partition < 2"), "load", 0)
-    table.append(rows.where("kafka_partition >= 2"), "load", 1)
+    table = _halves(spark, sf_dir, "compacted")
     day = dt.date(2024, 1, 3)
     table.compact(day, 1)
     files = table.files().groupBy(DAY).agg(F.sum("record_count").alias("n_rows"), F.count("*").alias("files"))
@@ -536,9 +620,61 @@ def ext2(spark, sf_dir):
     )
 
 
-def _notified(spark, store, keep):
+@query("ext2_overlapping_compactions", _ONCE)
+def ext2_overlap(spark, sf_dir):
+    """Of two compactions of the same files the second one is refused."""
+    table, rows = _halves(spark, sf_dir, "overlapping"), table_of(spark)
+    commit = table._commit
+
+    def after_another(*args):
+        table._commit = commit
+        rows(table).compact()
+        commit(*args)
+
+    table._commit = after_another
+    _refused(table.compact)
+    return _copies(table.read())
+
+
+@query("ext2_reset_during_compaction", f"{ROWS} SELECT count(*) - count(*) AS n_rows FROM r")
+def ext2_reset(spark, sf_dir):
+    """A reset that lands during a compaction stands."""
+    table, other = _halves(spark, sf_dir, "reset-meanwhile"), table_of(spark)
+    commit = table._commit
+
+    def after_reset(*args):
+        table._commit = commit
+        other(table).reset(confirm=True)
+        commit(*args)
+
+    table._commit = after_reset
+    _refused(table.compact)
+    return table.row_count()
+
+
+def _halves(spark, sf_dir, name) -> ParquetTable:
+    table, rows = inputs.new_table(spark, name), inputs.rows(spark, sf_dir)
+    table.append(rows.where("kafka_partition < 2"), "load", 0)
+    table.append(rows.where("kafka_partition >= 2"), "load", 1)
+    return table
+
+
+def table_of(spark):
+    """The same table as another job would open it."""
+    return lambda t: ParquetTable(spark, t.path.rsplit("/", 2)[0], t.namespace, t.name)
+
+
+def _refused(action) -> None:
+    try:
+        action()
+    except CommitConflict:
+        return
+    raise AssertionError("the second commit must be refused")
+
+
+def _notified(spark, store, keep, suffix=".json"):
     """Table rows for notifications about the objects below ``store`` that pass ``keep``."""
-    found = list_objects(spark, store, ".json").where(keep)
+    found = list_objects(spark, store, suffix).where(keep)
     key = F.substring_index("path", "/chats/", -1)
     value = F.concat(
         F.lit('{"Records":[{"eventName":"s3:ObjectCreated:Put","s3":{"bucket":{"name":"chats"},"object":{"key":"'),
@@ -551,6 +687,50 @@ def _notified(spark, store, keep):
     return flatten(decode(messages), sent())
 
 
+@query("ext3_csv", "SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents WHERE strlen(text) > 0")
+def ext3_csv(spark, sf_dir):
+    """Documents stored as CSV objects whose columns come in a different order by source."""
+    store, docs = new_folder(spark, "store"), inputs.documents(spark, sf_dir)
+    coded = docs.select("doc_id", "lang", "source", F.base64(F.col("text").cast("binary")).alias("text"))
+    odd = F.xxhash64("source") % 2 == 0
+    for part, columns in ((odd, ["doc_id", "lang", "source", "text"]), (~odd, ["text", "source", "doc_id", "lang"])):
+        rows = coded.where(part).select(*columns).withColumn("by", F.lit(columns[0]))
+        rows.write.mode("append").partitionBy("by").option("header", "true").csv(f"{store}/chats")
+    rows = _notified(spark, store, F.lit(True), ".csv")
+    records = object_records(spark, rows, store, store, ".csv").where("bad is null")
+    fields = F.from_json("record", "doc_id string, lang string, source string, text string")
+    read = records.select(fields.alias("r")).select("r.*")
+    return read.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.md5(F.unbase64("text")).alias("text_md5"))
+
+
+@query("ext3_json_documents", "SELECT role, count(*) AS turns, count(DISTINCT conv_id) AS conversations FROM conversations GROUP BY role")
+def ext3_documents(spark, sf_dir):
+    """The turns of each role stored as one document over many lines."""
+    store, chats = new_folder(spark, "store"), inputs.conversations(spark, sf_dir)
+    said = F.concat(F.lit('{"role": "'), F.col("role"), F.lit('",\n"turns": [\n'),
+                    F.array_join(F.collect_list(F.to_json(F.struct("conv_id", "turn"))), ",\n"), F.lit("\n]}"))
+    whole = chats.groupBy("role").agg(said.alias("value")).repartition("role")
+    # A file of a few lines each, as Spark's text writer puts them.
+    whole.select("value", F.col("role").alias("by")).write.partitionBy("by").text(f"{store}/chats")
+    rows = _notified(spark, store, F.lit(True), ".txt")
+    records = object_records(spark, rows, store, store, ".txt")
+    fields = F.from_json("record", "role string, turns array<struct<conv_id: bigint>>")
+    read = records.select(fields.alias("r")).select("r.role", F.explode("r.turns.conv_id").alias("conv_id"))
+    return read.groupBy("role").agg(F.count("*").alias("turns"), F.count_distinct("conv_id").alias("conversations"))
+
+
+@query("ext3_parquet", "SELECT doc_id, lang, CASE WHEN doc_id % 2 = 0 THEN source END AS source FROM documents")
+def ext3_parquet(spark, sf_dir):
+    """Documents stored as Parquet objects, half of them with a column more."""
+    store, docs = new_folder(spark, "store"), inputs.documents(spark, sf_dir)
+    for even, columns in ((True, ["doc_id", "lang", "source"]), (False, ["doc_id", "lang"])):
+        docs.where((F.col("doc_id") % 2 == 0) == F.lit(even)).select(*columns).write.mode("append").parquet(f"{store}/chats")
+    rows = _notified(spark, store, F.lit(True), ".parquet")
+    records = object_records(spark, rows, store, store, ".parquet")
+    fields = F.from_json("record", "doc_id bigint, lang string, source string")
+    return records.select(fields.alias("r")).select("r.*")
+
+
 @query(
     "ext3_object_contents",
     "SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations WHERE role <> 'system'",

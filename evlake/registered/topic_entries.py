@@ -1,9 +1,10 @@
 """Sources, decoding, flattening, scalar functions."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from evlake.functions import times, uris
-from evlake.operators.decode import decode, quarantine, usable
+from evlake.operators.decode import counted, decode, quarantine, usable
 from evlake.operators.flatten import find_records, flatten, unnest
 from evlake.registered import inputs
 from evlake.registered.entries import micros, query
@@ -12,6 +13,7 @@ from evlake.session import new_folder
 from evlake.sources import objects
 from evlake.sources.notifications import generated
 from evlake.sources.topic import from_offsets, next_offsets
+from evlake.streaming.ingest import Ingest
 
 COORDINATES = ["kafka_partition", "kafka_offset", "record_index"]
 
@@ -51,11 +53,21 @@ def src2(spark, sf_dir):
     return _per_partition(from_offsets(messages, start))
 
 
-@query("src5_object_listing")
+@query(
+    "src5_object_listing",
+    """SELECT 'type=' || event_type AS folder, CAST(1 AS BIGINT) AS objects, sum(strlen(user_id) + 1)::BIGINT AS bytes
+    FROM (SELECT event_type, CAST(user_id AS VARCHAR) AS user_id FROM events) e GROUP BY event_type""",
+)
 def src5(spark, sf_dir):
-    """Stored objects below the data folder, contents unread."""
-    found = objects.list_objects(spark, sf_dir, ".parquet")
-    return found.select(uris.base_name(F.col("path")).alias("name"), F.col("length").alias("bytes"))
+    """Objects written from the events, one per kind, listed with their sizes."""
+    store = new_folder(spark, "listed")
+    lines = inputs.events(spark, sf_dir).select(
+        F.col("event_type").alias("type"), F.col("user_id").cast("string").alias("value")
+    )
+    lines.repartition("type").write.partitionBy("type").text(store)
+    found = objects.list_objects(spark, store, ".txt")
+    folder = F.regexp_extract("path", "/(type=[^/]+)/", 1).alias("folder")
+    return found.groupBy(folder).agg(F.count("*").alias("objects"), F.sum("length").alias("bytes"))
 
 
 @query(
@@ -88,10 +100,20 @@ def snk6(spark, sf_dir):
 # -- decoding -----------------------------------------------------------------
 
 
-@query("dec1_null_payload", f"WITH {MESSAGES} SELECT part AS partition, off AS \"offset\" FROM m WHERE shape = 8")
+@query(
+    "dec1_null_payload",
+    f"""WITH {MESSAGES} SELECT part AS partition, off AS "offset", count(*) OVER () AS no_payload,
+      (SELECT count(*) FROM m) AS messages, (SELECT count(*) FROM m WHERE shape IN (7, 19)) AS not_json
+    FROM m WHERE shape = 8""",
+)
 def dec1(spark, sf_dir):
-    decoded = decode(inputs.messages(spark, sf_dir))
-    return decoded.where("raw is null").select("partition", "offset")
+    """Messages without a payload, next to what the job counts while they pass."""
+    seen = Observation("decoded")
+    found = new_folder(spark, "null-payload")
+    watched = counted(decode(inputs.messages(spark, sf_dir)), seen)
+    watched.where("raw is null").select("partition", "offset").write.parquet(found)
+    counts = {k: F.lit(seen.get[k]) for k in ("messages", "no_payload", "not_json")}
+    return spark.read.parquet(found).withColumns(counts)
 
 
 @query("dec2_lossy_text", f"WITH {PAYLOADS} SELECT part AS partition, off AS \"offset\", md5(raw) AS text_md5 FROM p")
@@ -103,11 +125,31 @@ def dec2(spark, sf_dir):
 @query(
     "dec3_quarantine",
     f"""WITH {PAYLOADS} SELECT part AS partition, off AS "offset", strlen(body) AS n_bytes,
-      CASE shape WHEN 8 THEN 'no payload' ELSE 'not JSON' END AS reason, substr(raw, 1, 500) AS preview
+      CASE shape WHEN 8 THEN 'no payload' ELSE 'not JSON' END AS reason, substr(raw, 1, 500) AS preview,
+      md5(body) AS value_md5, sent_us AS timestamp_us
     FROM p WHERE shape IN (7, 8, 19)""",
 )
 def dec3(spark, sf_dir):
-    return quarantine(decode(inputs.messages(spark, sf_dir))).drop("topic")
+    """What is kept of messages that give no row: all of it."""
+    kept = quarantine(decode(inputs.messages(spark, sf_dir)))
+    return kept.select(
+        "partition", "offset", "n_bytes", "reason", "preview", F.md5("value").alias("value_md5"), micros("timestamp")
+    )
+
+
+@query(
+    "dec3_two_runs",
+    f"""WITH {PAYLOADS} SELECT part AS partition, CAST(2 AS BIGINT) AS runs, 2 * count(*) AS kept
+    FROM p WHERE shape IN (7, 8, 19) GROUP BY part""",
+)
+def dec3_two(spark, sf_dir):
+    """Two jobs, each with a checkpoint of its own, keep their messages side by side."""
+    bad, topic = new_folder(spark, "quarantine"), inputs.topic(spark, sf_dir)
+    for run in ("one", "two"):
+        table = inputs.new_table(spark, f"run-{run}")
+        Ingest(topic, table, new_folder(spark, "checkpoint"), ingest_time=F.col("timestamp"), bad=bad).drain(spark)
+    kept = spark.read.parquet(bad)
+    return kept.groupBy("partition").agg(F.count_distinct("run_id").alias("runs"), F.count("*").alias("kept"))
 
 
 @query(

@@ -12,6 +12,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evlake.fixed_values import MAX_FILES, MAX_MESSAGES
 from evlake.schema import TOPIC
 
 #: ``"earliest"``, ``"latest"`` or the first offset to read per partition.
@@ -35,25 +36,31 @@ def from_offsets(messages: DataFrame, start: Mapping[int, int]) -> DataFrame:
 
 @dataclass(frozen=True)
 class KafkaTopic:
-    """One Kafka topic; ``client`` holds any client properties, without prefix."""
+    """One Kafka topic; ``client`` holds any client properties, without prefix.
+
+    A batch of the stream holds at most ``max_messages``, the first one too.
+    """
 
     name: str
     servers: str
     client: Mapping[str, str] = field(default_factory=dict)
     start: Start = "earliest"
-    max_messages: int | None = None
+    max_messages: int | None = MAX_MESSAGES
     min_partitions: int | None = None
 
     def read_options(self, streaming: bool) -> dict[str, str]:
         options = {f"kafka.{k}": str(v) for k, v in self.client.items()}
         options["kafka.bootstrap.servers"] = self.servers
         options["subscribe"] = self.name
-        start = self.start
+        # A batch read is a replay of all that is retained, wherever the stream starts.
+        start = self.start if streaming else "earliest"
         if not isinstance(start, str):
             start = json.dumps({self.name: {str(p): o for p, o in sorted(start.items())}})
         options["startingOffsets"] = start
         if self.min_partitions:
             options["minPartitions"] = str(self.min_partitions)
+        if not streaming:
+            options["endingOffsets"] = "latest"
         if streaming and self.max_messages:
             options["maxOffsetsPerTrigger"] = str(self.max_messages)
         return options
@@ -87,7 +94,7 @@ class FileTopic:
 
     path: str
     start: Mapping[int, int] = field(default_factory=dict)
-    max_files: int | None = None
+    max_files: int | None = MAX_FILES
 
     def stream(self, spark: SparkSession) -> DataFrame:
         reader = spark.readStream.schema(TOPIC)

@@ -2,7 +2,7 @@
 
 Spark tracks the offsets. A batch counts as done only after
 :meth:`Ingest.process` returned, so nothing is acknowledged before it is stored;
-a failed batch is repeated with the same number and replaces its first try.
+a failed batch is repeated with the same number and stored once.
 """
 
 import json
@@ -12,11 +12,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from evlake import fixed_values as fixed
-from evlake.operators.decode import decode, quarantine
+from evlake.functions.uris import masked
+from evlake.operators.decode import counted, decode, quarantine
 from evlake.operators.flatten import flatten
+from evlake.plans.reconcile import separate_buckets
 
 LOG = logging.getLogger("evlake.ingest")
 
@@ -42,7 +44,7 @@ class Retry:
                     raise
                 wait = self.wait_after(failures)
                 LOG.error("%s failed (try %d of %d), next in %.0f s: %s",
-                          what, failures, self.attempts, wait, e)
+                          what, failures, self.attempts, wait, masked(str(e)))
                 self.sleep(wait)
 
 
@@ -63,32 +65,56 @@ class Sink:
     close: Callable[[], None] | None = None
 
 
-def console_sink(n: int = 20, show: Callable[[str], None] = print) -> Sink:
-    """Shows the first ``n`` payloads of each batch as indented JSON. Debug only."""
+def console_sink(n: int | None = None, show: Callable[[str], None] = print) -> Sink:
+    """Shows the payloads of each batch as indented JSON, all or the first ``n``. They
+    pass the driver one partition at a time; for looking at small topics."""
 
     def write(rows: DataFrame, decoded: DataFrame, batch_id: int) -> None:
-        for (raw,) in decoded.where("is_json").select("raw").limit(n).collect():
+        payloads = decoded.where("is_json").select("raw")
+        for (raw,) in (payloads if n is None else payloads.limit(n)).toLocalIterator():
             show(json.dumps(json.loads(raw), indent=2) + "\n")
 
     return Sink("console", write)
 
 
 def quarantine_sink(path: str) -> Sink:
-    """Keeps undecodable messages; the folder of a repeated batch is replaced."""
+    """Keeps messages that give no row, in a folder per run and batch, and logs how
+    many there were and where. A repeated batch replaces its own folder only."""
 
     def write(rows: DataFrame, decoded: DataFrame, batch_id: int) -> None:
-        target = f"{path}/batch_id={batch_id}"
-        quarantine(decoded).write.mode("overwrite").parquet(target)
+        seen = Observation(f"decoded-{batch_id}")
+        target = f"{path}/run_id={_query_id(decoded.sparkSession)}/batch_id={batch_id}"
+        quarantine(counted(decoded, seen)).write.mode("overwrite").parquet(target)
+        found = seen.get
+        if found["no_payload"] or found["not_json"]:
+            first, last = ("{topic}[{partition}]@{offset}".format(**found[k].asDict()) for k in ("first", "last"))
+            LOG.warning(
+                "batch %d: %d of %d messages give no row (%d without payload, %d not JSON), %s to %s, kept in %s",
+                batch_id, found["no_payload"] + found["not_json"], found["messages"], found["no_payload"],
+                found["not_json"], first, last, masked(target),
+            )
 
     return Sink("quarantine", write, required=True)
 
 
+def _query_id(spark: SparkSession) -> str:
+    """The id Spark keeps in the checkpoint: a new checkpoint starts again at batch 0
+    and must not meet the batches of an earlier one."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("this must run inside a streaming query")
+    return query
+
+
 @dataclass
 class Ingest:
     """A topic-to-table job.
 
     ``replace_retried=False`` gives every try of a batch its own commit: a crash
     between the append and its acknowledgement then leaves copies in the table.
+    ``bad`` is where messages go that give no row, by default beside the checkpoint;
+    ``bad=None`` drops them. ``watched`` is the address whose events the topic tells
+    of: a table in the same bucket is refused, because it would feed itself.
     """
 
     topic: object
@@ -101,11 +127,21 @@ class Ingest:
     create_table: bool = True
     replace_retried: bool = True
     before_ack: Callable[[int], None] | None = None
+    bad: str | None = ""
+    watched: str | None = None
+
+    def __post_init__(self):
+        if self.bad == "":
+            self.bad = f"{self.checkpoint.rstrip('/')}-quarantine"
+        if self.bad is not None:
+            self.sinks = [quarantine_sink(self.bad), *self.sinks]
 
     def check(self) -> dict[str, list[str]]:
         """Open the table and every sink without consuming anything; returns the
         differences between the table's columns and the written ones."""
         opened = []
+        if self.watched is not None:
+            separate_buckets(self.watched, getattr(self.table, "path", ""))
         try:
             self.table.open(create=self.create_table)
             for sink in self.sinks:
@@ -143,19 +179,17 @@ class Ingest:
                 decoded.unpersist()
 
     def _feed(self, sink: Sink, rows: DataFrame, decoded: DataFrame, batch_id: int) -> None:
+        if sink.required:
+            # Like the table: a hiccup is no reason to stop.
+            self.retry.run(lambda: sink.write(rows, decoded, batch_id), f"sink '{sink.name}'")
+            return
         try:
             sink.write(rows, decoded, batch_id)
         except Exception as e:
-            if sink.required:
-                raise
-            LOG.error("sink '%s' failed on batch %d: %s", sink.name, batch_id, e)
+            LOG.error("sink '%s' failed on batch %d: %s", sink.name, batch_id, masked(str(e)))
 
     def _run_id(self, spark: SparkSession) -> str:
-        """The id Spark keeps in the checkpoint: a new checkpoint starts again at
-        batch 0 and must not meet the batches of an earlier one."""
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not query:
-            raise RuntimeError("process() must run inside a streaming query")
+        query = _query_id(spark)
         return query if self.replace_retried else f"{query}-{time.time_ns()}"
 
     def start(self, spark: SparkSession, every: float | None = fixed.FLUSH_INTERVAL_SECONDS):

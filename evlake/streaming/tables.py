@@ -1,53 +1,40 @@
 """The object-event table: created with an explicit schema, partitioned by
 ingestion day, appended to one commit at a time, readable as of any commit.
 
-``ParquetTable`` needs nothing but a folder. Each commit writes its own data
-folder and, last, its ledger rows; readers take only what the ledger lists, so a
-half-written commit is invisible and a repeated one replaces itself.
-``IcebergTable`` hands the same calls to an Iceberg catalog, whose connector has
-to be on the class path.
+``ParquetTable`` needs nothing but a folder. Every try of a write has a data folder of
+its own, and becomes visible with one new file of the commit log
+(:mod:`evlake.streaming.commits`), which names its files. A try that fails leaves
+nothing visible and takes nothing away. A batch that is in the table already is not
+stored again; a commit that withdraws files fails if another withdrew them first.
+Readers open exactly the files the log lists. ``IcebergTable`` hands the same calls to
+an Iceberg catalog, whose connector has to be on the class path.
 """
 
 import datetime as dt
+import logging
 import re
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evlake.fixed_values import PROTECTED_NAMESPACES
 from evlake.operators.conform import conform, schema_drift
 from evlake.schema import DAY, EVENTS, utc_day
+from evlake.streaming.commits import FOLD_EVERY, CommitLog, moment
 
-#: One ledger row per commit, data folder and day. ``remove`` rows of a commit
-#: withdraw what an earlier one added.
-LEDGER = T.StructType(
-    [
-        T.StructField("committed_at", T.TimestampType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("action", T.StringType()),
-        T.StructField("data_run", T.StringType()),
-        T.StructField("data_batch", T.LongType()),
-        T.StructField("day", T.DateType()),
-        T.StructField("n_rows", T.LongType()),
-        T.StructField("n_files", T.LongType()),
-        T.StructField("run_id", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
-_PLACE = ["data_run", "data_batch", "day"]
-
-#: A ledger of up to this many live folders (some 50 MB) is broadcast to the scan.
-MAX_BROADCAST_FOLDERS = 500_000
-_FOLDERS = T.StructType(
-    [
-        T.StructField("run_id", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField(DAY, T.DateType()),
-    ]
-)
+LOG = logging.getLogger("evlake.tables")
+
+#: Bytes a compacted file is to have.
+TARGET_BYTES = 256 * 1024 * 1024
+
+_OFFSETS = ["kafka_topic", "kafka_partition", "kafka_offset"]
+
+
+class CommitConflict(RuntimeError):
+    """Files to be withdrawn are no longer part of the table."""
 
 
 class TableMissing(RuntimeError):
@@ -64,9 +51,10 @@ def check_name(namespace: str, table: str) -> None:
 
 
 class ParquetTable:
-    def __init__(self, spark: SparkSession, warehouse: str, namespace: str, name: str):
+    def __init__(self, spark: SparkSession, warehouse: str, namespace: str, name: str, fold_every: int = FOLD_EVERY):
         self.spark, self.namespace, self.name = spark, namespace, name
         self.path = f"{warehouse.rstrip('/')}/{namespace}/{name}"
+        self.commits = CommitLog(spark, f"{self.path}/metadata", fold_every)
 
     # -- lifecycle ----------------------------------------------------------
 
@@ -107,8 +95,8 @@ class ParquetTable:
         stay readable; no file is deleted."""
         check_name(self.namespace, self.name)
         if confirm:
-            # A name of its own: a commit must not overwrite what it reads.
-            self._commit(f"reset-{uuid.uuid4().hex}", 0, "delete", None, None, self.live())
+            # Whatever is live when the number is free goes, so this cannot conflict.
+            self._commit(f"reset-{uuid.uuid4().hex}", 0, "delete", [], lambda: self._paths(self.live()))
         return confirm
 
     # -- writing ------------------------------------------------------------
@@ -119,163 +107,214 @@ class ParquetTable:
         run_id: str,
         batch_id: int,
         committed_at: dt.datetime | None = None,
-        operation: str = "append",
-        replaces: DataFrame | None = None,
         gather_days: bool = False,
     ) -> None:
-        """Write one commit. Repeating a (run, batch) replaces the first try.
+        """Write one commit. A (run, batch) whose rows are in the table is not stored
+        again, compacted or not; after a reset it is.
 
         Rows are written where they are. For a load spanning many days
         ``gather_days`` brings each day together first, so that not every task
         writes a file per day; adaptive execution splits a day that is too big.
-        ``replaces`` are ledger rows the commit withdraws, see :meth:`compact`.
         """
-        folder = f"{self.path}/data/run_id={run_id}/batch_id={batch_id}"
+        if self._holds(run_id, batch_id):
+            LOG.info("batch %s/%d is in the table already", run_id, batch_id)
+            return
+        files, offsets = self._write(rows, gather_days)
+        self._commit(run_id, batch_id, "append", files, None, offsets, committed_at)
+
+    def _write(self, rows: DataFrame, gather_days: bool = False) -> tuple[list[dict], list[dict]]:
+        """Data files of a new try, and the next offset of each topic partition."""
+        name = uuid.uuid4().hex
+        folder = f"{self.path}/data/try={name}"
         dated = conform(rows, self.schema).withColumn(DAY, utc_day(F.col("ingest_time")))
         if gather_days and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
             dated = dated.hint("rebalance", DAY)
-        dated.write.mode("overwrite").partitionBy(DAY).parquet(folder)
-        self._commit(run_id, batch_id, operation, folder, committed_at, replaces)
-
-    def _commit(self, run_id, batch_id, operation, folder, committed_at, replaces) -> None:
-        ids = {
-            "committed_at": F.lit(committed_at) if committed_at else F.current_timestamp(),
-            "operation": F.lit(operation),
-            "run_id": F.lit(run_id),
-            "batch_id": F.lit(batch_id).cast("long"),
-        }
-        parts = []
-        if folder:
-            # Row counts come from the file footers, not from the rows.
-            days = T.StructType([T.StructField(DAY, T.DateType())])
-            written = self.spark.read.schema(days).parquet(folder)
-            parts.append(
-                written.groupBy(F.col(DAY).alias("day"))
-                .agg(
-                    F.count("*").alias("n_rows"),
-                    F.count_distinct("_metadata.file_path").alias("n_files"),
-                )
-                .withColumns(ids)
-                .withColumns(
-                    {
-                        "action": F.lit("add"),
-                        "data_run": F.lit(run_id),
-                        "data_batch": F.lit(batch_id).cast("long"),
-                    }
-                )
-                .select(*LEDGER.fieldNames())
-            )
-        if replaces is not None:
-            parts.append(
-                replaces.withColumns(ids).withColumn("action", F.lit("remove"))
-                .select(*LEDGER.fieldNames())
-            )
-        entry = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        # One file, renamed into place: the commit is there as a whole or not at all.
-        target = f"{self.path}/metadata/commits/run={run_id}/batch={batch_id}"
-        entry.coalesce(1).write.mode("overwrite").parquet(target)
-
-    def compact(self, day: dt.date, files: int, committed_at: dt.datetime | None = None) -> None:
-        """Rewrite one day into ``files`` files of equal size.
-
-        A commit that lands meanwhile is not touched: exactly the folders read
-        here are withdrawn, in the same commit that adds the new ones.
+        dated.write.partitionBy(DAY).parquet(folder)
+        # Row counts come from the file footers.
+        days = T.StructType([T.StructField(DAY, T.DateType())])
+        written = self.spark.read.schema(days).parquet(folder)
+        place = F.substring_index("_metadata.file_path", f"/try={name}/", -1)
+        size = F.first("_metadata.file_size")
+        counted = written.groupBy(place.alias("path"), F.col(DAY).alias("day")).agg(
+            F.count("*").alias("n_rows"), size.alias("n_bytes")
+        )
+        files = [{**r.asDict(), "day": str(r.day), "path": f"try={name}/{r.path}"} for r in counted.collect()]
+        if not files or not set(_OFFSETS) <= set(self.schema.fieldNames()):
+            return files, []
+        types = T.StructType([f for f in self.schema.fields if f.name in _OFFSETS])
+        seen = self.spark.read.schema(types).parquet(folder).where("kafka_offset is not null")
+        ends = seen.groupBy(*_OFFSETS[:2]).agg((F.max("kafka_offset") + 1).alias("next_offset"))
+        return files, [r.asDict() for r in ends.collect()]
+
+    def _paths(self, live: DataFrame) -> list[tuple[str, str, int, int]]:
+        return [tuple(r) for r in live.select("path", F.col("day").cast("string"), "n_rows", "n_bytes").collect()]
+
+    def _holds(self, run_id: str, batch_id: int) -> bool:
+        """Whether the batch was stored and not emptied since."""
+        known = self.commits.read().where("action = 'commit'")
+        own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+        stored, emptied = known.agg(
+            F.max(F.when(own, F.col("snapshot_id"))),
+            F.max(F.when(F.col("operation") == "delete", F.col("snapshot_id"))),
+        ).head()
+        return stored is not None and (emptied is None or emptied < stored)
+
+    def _commit(self, run_id, batch_id, operation, files, withdrawn=None, offsets=(), committed_at=None) -> None:
+        """Make the next free number of the log this commit.
+
+        ``withdrawn`` gives the files to withdraw, asked again for every number tried.
         """
-        old = self.live().where(F.col("day") == F.lit(day))
-        rows = self._rows(old).where(F.col(DAY) == F.lit(day)).drop(DAY)
-        run_id = f"compaction-{uuid.uuid4().hex}"
-        self.append(rows.repartition(files), run_id, 0, committed_at, "replace", old)
+        if operation != "delete" and not files:
+            return
+        number = self.commits.last()
+        while True:
+            number += 1
+            gone = withdrawn() if withdrawn else []
+            before = self.commits.read().agg(F.max("committed_at")).head()[0]
+            # When it lands, and never before the commit it follows.
+            now = dt.datetime.now(dt.timezone.utc)
+            if before is not None:
+                now = max(now, before.astimezone(dt.timezone.utc))
+            head = {
+                "snapshot_id": number, "committed_at": moment(committed_at or now), "operation": operation,
+                "run_id": run_id, "batch_id": batch_id,
+            }
+            rows = [{**head, "action": "commit", "next_offsets": list(offsets)}]
+            rows += [{**head, "action": "add", **f} for f in files]
+            names = ("path", "day", "n_rows", "n_bytes")
+            rows += [{**head, "action": "remove", **dict(zip(names, g, strict=True))} for g in gone]
+            if self.commits.create(number, rows):
+                break
+            if operation == "append" and self._holds(run_id, batch_id):
+                return
+        if number % self.commits.fold_every == 0:
+            self.commits.fold(number)
+
+    def compact(
+        self,
+        day: dt.date | None = None,
+        files: int | None = None,
+        committed_at: dt.datetime | None = None,
+        target_bytes: int = TARGET_BYTES,
+    ) -> None:
+        """Rewrite one day, or all days with more than one file, into files of about
+        ``target_bytes``, or one day into ``files`` files.
+
+        A commit that lands meanwhile is not touched: exactly the files read here are
+        withdrawn, in the same commit that adds the new ones. If another commit
+        withdrew one of them first, nothing changes and :class:`CommitConflict` is
+        raised.
+        """
+        old = self.live()
+        if day is not None:
+            old = old.where(F.col("day") == F.lit(day))
+        else:
+            many = old.groupBy("day").agg(F.count("*").alias("n")).where("n > 1")
+            old = old.join(many, "day", "left_semi")
+        taken = self._paths(old)
+        if not taken:
+            return
+        rows = self._open([t[0] for t in taken]).drop("try")
+        if files is None:
+            parts = {}
+            for _, of_day, _, size in taken:
+                parts[of_day] = parts.get(of_day, 0) + size
+            split = [F.lit(x) for d, size in sorted(parts.items()) for x in (d, -(-size // target_bytes))]
+            n = F.element_at(F.create_map(*split), F.col(DAY).cast("string"))
+            # A hash of the row deals it out, so a repeated task deals it the same way.
+            deal = F.pmod(F.xxhash64(*[c for c in rows.columns if c != DAY]), n).alias("deal")
+            total = sum(-(-size // target_bytes) for size in parts.values())
+            rows = rows.withColumn("deal", deal).repartition(total, DAY, "deal").drop("deal")
+        else:
+            rows = rows.repartition(files)
+        made, _ = self._write(rows.drop(DAY))
+
+        def still_there():
+            live = {r[0] for r in self._paths(self.live())}
+            if not {t[0] for t in taken} <= live:
+                raise CommitConflict("another commit withdrew files of this compaction")
+            return taken
+
+        self._commit(f"compaction-{uuid.uuid4().hex}", 0, "replace", made, still_there, (), committed_at)
 
     # -- reading ------------------------------------------------------------
 
     def ledger(self) -> DataFrame:
-        path = f"{self.path}/metadata/commits"
-        try:
-            return self.spark.read.schema(LEDGER).parquet(path).select(*LEDGER.fieldNames())
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], LEDGER)
+        return self.commits.read()
 
-    def live(self, upto: Column | None = None) -> DataFrame:
-        """Ledger rows in force, after the commits selected by ``upto``."""
-        known = self.ledger() if upto is None else self.ledger().where(upto)
-        added = known.where("action = 'add'")
-        return added.join(known.where("action = 'remove'").select(*_PLACE), _PLACE, "left_anti")
+    def live(self, version: int | None = None, at: dt.datetime | None = None) -> DataFrame:
+        """Files in force now, after the commit ``version``, or at the time ``at``."""
+        known = self.commits.read(version)
+        if at is not None:
+            known = known.where(F.col("committed_at") <= F.lit(at))
+        gone = known.where("action = 'remove'").select("path")
+        files = known.where("action = 'add'").join(gone, "path", "left_anti")
+        return files.withColumn("n_files", F.lit(1).cast("long"))
 
-    def _rows(self, live: DataFrame) -> DataFrame:
+    def _open(self, paths: list[str]) -> DataFrame:
+        """The rows of the given files, days included."""
         fields = [f for f in self.schema.fields if f.name != DAY]
-        shape = T.StructType(fields + _FOLDERS.fields)
-        try:
-            data = self.spark.read.schema(shape).parquet(f"{self.path}/data")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            data = self.spark.createDataFrame([], shape)
-        return self._only_live(data, live).select(*[f.name for f in fields], DAY)
-
-    def _only_live(self, data: DataFrame, live: DataFrame) -> DataFrame:
-        """Data in the folders the ledger lists.
-
-        A semi join on the partition columns. With a ledger of checked size it is
-        a broadcast, which also prunes the folders before the scan and moves no
-        data. Beyond that Spark joins as it sees fit: same rows, slower, and a
-        sign that the table wants compacting.
-        """
-        places = live.select(
-            F.col("data_run").alias("run_id"),
-            F.col("data_batch").alias("batch_id"),
-            F.col("day").alias(DAY),
-        )
-        if places.limit(MAX_BROADCAST_FOLDERS + 1).count() <= MAX_BROADCAST_FOLDERS:
-            places = F.broadcast(places)
-        return data.join(places, ["run_id", "batch_id", DAY], "left_semi")
+        shape = T.StructType(fields + [T.StructField("try", T.StringType()), T.StructField(DAY, T.DateType())])
+        if not paths:
+            return self.spark.createDataFrame([], shape)
+        data = f"{self.path}/data"
+        # Files of a folder come and go together, so naming the folders is enough and
+        # keeps the list short.
+        folders = sorted({p.rpartition("/")[0] for p in paths})
+        reader = self.spark.read.schema(shape).option("basePath", data)
+        return reader.parquet(*[f"{data}/{f}" for f in folders])
+
+    def read(
+        self,
+        version: int | None = None,
+        at: dt.datetime | None = None,
+        with_day: bool = False,
+        days: tuple[dt.date, dt.date] | None = None,
+    ) -> DataFrame:
+        """The table now, after the commit ``version``, or as of the time ``at``; with
+        ``days`` only the files of these days, first to last."""
+        if version is not None and self.history().where(F.col("snapshot_id") == version).isEmpty():
+            raise ValueError(f"no commit {version}")
+        files = self.live(version, at)
+        if days is not None:
+            files = files.where(F.col("day").between(F.lit(days[0]), F.lit(days[1])))
+        rows = self._open([r.path for r in files.select("path").collect()]).drop("try")
+        return rows if with_day else rows.drop(DAY)
 
-    def read(self, version: int | None = None, at: dt.datetime | None = None, with_day=False) -> DataFrame:
-        """The table now, after the commit ``version``, or as of the time ``at``."""
-        upto = None
+    def row_count(self, version: int | None = None, at: dt.datetime | None = None) -> DataFrame:
+        """The number of rows, from the log alone."""
+        return self.live(version, at).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
+
+    def next_offsets(self, at: dt.datetime | None = None) -> DataFrame:
+        """Offset to resume from per topic partition, from the log alone."""
+        known = self.commits.read().where("action = 'commit'")
         if at is not None:
-            upto = F.col("committed_at") <= F.lit(at)
-        if version is not None:
-            target = self.history().where(F.col("snapshot_id") == version).head()
-            if target is None:
-                raise ValueError(f"no commit {version}")
-            names = ("committed_at", "run_id", "batch_id")
-            place = "struct<committed_at: timestamp, run_id: string, batch_id: bigint>"
-            upto = F.struct(*names).cast(place) <= F.struct(
-                *[F.lit(target[c]) for c in names]
-            ).cast(place)
-        rows = self._rows(self.live(upto))
-        return rows if with_day else rows.drop(DAY)
+            known = known.where(F.col("committed_at") <= F.lit(at))
+        each = known.select(F.inline("next_offsets"))
+        return each.groupBy("kafka_topic", "kafka_partition").agg(F.max("next_offset").alias("next_offset"))
 
     def history(self) -> DataFrame:
-        """One row per commit with the rows and files it added."""
-        added = F.col("action") == "add"
-        return (
-            self.ledger()
-            .groupBy("run_id", "batch_id", "committed_at", "operation")
-            .agg(
-                F.sum(F.when(added, F.col("n_rows")).otherwise(0)).alias("added"),
-                F.sum(F.when(added, F.col("n_files")).otherwise(0)).alias("added_files"),
-            )
-            .withColumn("snapshot_id", F.xxhash64("run_id", "batch_id"))
-            .orderBy("committed_at", "run_id", "batch_id")
+        """One row per commit with the rows and files it added and the table's rows
+        after it."""
+        added, removed = F.col("action") == "add", F.col("action") == "remove"
+        known = self.commits.read().groupBy("snapshot_id", "committed_at", "operation", "run_id", "batch_id")
+        commits = known.agg(
+            F.coalesce(F.sum(F.when(added, F.col("n_rows"))), F.lit(0)).alias("added"),
+            F.coalesce(F.sum(F.when(removed, F.col("n_rows"))), F.lit(0)).alias("withdrawn"),
+            F.count_if(added).alias("added_files"),
         )
+        return commits.orderBy("snapshot_id")
 
     def files(self) -> DataFrame:
-        """Path, day and row count of every live data file (footers only)."""
-        data = self.spark.read.schema(_FOLDERS).parquet(f"{self.path}/data")
-        named = data.withColumn("file_path", F.col("_metadata.file_path"))
-        live = self._only_live(named, self.live())
-        return live.groupBy("file_path", DAY).agg(F.count("*").alias("record_count"))
+        """Path, day, rows and bytes of every live data file, from the log alone."""
+        path = F.concat(F.lit(f"{self.path}/data/"), F.col("path"))
+        return self.live().select(
+            path.alias("file_path"), F.col("day").alias(DAY), F.col("n_rows").alias("record_count"), "n_bytes"
+        )
 
     def manifests(self) -> DataFrame:
-        """The ledger files, this table's counterpart of a manifest list."""
-        path = f"{self.path}/metadata/commits"
-        ledger = self.spark.read.schema(LEDGER).parquet(path)
-        return ledger.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-            F.count("*").alias("entries")
-        )
+        """The commits of the log, this table's counterpart of a manifest list."""
+        return self.commits.read().groupBy("snapshot_id").agg(F.count("*").alias("entries"))
 
 
 class IcebergTable:

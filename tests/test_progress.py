@@ -72,7 +72,7 @@ def test_recent_commits(spark):
     times = [dt.datetime(2026, 1, 1, 0, i) for i in range(8)]
     history = spark.createDataFrame(
         [(t, "append", i, "r", i) for i, t in enumerate(times)],
-        "committed_at timestamp, operation string, added long, run_id string, batch_id long",
+        "committed_at timestamp, operation string, added long, run_id string, snapshot_id long",
     )
     assert [r.added for r in progress.recent_commits(history).collect()] == [3, 4, 5, 6, 7]
 
@@ -93,10 +93,10 @@ def test_reconcile(spark):
 
 
 def test_warehouse_must_be_elsewhere(spark):
-    reconcile.separate_buckets(spark, "s3://in/x", "s3a://out/y")
-    reconcile.separate_buckets(spark, "in", "/local/folder")
+    reconcile.separate_buckets("s3://in/x", "s3a://out/y")
+    reconcile.separate_buckets("in", "/local/folder")
     with pytest.raises(ValueError):
-        reconcile.separate_buckets(spark, "s3://in/x", "s3a://in/warehouse")
+        reconcile.separate_buckets("s3://in/x", "s3a://in/warehouse")
 
 
 def test_one_hot_key_is_combined_before_the_shuffle(spark):

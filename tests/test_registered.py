@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from evlake.registered import ORACLES, QUERIES
 
 DATA = os.environ.get("EVLAKE_TEST_DATA", "/root/testdata/sf0.001")
 TABLES = "events documents pages conversations".split()
@@ -30,12 +31,12 @@ def plain(rows):
     return sorted((tuple(value(v) for v in r) for r in rows), key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, DATA)
+    df = QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
     got = plain(df.select(*[f"`{c}`" for c in columns]).collect())
-    sql = entry.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert got
         return
@@ -46,5 +47,9 @@ def test_query(spark, duck, name):
     assert got == plain([tuple(r[i] for i in order) for r in cursor.fetchall()])
 
 
+def test_all_are_handed_out():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

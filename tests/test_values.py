@@ -66,8 +66,8 @@ def test_redaction(spark):
 def test_scale_and_gaps(spark):
     cases = {184.0: 200, 0.0: 10, 200.0: 200, 201.0: 500, -5.0: 10, 1e6: 1000000, 2e6: 2100001, None: None}
     df = spark.createDataFrame([(k,) for k in cases], "x double")
-    assert {r[0]: r[1] for r in df.select("x", pm.nice_scale(F.col("x"))).collect()} == cases
+    assert {r[0]: r[1] for r in df.select("x", pm.axis_top(F.col("x"))).collect()} == cases
     gaps = spark.createDataFrame([(5, 3), (3, 5), (None, 3), (3, None)], "a long, b long")
     assert [r[0] for r in gaps.select(pm.floored_gap(F.col("a"), F.col("b"))).collect()] == [2, 0, None, None]
     files = spark.createDataFrame([(50, 2), (10, 0), (None, 2)], "a long, b long")
-    assert [r[0] for r in files.select(pm.rows_per_file(F.col("a"), F.col("b"))).collect()] == [25.0, None, None]
+    assert [r[0] for r in files.select(pm.mean_file_rows(F.col("a"), F.col("b"))).collect()] == [25.0, None, None]

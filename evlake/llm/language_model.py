@@ -91,14 +91,11 @@ class Vocabulary:
     words: np.ndarray  # sorted
     counts: np.ndarray
     ids: np.ndarray  # the network's number, or that of the rare class
+    rare: int  # the number of the rare class
     documents: int
     tokens: int
     distinct: int
 
-    @property
-    def rare(self) -> int:
-        return int(min(len(self.words), MODEL_WORDS - 1)) + 1
-
     def model_counts(self) -> np.ndarray:
         """The end's count and those of the network's words, in order of their numbers."""
         own = self.ids < self.rare
@@ -117,7 +114,9 @@ class Vocabulary:
 
     def only_model(self) -> "Vocabulary":
         own = self.ids < self.rare
-        return Vocabulary(self.words[own], self.counts[own], self.ids[own], self.documents, self.tokens, self.distinct)
+        return Vocabulary(
+            self.words[own], self.counts[own], self.ids[own], self.rare, self.documents, self.tokens, self.distinct
+        )
 
 
 def _vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
@@ -130,7 +129,9 @@ def _vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
     ids = np.minimum(np.arange(1, len(words) + 1), rare).astype(np.int32)
     by_hash = np.argsort(words)
     ends = 1 if documents else 0
-    return Vocabulary(words[by_hash], n[by_hash], ids[by_hash], documents, totals[0] + documents, totals[1] + ends)
+    return Vocabulary(
+        words[by_hash], n[by_hash], ids[by_hash], rare, documents, totals[0] + documents, totals[1] + ends
+    )
 
 
 def _tokens(group: _Group, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +184,6 @@ def _model(v: Vocabulary) -> Model:
 def train(texts: DataFrame, v: Vocabulary) -> np.ndarray:
     """Weights learned from all rows of ``texts`` (row, text), each used in one round."""
     flat, own = _model(v).pack(), v.only_model()
-    own.tokens, own.distinct = v.tokens, v.distinct
     for number in range(ROUNDS):
         share = texts.where(F.pmod(F.xxhash64("row_id", "text"), F.lit(ROUNDS)) == number).select("text")
         trained = share.mapInArrow(_trainer(flat, own), "block int, weights binary, seen long")

@@ -35,7 +35,7 @@ class Model:
     def __init__(self, counts: np.ndarray, rare: float, classes: int, seed: int = 1):
         self.size = len(counts) + 1
         mass = np.cumsum(np.sqrt(counts.astype(np.float64)))
-        group = (mass / (mass[-1] if len(mass) else 1) * classes * (1 - 1e-9)).astype(np.int64)
+        group = (mass / (mass.max(initial=0) or 1) * classes * (1 - 1e-9)).astype(np.int64)
         group = np.concatenate((np.unique(group, return_inverse=True)[1], [group.max(initial=-1) + 1]))
         _, group = np.unique(group, return_inverse=True)
         self.word_class = group.astype(np.int32)

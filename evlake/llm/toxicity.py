@@ -120,8 +120,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = [np.unique(hashes[a:b]).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
             others = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in others], pa.array(own, pa.binary()), batch.column("text")],
-                [*others, "hashes", "text"],
+                [*[batch.column(c) for c in others], pa.array(own, pa.binary())], [*others, "hashes"]
             )
 
 
@@ -136,14 +135,14 @@ def fit(docs: DataFrame, labels: DataFrame, names: list[str], id_column: str = "
     # At most SAMPLE rows of a few numbers are broadcast.
     rows = texts.join(F.broadcast(chosen), "doc_id")
     numbers = ", ".join(f"label_{i} int" for i in range(len(names)))
-    found = rows.select("doc_id", *[f"label_{i}" for i in range(len(names))], "text").mapInArrow(
-        _hashes, f"doc_id long, {numbers}, hashes binary, text string"
-    ).drop("text")
+    own = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+    found = rows.select("doc_id", *[f"label_{i}" for i in range(len(names))], own, "text").mapInArrow(
+        _hashes, f"doc_id long, {numbers}, text_hash long, hashes binary"
+    )
     sample = found.limit(2 * SAMPLE).toArrow().sort_by("doc_id")
     sets = [np.frombuffer(b, np.uint32) for b in sample.column("hashes").to_pylist()]
     # One row for equal texts, so that copies do not crowd the sample.
-    first = {s.tobytes(): i for i, s in reversed(list(enumerate(sets)))}
-    take = np.array(sorted(first.values()), np.int64)
+    take = np.sort(np.unique(sample.column("text_hash").to_numpy(), return_index=True)[1])
     sets = [sets[i] for i in take]
     y = np.column_stack([sample.column(f"label_{i}").to_numpy()[take] for i in range(len(names))]).astype(np.float32)
     fold = sample.column("doc_id").to_numpy()[take] * 2654435761 % 2**32 * FOLDS // 2**32
@@ -162,7 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame, names: list[str], id_column: str = "
 
 def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     """The cut of the out-of-fold probabilities with the best F1, in the middle of the
-    gap it falls into; above 1 if the labels have only one kind."""
+    gap it falls into; above 1 if the labels have only one kind or no cut is better than
+    rejecting everything."""
     if not len(y) or y.min() == y.max():
         return 2.0
     order = np.argsort(-p, kind="stable")
@@ -170,6 +170,8 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     f1 = 2 * right / (np.arange(1, len(y) + 1) + y.sum())
     last = np.append(p[order][1:] < p[order][:-1], True)  # equal ones go together
     best = int(np.argmax(np.where(last, f1, -1)))
+    if f1[best] <= f1[-1]:
+        return 2.0
     below = p[order][best + 1] if best + 1 < len(p) else 0.0
     return float((p[order][best] + below) / 2)
 

@@ -41,8 +41,8 @@ def _rows(source: str, raw: str) -> str:
     CASE WHEN shape IN {_FULL} OR shape IN (2, 4, 12, 13) THEN t_us END AS event_time_us,
     CASE WHEN shape IN {_FULL} THEN source WHEN shape = 2 THEN 'Amazon S3' END AS event_source,
     CASE WHEN shape IN {_FULL} OR shape IN {_PARTIAL} OR shape = 2 THEN bucket END AS bucket,
-    CASE WHEN shape = 0 THEN key || CASE i WHEN 0 THEN '.a' ELSE '.b' END
-         WHEN shape = 6 THEN 'reports/q 1 x-' || id
+    CASE WHEN shape = 0 THEN key || CASE i WHEN 0 THEN '-left' ELSE '-right' END
+         WHEN shape = 6 THEN 'maps/east wing v-' || id
          WHEN shape = 15 THEN 'odd/100%-' || id
          WHEN shape = 16 THEN 'bytes/' || id || '-' || chr(65533)
          WHEN shape IN {_FULL} OR shape IN {_PARTIAL} THEN key END AS object_key,

@@ -32,19 +32,19 @@ def _small(body: str) -> str:
 
 #: Payload text by shape, over the columns of :data:`BASE_COLUMNS`.
 PAYLOADS = {
-    0: f"""'{{"Records":[' || {_full("key || '.a'")} || ',' || {_full("key || '.b'")} || ']}}'""",
+    0: f"""'{{"Records":[' || {_full("key || '-left'")} || ',' || {_full("key || '-right'")} || ']}}'""",
     1: """'{"Records":[]}'""",
     2: """'{"Service":"Amazon S3","Event":"s3:TestEvent","Time":"' || time_text || '","Bucket":"'
-       || bucket || '","RequestId":"' || id || '","HostId":"' || etag || '"}'""",
-    3: """'{"hello":"world","index":' || id || '}'""",
+       || bucket || '","Note":"' || id || '","Mark":"' || etag || '"}'""",
+    3: """'{"lamp":"on","watt":' || id || '}'""",
     4: _small(""),
-    5: """'{"Records":[{"eventName":"' || name || '","eventTime":"not a timestamp","s3":{' || """
+    5: """'{"Records":[{"eventName":"' || name || '","eventTime":"around noon","s3":{' || """
     + _BUCKET
     + """ || ',"object":{"key":"' || key || '","size":" ' || size || ' "}}}]}'""",
-    6: f"""'{{"Records":[' || {_full("'reports/q+1%20x-' || id")} || ']}}'""",
-    7: """'not json, message ' || id""",
+    6: f"""'{{"Records":[' || {_full("'maps/east+wing%20v-' || id")} || ']}}'""",
+    7: """'plain words, number ' || id""",
     9: """'[1,2,' || id || ']'""",
-    10: """'{"Records":"nope","index":' || id || '}'""",
+    10: """'{"Records":"later","ticket":' || id || '}'""",
     11: """'{"records":[{"EventName":"' || name || '","EventTime":"' || time_text
         || '","EventSource":"' || source || '","S3":{"Bucket":{"Name":"' || bucket
         || '"},"Object":{"Key":"' || key || '","objectSize":' || size || ',"etag":"' || etag || '"}}}]}'""",
@@ -54,7 +54,7 @@ PAYLOADS = {
     15: f"""'{{"Records":[' || {_full("'odd/100%-' || id")} || ']}}'""",
     16: f"""'{{"Records":[' || {_full("'bytes/' || id || '-?'")} || ']}}'""",
     17: _full(),
-    18: """'{"Records":["a string",' || id || ',null]}'""",
+    18: """'{"Records":["loose end",' || id || ',null]}'""",
     19: f"""{_full()} || ' ' || {_full()}""",
     20: f"""'{{"Records":[{{"s3":{{}},' || substr({_full(s3="S3")}, 2) || ']}}'""",
 }

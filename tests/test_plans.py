@@ -51,8 +51,15 @@ def test_latest_is_a_top_k(spark, topic_of, tmp_path):
     assert "TakeOrderedAndProject" in physical
 
 
-def test_no_join_for_copies_and_losses(spark, topic_of, tmp_path):
+def test_no_join_for_losses(spark, topic_of, tmp_path):
     rows = rows_of(spark, topic_of, tmp_path)
-    for df in (drop_copies(rows), reconcile.survival(rows, rows)):
-        _, physical = explained(df)
-        assert "Join" not in physical and "partial_" in physical
+    _, physical = explained(reconcile.survival(rows, rows))
+    assert "Join" not in physical and "partial_" in physical
+
+
+def test_only_keys_with_copies_are_ranked(spark, topic_of, tmp_path):
+    _, physical = explained(drop_copies(rows_of(spark, topic_of, tmp_path)))
+    # Keys are counted by hash aggregates without the payload; the rank comes after the
+    # semi join, and all but a task's first copy stay behind.
+    assert "SortAggregate" not in physical and "HashAggregate" in physical
+    assert "WindowGroupLimit" in physical and physical.index("WindowGroupLimit") < physical.index("LeftSemi")

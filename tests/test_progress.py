@@ -15,12 +15,12 @@ def samples(spark, values, step=5.0):
     return spark.createDataFrame(rows, "pipeline string, t double, v long")
 
 
-def test_golden_pair(spark):
+def test_rates_of_a_pair(spark):
     schema = "pipeline string, t double, source_objects long, topic_end long, table_rows long"
-    pair = spark.createDataFrame([("p", 5.0, 120, 110, 100), ("p", 10.0, 184, 171, 150)], schema)
+    pair = spark.createDataFrame([("p", 3.0, 70, 66, 41), ("p", 7.0, 131, 90, 50)], schema)
     last = progress.rates(pair, ["source_objects", "topic_end", "table_rows"]).orderBy("t").collect()
     assert last[0].source_objects_rate is None
-    assert [last[1][f"{c}_rate"] for c in ("source_objects", "topic_end", "table_rows")] == [12.8, 12.2, 10.0]
+    assert [last[1][f"{c}_rate"] for c in ("source_objects", "topic_end", "table_rows")] == [15.25, 6.0, 2.25]
 
 
 @pytest.mark.parametrize("width", [1, 7, 12, 1000])
@@ -40,8 +40,8 @@ def test_levels(spark):
         got = progress.levels(samples(spark, {"p": values}), "v", width, steps).orderBy("t").collect()
         return [r.level for r in got]
 
-    assert of([1, 2, 3, 4, 8], 5, 8) == [0, 1, 2, 3, 7]
-    assert of([5, 5, 5], 3, 4) == [2, 2, 2]
+    assert of([10, 12, 14, 24], 4, 8) == [0, 1, 2, 7]
+    assert of([9, 9], 2, 6) == [3, 3]
     assert of([0, None, 10, 5], 4, 8) == [0, None, 7, 4]
     assert of([None, None], 2, 8) == [None, None]
     assert of([100, 0, 1, 4], 3, 3) == [0, 0, 2]

@@ -1,5 +1,6 @@
 """Session settings the lake relies on, and where it may put files."""
 
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,7 @@ SETTINGS = {
 
 
 _local_folders: dict[str, str] = {}
+_session_folders: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -27,13 +29,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets a temporary
-    folder.
+    Only a session whose executors are threads of the driver may go without the
+    setting; it then gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         if context.applicationId not in _local_folders:
             _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="evlake-")
@@ -42,5 +44,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the session's part of the shared folder; nothing is created
+    yet. That part is deleted when the session's driver ends."""
+    context = spark.sparkContext
+    own = f"{shared_folder(spark)}/session-{context.applicationId}"
+    if own not in _session_folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _session_folders.add(own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"

@@ -24,14 +24,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written below the shared folder and read again.
 
     This cuts the lineage and fixes what was computed, so a lost executor costs a
-    reread and never a second, different answer. The folder goes when the session
-    ends.
+    reread and never a second, different answer.
     """
     spark = df.sparkSession
     path = new_folder(spark, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -43,6 +43,9 @@ SMALL_NODE = 512
 #: and nodes or tiles that a task holds at a time.
 TILE = 64
 BATCH_NODES = 16
+#: A list of wanted texts of up to so many rows (some 10 MB) is broadcast to the scan;
+#: beyond that the texts are shuffled to it.
+BROADCAST_ROWS = 200_000
 #: Bins of a sketch: each holds a byte of the least hash that falls into it.
 BINS = 256
 #: Pairs are dropped unconfirmed only if their sketches agree in so many standard
@@ -163,8 +166,8 @@ def _exhaustive(percent: int):
                         pairs.append(np.stack((tile, low, high)))
                 if pairs:
                     found = np.concatenate(pairs, 1)
-                    paths = pa.array(np.full(found.shape[1], path, np.int64))
-                    yield pa.RecordBatch.from_arrays([paths, *map(pa.array, found)], ["path", "tile", "a", "b"])
+                    same = [pa.array(np.full(found.shape[1], x, np.int64)) for x in (b - a, path)]
+                    yield pa.RecordBatch.from_arrays([*same, *map(pa.array, found)], ["sets", "path", "tile", "a", "b"])
 
     return run
 
@@ -240,6 +243,8 @@ class _Join:
             need = need.join(have.select("node"), "node", "left_anti")
         # Stored, so that its size is known when the join is planned.
         keyed = stored(need.join(self.classes.select("node", *KEY), "node"), "wanted")
+        if keyed.count() <= BROADCAST_ROWS:
+            keyed = F.broadcast(keyed)
         # Rows repeated in full have one key, and any of them will do.
         own = self.texts.join(keyed, KEY).select("node", "text").dropDuplicates(["node"])
         self.fetched.append(stored(own, "pair-texts"))
@@ -268,9 +273,10 @@ class _Join:
         self._found(stored(both.mapInArrow(self.confirm, "a long, b long"), "links"))
 
     def compare_tiles(self, candidates: DataFrame) -> None:
-        """The same for pairs (path, tile, a, b) of small nodes. A pair is confirmed in
-        one tile only, and a text goes to each of its tiles once, not once per pair."""
-        spark, place = candidates.sparkSession, F.min(F.struct("path", "tile")).alias("place")
+        """The same for pairs (sets, path, tile, a, b) of small nodes. A pair is confirmed
+        in one tile only, of the node with the most sets, where most of its like are too;
+        a text goes to each of its tiles once, not once per pair."""
+        spark, place = candidates.sparkSession, F.max(F.struct("sets", "path", "tile")).alias("place")
         with _few_rows(spark, BATCH_NODES):
             pairs = stored(candidates, "tile-pairs").groupBy("a", "b").agg(place)
             pairs = stored(pairs.select("place.path", "place.tile", "a", "b"), "tiles")
@@ -367,7 +373,7 @@ def near_duplicates(
         mixed = stored(with_lookup(placed, mixed.select("path", "n"), ["path"], "n", placed.count()), "mixed")
         small = mixed.where(F.col("size") <= SMALL_NODE).join(classes.select("node", "n_shingles", "sketch"), "node")
         sets = F.collect_list(F.struct("node", "root", "n_shingles", "sketch"))
-        shape = "path long, tile long, a long, b long"
+        shape = "sets long, path long, tile long, a long, b long"
         join.compare_tiles(small.groupBy("path").agg(sets.alias("sets")).mapInArrow(_exhaustive(percent), shape))
         large = mixed.where(F.col("size") > SMALL_NODE).join(classes.select("node", "tokens"), "node")
         rows = stored(large.select("node", "tokens", "path"), "rows")

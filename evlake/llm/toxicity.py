@@ -9,9 +9,11 @@ earlier models give them. The last label decides.
 The models are fitted on at most ``SAMPLE`` labelled rows, the first by a hash of
 their ids: a bound whatever the number of labels, documented here as a parameter.
 Their texts are found with a broadcast of these ids. Scoring reads every text in whole
-and shuffles nothing; features are whether and how often a word occurs, for the
-``FEATURES`` words and word beginnings that tell the labels apart best; a beginning
-stands for all inflections of a stem. Words are runs of letters, A-Z as a-z.
+and shuffles nothing; features are whether and how often a word occurs, for every word and
+word beginning that tells a label apart by a chi-square of ``LEVEL`` or more. Each label
+has its own, and their number is not bounded, so neither a common label nor the many
+inflections of one stem displace a rare language's words. A beginning stands for all
+inflections of a stem. Words are runs of letters, A-Z as a-z.
 
 Defined results: a null or blank text has no features and gets the models' base
 rates; null labels count as 0; labels of unknown documents are ignored; without any
@@ -29,7 +31,9 @@ from pyspark.sql import functions as F
 from evlake.llm.arrays import LETTERS, slices, texts_of, words_of
 
 SAMPLE = 8192
-FEATURES = 96
+#: Chi-square (one degree of freedom) from which on a word counts as telling; chance
+#: alone reaches it for one word in 10,000.
+LEVEL = 15.0
 #: Bytes of the word beginnings.
 HEADS = (4, 5, 6)
 FOLDS = 5
@@ -74,18 +78,23 @@ class Chain:
             at[at == len(self.words)] = 0
             hit = self.words[at] == hashes[here] if len(here) else here
             np.add.at(x, (row[here[hit]], at[hit]), 1)
-        return 1 - np.exp2(-x)
+        return np.subtract(1, np.exp2(np.negative(x, out=x), out=x), out=x)
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         """Rows by labels; every label sees those before it."""
-        out = np.zeros((len(x), 0), np.float32)
-        for w in self.weights:
-            out = np.column_stack((out, _probability(np.column_stack((x, out)), w)))
+        out, n = np.zeros((len(x), len(self.weights)), np.float32), x.shape[1]
+        for i, w in enumerate(self.weights):
+            # Without a copy of the features, which are many.
+            out[:, i] = _sigmoid(x @ w[:n] + out[:, :i] @ w[n:-1] + w[-1])
         return out
 
 
 def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
+    return _sigmoid(x @ w[:-1] + w[-1])
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -177,17 +186,17 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def _choose(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The most telling words by the chi-square of their rows, and the feature matrix."""
+    """Every word that tells a label by the chi-square of its rows, and the feature matrix."""
     words, rows = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint32), return_counts=True)
     words, rows = words[rows >= LEAST_ROWS], rows[rows >= LEAST_ROWS]
-    score = np.zeros(len(words))
+    telling = np.zeros(len(words), bool)
     for i in range(y.shape[1]):
         base = y[:, i].mean() if len(y) else 0
         own = [sets[k] for k in np.flatnonzero(y[:, i])]
         known = _places(words, np.concatenate(own)) if own else np.zeros(0, np.int64)
         with_label = np.bincount(known, minlength=len(words))
-        score = np.maximum(score, (with_label - rows * base) ** 2 / np.maximum(1e-9, rows * base * (1 - base)))
-    chosen = np.sort(words[np.lexsort((words, -score))[:FEATURES]])
+        telling |= (with_label - rows * base) ** 2 >= LEVEL * np.maximum(1e-9, rows * base * (1 - base))
+    chosen = words[telling]
     x = np.zeros((len(sets), len(chosen)), np.float32)
     for k, s in enumerate(sets):
         # In the sample a word counts as there or not; a single use has feature 1/2.

@@ -192,6 +192,22 @@ def test_held_out_accuracy(spark, documents):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r}
 
 
+def test_a_rare_language_is_not_displaced(spark, documents):
+    rng = random.Random(12)
+    # Many strong words of quality and many inflections of one toxic stem.
+    good, stem, rare = [f"fine{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"], [f"vile{a}" for a in "abcdefghij"], ["zorak"]
+    texts, labels = [], []
+    for i in range(900):
+        toxic, quality = i % 6 == 0, i % 2
+        said = rng.choices([f"word{a}" for a in "abcdefghijklmn"], k=20) + rng.sample(good, 40 * quality)
+        said += (rare if i % 36 == 0 else rng.sample(stem, 4)) if toxic else []
+        texts.append((i, " ".join(said)))
+        labels.append((i, quality, int(toxic)))
+    chain = fit(documents(texts), spark.createDataFrame(labels[:600], "doc_id long, quality int, toxic int"), ["quality", "toxic"])
+    got = {r.doc_id: r.rejected for r in scores(documents(texts), chain).collect()}
+    assert all(got[i] == bool(toxic) for i, _, toxic in labels[600:])
+
+
 def test_toxicity_of_awkward_rows(spark, awkward, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     chain = fit(awkward, labels, ["quality", "toxic"])

@@ -6,9 +6,10 @@ probabilities are out of fold (the model that gave them has not seen the row), s
 later model learns how far an earlier one can be trusted; when scoring, the final
 earlier models give them. The last label decides.
 
-The models are fitted on at most ``SAMPLE`` labelled rows, the first by a hash of
-their ids: a bound whatever the number of labels, documented here as a parameter.
-Their texts are found with a broadcast of these ids. Scoring reads every text in whole
+The models are fitted on at most ``SAMPLE`` distinct labelled texts, the first by a hash
+of id and text: a bound whatever the number of labels, documented here as a parameter.
+Copies and labels without a document take no place in it. Their texts are found with a
+broadcast of these keys. Scoring reads every text in whole
 and shuffles nothing; features are whether and how often a word occurs, for every word and
 word beginning that tells a label apart by a chi-square of ``LEVEL`` or more. Each label
 has its own, and their number is not bounded, so neither a common label nor the many
@@ -16,8 +17,9 @@ inflections of one stem displace a rare language's words. A beginning stands for
 inflections of a stem. Words are runs of letters, A-Z as a-z.
 
 Defined results: a null or blank text has no features and gets the models' base
-rates; null labels count as 0; labels of unknown documents are ignored; without any
-labelled row of both kinds nothing is toxic.
+rates; null labels count as 0, and an id labelled several times has a label if any
+of them says so; equal texts have the labels of the first of their ids by hash; labels of
+unknown documents are ignored; without any labelled row of both kinds nothing is toxic.
 """
 
 from collections.abc import Iterator
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evlake.llm.arrays import LETTERS, slices, texts_of, words_of
+from evlake.llm.common import stored, with_lookup
 
 SAMPLE = 8192
 #: Chi-square (one degree of freedom) from which on a word counts as telling; chance
@@ -119,9 +122,16 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct word hashes of each text, next to the other columns."""
+    """Distinct word hashes of each text, next to the other columns; a text once in a
+    task. There are at most ``SAMPLE`` texts."""
+    seen = set()
     for whole_batch in batches:
-        for batch in slices(whole_batch, "text"):
+        for part in slices(whole_batch, "text"):
+            known = part.column("text_hash").to_pylist()
+            new = [i for i, h in enumerate(known) if h not in seen and not seen.add(h)]
+            if not new:
+                continue
+            batch = part.take(pa.array(new, pa.int64()))
             row, hashes = (np.concatenate(x) for x in zip(*_marks(batch), strict=True))
             order = np.argsort(row, kind="stable")
             first = np.searchsorted(row[order], np.arange(batch.num_rows + 1))
@@ -133,28 +143,36 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _sample(texts: DataFrame, labels: DataFrame, names: list[str]) -> DataFrame:
+    """Keys and labels of the distinct labelled texts that the models are fitted on."""
+    held = [f"label_{i}" for i in range(len(names))]
+    marked = [F.max(F.coalesce((F.col(c) > 0).cast("int"), F.lit(0))).alias(h) for c, h in zip(names, held, strict=True)]
+    known = labels.withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null").groupBy("doc_id").agg(*marked)
+    each = stored(texts.select("doc_id", "text_hash").where("doc_id is not null").distinct(), "text-keys")
+    known = known.join(each.groupBy("doc_id").agg(F.count("*").alias("n")), "doc_id")
+    found = with_lookup(each, known, ["doc_id"], "n", each.count())
+    first = F.min(F.struct(F.xxhash64("doc_id", "text_hash").alias("place"), "doc_id", *held)).alias("first")
+    return (
+        found.groupBy("text_hash").agg(first).select("text_hash", "first.*")
+        .orderBy("place", "text_hash").limit(SAMPLE).select("doc_id", "text_hash", *held)
+    )
+
+
 def fit(docs: DataFrame, labels: DataFrame, names: list[str], id_column: str = "doc_id", text_column: str = "text") -> Chain:
     """The chain over the label columns ``names``, in this order."""
-    known = labels.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        *[F.coalesce((F.col(c) > 0).cast("int"), F.lit(0)).alias(f"label_{i}") for i, c in enumerate(names)],
-    ).where("doc_id is not null")
-    chosen = known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    own = F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("text_hash")
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), own, F.col(text_column).alias("text"))
     # At most SAMPLE rows of a few numbers are broadcast.
-    rows = texts.join(F.broadcast(chosen), "doc_id")
-    numbers = ", ".join(f"label_{i} int" for i in range(len(names)))
-    own = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
-    found = rows.select("doc_id", *[f"label_{i}" for i in range(len(names))], own, "text").mapInArrow(
+    rows = texts.join(F.broadcast(stored(_sample(texts, labels, names), "sample")), ["doc_id", "text_hash"])
+    held = [f"label_{i}" for i in range(len(names))]
+    numbers = ", ".join(f"{h} int" for h in held)
+    found = rows.select("doc_id", *held, "text_hash", "text").mapInArrow(
         _hashes, f"doc_id long, {numbers}, text_hash long, hashes binary"
     )
-    sample = found.limit(2 * SAMPLE).toArrow().sort_by("doc_id")
+    sample = found.dropDuplicates(["text_hash"]).toArrow().sort_by([("doc_id", "ascending"), ("text_hash", "ascending")])
     sets = [np.frombuffer(b, np.uint32) for b in sample.column("hashes").to_pylist()]
-    # One row for equal texts, so that copies do not crowd the sample.
-    take = np.sort(np.unique(sample.column("text_hash").to_numpy(), return_index=True)[1])
-    sets = [sets[i] for i in take]
-    y = np.column_stack([sample.column(f"label_{i}").to_numpy()[take] for i in range(len(names))]).astype(np.float32)
-    fold = sample.column("doc_id").to_numpy()[take] * 2654435761 % 2**32 * FOLDS // 2**32
+    y = np.column_stack([sample.column(h).to_numpy() for h in held]).astype(np.float32)
+    fold = sample.column("doc_id").to_numpy() * 2654435761 % 2**32 * FOLDS // 2**32
     words, x = _choose(sets, y)
     weights, seen = [], np.zeros((len(x), 0), np.float32)
     for i in range(len(names)):

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from evlake.llm import decontaminate
+from evlake.llm import decontaminate, toxicity
 from evlake.llm.decontaminate import align, leaks, without_leaks
 from evlake.llm.html_text import extracted, main_text
 from evlake.llm.pii import luhn, masked, mod97, personal_data, spans
@@ -208,6 +208,20 @@ def test_a_rare_language_is_not_displaced(spark, documents):
     assert all(got[i] == bool(toxic) for i, _, toxic in labels[600:])
 
 
+def test_a_repeated_document_takes_one_place(spark, documents, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 400)
+    texts, labels = labelled(random.Random(13), 300)
+    # Copies come first; labels of ids without a document are many, and some contradict.
+    docs = documents([texts[1]] * 2000 + texts)
+    unknown = [(10_000 + i, 1, 1) for i in range(3000)]
+    known = spark.createDataFrame([(i, 0, 0) for i, _, _ in labels] + labels + unknown, "doc_id long, quality int, toxic int")
+    chain = fit(docs, known, ["quality", "toxic"])
+    got = {r.doc_id: r.rejected for r in scores(docs, chain).collect()}
+    assert all(got[i] == bool(toxic) for i, _, toxic in labels)
+    again = fit(docs.repartition(7), known.repartition(5), ["quality", "toxic"])
+    assert (again.words.tolist(), again.threshold) == (chain.words.tolist(), chain.threshold)
+
+
 def test_toxicity_of_awkward_rows(spark, awkward, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     chain = fit(awkward, labels, ["quality", "toxic"])

@@ -44,6 +44,8 @@ FOLDS = 5
 LEAST_ROWS = 5
 RIDGE = 1e-3
 STEPS = 12
+#: Steps of conjugate gradients within a Newton step.
+INNER = 40
 
 
 def _marks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -61,6 +63,23 @@ def _short(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
+@dataclass
+class Marked:
+    """Values of the features that rows have, as entries; all other values are 0."""
+
+    rows: int
+    width: int
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.column], self.rows)
+
+    def back(self, u: np.ndarray, power: int = 1) -> np.ndarray:
+        return np.bincount(self.column, self.value**power * u[self.row], self.width)
+
+
 @dataclass
 class Chain:
     """Feature words by hash, and for each label the weights and the constant."""
@@ -70,55 +89,73 @@ class Chain:
     weights: list[np.ndarray]
     threshold: float = 0.5
 
-    def features(self, batch: pa.RecordBatch) -> np.ndarray:
-        x = np.zeros((batch.num_rows, len(self.words)), np.float32)
+    def features(self, batch: pa.RecordBatch) -> Marked:
         # Most words are no feature; a table of the hashes' first bits says so at once.
         maybe = np.zeros(1 << 16, bool)
         maybe[self.words >> np.uint32(16)] = True
+        found, width = [], len(self.words)
         for row, hashes in _marks(batch):
             here = np.flatnonzero(maybe[hashes >> np.uint32(16)])
             at = np.searchsorted(self.words, hashes[here])
-            at[at == len(self.words)] = 0
+            at[at == width] = 0
             hit = self.words[at] == hashes[here] if len(here) else here
-            np.add.at(x, (row[here[hit]], at[hit]), 1)
-        return np.subtract(1, np.exp2(np.negative(x, out=x), out=x), out=x)
+            found.append(row[here[hit]] * np.int64(width) + at[hit])
+        places, times = np.unique(np.concatenate(found), return_counts=True)
+        row, column = np.divmod(places, max(width, 1))
+        return Marked(batch.num_rows, width, row, column, 1 - np.exp2(-times.astype(np.float64)))
 
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
+    def probabilities(self, x: Marked) -> np.ndarray:
         """Rows by labels; every label sees those before it."""
-        out, n = np.zeros((len(x), len(self.weights)), np.float32), x.shape[1]
+        out = np.zeros((x.rows, len(self.weights)))
         for i, w in enumerate(self.weights):
-            # Without a copy of the features, which are many.
-            out[:, i] = _sigmoid(x @ w[:n] + out[:, :i] @ w[n:-1] + w[-1])
+            out[:, i] = _probability(x, out[:, :i], w)
         return out
 
 
-def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return _sigmoid(x @ w[:-1] + w[-1])
+def _probability(x: Marked, seen: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return _sigmoid(x.times(w[: x.width]) + seen @ w[x.width : -1] + w[-1])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; both classes weigh the same, however
-    rare one is."""
-    x = np.column_stack((x, np.ones(len(x), np.float32)))
-    n = max(1, len(x))
-    share = np.clip(y.mean() if len(y) else 0.5, 1 / (n + 1), n / (n + 1))
-    weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32) / np.float32(n)
-    ridge = np.full(x.shape[1], RIDGE)
+def _fit(x: Marked, seen: np.ndarray, y: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Ridge logistic regression over the ``used`` rows by Newton steps, each solved by
+    conjugate gradients, so that no matrix of the features is made; both classes weigh
+    the same, however rare one is."""
+    n = max(1, int(used.sum()))
+    share = np.clip(y[used].mean() if used.any() else 0.5, 1 / (n + 1), n / (n + 1))
+    weight = used * np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) / n
+    ridge = np.full(x.width + seen.shape[1] + 1, RIDGE)
     ridge[-1] = 1e-9
-    w = np.zeros(x.shape[1])
+    w = np.zeros(len(ridge))
+
+    def back(u: np.ndarray, power: int = 1) -> np.ndarray:
+        return np.concatenate((x.back(u, power), (seen**power).T @ u, [u.sum()]))
+
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30)))
-        slope = x.T @ (weight * (p - y)) + ridge * w
-        curve = x.T @ (x * (weight * p * (1 - p) + np.float32(1e-9))[:, None]) + np.diag(ridge)
-        step = np.linalg.solve(curve, slope)
+        p = _probability(x, seen, w)
+        curve = weight * p * (1 - p) + used * 1e-9
+        left = back(weight * (p - y)) + ridge * w
+        scale = back(curve, 2) + ridge
+        step, enough = np.zeros(len(w)), 3e-2 * np.sqrt(left @ (left / scale))
+        toward = left / scale
+        gain = left @ toward
+        for _ in range(INNER):
+            if np.sqrt(gain) <= enough:
+                break
+            along = x.times(toward[: x.width]) + seen @ toward[x.width : -1] + toward[-1]
+            bent = back(curve * along) + ridge * toward
+            far = gain / (toward @ bent)
+            step += far * toward
+            left = left - far * bent
+            before, gain = gain, left @ (left / scale)
+            toward = left / scale + gain / before * toward
         w = w - step
-        if np.abs(step).max() < 1e-4:
+        if np.abs(step).max() < 1e-2:
             break
-    return w.astype(np.float32)
+    return w
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,14 +211,13 @@ def fit(docs: DataFrame, labels: DataFrame, names: list[str], id_column: str = "
     y = np.column_stack([sample.column(h).to_numpy() for h in held]).astype(np.float32)
     fold = sample.column("doc_id").to_numpy() * 2654435761 % 2**32 * FOLDS // 2**32
     words, x = _choose(sets, y)
-    weights, seen = [], np.zeros((len(x), 0), np.float32)
+    weights, seen = [], np.zeros((x.rows, 0))
     for i in range(len(names)):
-        inputs = np.column_stack((x, seen))
-        apart = np.zeros(len(x), np.float32)
+        apart = np.zeros(x.rows)
         for k in range(FOLDS):
             rest = fold != k
-            apart[~rest] = _probability(inputs[~rest], _fit(inputs[rest], y[rest, i]))
-        weights.append(_fit(inputs, y[:, i]))
+            apart[~rest] = _probability(x, seen, _fit(x, seen, y[:, i], rest))[~rest]
+        weights.append(_fit(x, seen, y[:, i], np.ones(x.rows, bool)))
         seen = np.column_stack((seen, apart))
     return Chain(words, names, weights, _threshold(seen[:, -1], y[:, -1]))
 
@@ -203,8 +239,8 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float((p[order][best] + below) / 2)
 
 
-def _choose(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every word that tells a label by the chi-square of its rows, and the feature matrix."""
+def _choose(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, Marked]:
+    """Every word that tells a label by the chi-square of its rows, and the rows' features."""
     words, rows = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint32), return_counts=True)
     words, rows = words[rows >= LEAST_ROWS], rows[rows >= LEAST_ROWS]
     telling = np.zeros(len(words), bool)
@@ -215,11 +251,11 @@ def _choose(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarr
         with_label = np.bincount(known, minlength=len(words))
         telling |= (with_label - rows * base) ** 2 >= LEVEL * np.maximum(1e-9, rows * base * (1 - base))
     chosen = words[telling]
-    x = np.zeros((len(sets), len(chosen)), np.float32)
-    for k, s in enumerate(sets):
-        # In the sample a word counts as there or not; a single use has feature 1/2.
-        x[k, _places(chosen, s)] = 0.5
-    return chosen, x
+    found = [_places(chosen, s) for s in sets]
+    row = np.repeat(np.arange(len(sets)), [len(f) for f in found])
+    column = np.concatenate(found) if found else np.zeros(0, np.int64)
+    # In the sample a word counts as there or not; a single use has feature 1/2.
+    return chosen, Marked(len(sets), len(chosen), row, column, np.full(len(row), 0.5))
 
 
 def _places(words: np.ndarray, found: np.ndarray) -> np.ndarray:

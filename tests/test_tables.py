@@ -135,6 +135,16 @@ def test_folded_log(spark, tmp_path):
     assert table.row_count().head()[0] == 15
 
 
+def test_every_version_of_a_folded_log(spark, tmp_path):
+    table = ParquetTable(spark, str(tmp_path), "ns", "versions", fold_every=3).open()
+    for i in range(10):
+        table.append(rows(spark, i, 1), "r", i, at(i + 1))
+    assert table.commits.last_fold() == 9 and table.commits.numbers() == [7, 8, 9, 10]
+    for version in range(1, 11):
+        assert table.commits.read(version).agg(F.max("snapshot_id")).head()[0] == version
+        assert table.read(version=version).count() == version
+
+
 def test_empty_table(spark, table):
     assert table.files().count() == 0 and table.manifests().count() == 0 and table.row_count().head()[0] == 0
     table.reset(confirm=True)

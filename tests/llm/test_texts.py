@@ -58,6 +58,15 @@ def test_checks_and_context():
     assert masked("write to a.b@c.de now") == "write to [EMAIL] now"
 
 
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82WEST12345698765432"])
+@pytest.mark.parametrize("after", ["", " BIC COBADEFF", " BIC COBADEFFXXX", " 2024 x", " on", " Next", ", 12", " 1234567890 1234567890 1234567890"])
+@pytest.mark.parametrize("before", ["", "to ", "AB12 "])
+def test_what_surrounds_an_iban(before, iban, after):
+    found = [(s.start, s.end) for s in spans(before + iban + after) if s.kind == "iban"]
+    assert found == [(len(before), len(before + iban))]
+    assert not [s for s in spans(f"{iban}X") + spans(f"x{iban}") if s.kind == "iban"]
+
+
 def test_personal_data_of_awkward_rows(awkward, nothing):
     got = personal_data(awkward).collect()
     assert len(got) == len(AWKWARD) and personal_data(nothing).count() == 0

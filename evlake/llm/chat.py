@@ -4,11 +4,14 @@ Every turn becomes ``<s>role[INST]text</s>``. In roles and texts each of the
 characters < [ \\ is followed by a backslash, so no control string can arise inside
 them, and taking the backslashes out again restores them exactly.
 
-Running sums of the turns' tokens cut a conversation into windows at turns. A window
-starts with the system turn and repeats the turns before it that fit the history
-limit; both are masked, as is everything but the texts of its own assistant turns.
-So every assistant text is a target once. A turn is never cut: one longer than the
-budget makes its window longer.
+Running sums of the turns' tokens cut a conversation into windows at turns. They are
+laid over slots of equal room: the turns that end in the slot they start in are one
+window; a turn over a slot's border begins another, with the next slot's turns if they
+fit its room. A window starts with the system turn and repeats the turns before it that
+fit the history limit and leave the budget; both are masked, as is everything but the
+texts of its own assistant turns. So every assistant text is a target once. A turn is
+never cut: only a single turn of its own that exceeds the budget next to the system
+turn makes a window longer, and then nothing else is repeated.
 
 All of it is DataFrame functions. Running sums are taken in blocks of turn numbers
 whose totals are summed in turn, and texts are put together per window, so a very
@@ -61,7 +64,8 @@ def _turns(conversations: DataFrame) -> DataFrame:
 
 
 def _placed(turns: DataFrame, budget: int, history: int) -> tuple[DataFrame, DataFrame]:
-    """Turns with their window, and one row per window."""
+    """Turns with their window, and one row per window that has turns of its own. A window
+    is called by the tokens before it."""
     first = F.min("turn").over(Window.partitionBy("conv"))
     blocks = turns.groupBy("conv", "block").agg(F.min("turn").alias("turn")).withColumn("first", first)
     known = turns.join(blocks.select("conv", "block", "first"), ["conv", "block"])
@@ -72,25 +76,36 @@ def _placed(turns: DataFrame, budget: int, history: int) -> tuple[DataFrame, Dat
     )
     conv = Window.partitionBy("conv")
     before = conv.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    room = F.lit(budget) - history - F.sum("system_tokens").over(conv)
+    space = F.greatest(F.lit(budget) - F.sum("system_tokens").over(conv), F.lit(1))
     totals = totals.select(
         "conv", "block", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("offset"),
-        F.greatest(room, F.lit(history), F.lit(1)).alias("room"),
+        # Without history where the system turn leaves little.
+        F.when(space >= 2 * history + 1, space - history).otherwise(space).alias("room"), space.alias("space"),
     )
     order = Window.partitionBy("conv", "block").orderBy("turn", "role", "piece")
     inside = F.coalesce(F.sum(own).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     known = known.withColumn("inside", inside).withColumn("number", F.row_number().over(order))
     known = known.join(totals, ["conv", "block"]).withColumn("start", F.col("offset") + F.col("inside"))
-    known = known.withColumn("window", F.when(F.col("system"), 0).otherwise(F.floor(F.col("start") / F.col("room"))))
-    known = stored(known.drop("offset", "inside", "tokens", "first"), "turns")
-    # Windows that have a turn, and where each one's successor begins.
-    windows = known.groupBy("conv", "window").agg(F.min(F.when(~F.col("system"), F.col("start"))).alias("begins"))
-    windows = windows.withColumn("no", F.row_number().over(conv.orderBy("window")))
-    following = conv.orderBy("window")
-    windows = windows.withColumn("next", F.lead("window").over(following)).withColumn(
-        "next_begins", F.lead("begins").over(following)
+    slot, last = (F.floor(F.col(c) / F.col("room")) for c in ("start", "last"))
+    known = known.withColumn("last", F.col("start") + F.col("tokens") - 1)
+    known = known.withColumn("part_no", 2 * slot + (slot != last).cast("int"))
+    known = stored(known.drop("offset", "inside", "first", "last"), "turns")
+    parts = known.where("not system").groupBy("conv", "part_no").agg(
+        F.min("start").alias("begins"), F.sum("tokens").alias("own"), F.max("room").alias("room"), F.max("space").alias("space")
+    )
+    following = conv.orderBy("part_no")
+    # A slot's turns go with the turn over the border before it if both fit.
+    before = {c: F.lag(c).over(following) for c in ("part_no", "own", "begins")}
+    joins = (F.col("part_no") % 2 == 0) & (before["part_no"] == F.col("part_no") - 1) & (before["own"] + F.col("own") <= F.col("room"))
+    parts = stored(parts.withColumn("window", F.when(joins, before["begins"]).otherwise(F.col("begins"))), "parts")
+    windows = parts.groupBy("conv", "window").agg(
+        F.greatest(F.least(F.lit(history), F.max("space") - F.sum("own")), F.lit(0)).alias("limit")
     )
-    return known, windows
+    windows = windows.withColumn("no", F.row_number().over(conv.orderBy("window")))
+    # The windows near enough to repeat a turn; a window's turns begin within the budget.
+    near = conv.orderBy("window").rangeBetween(1, budget + history)
+    windows = windows.withColumn("after", F.collect_list(F.struct("window", "limit")).over(near))
+    return known.join(parts.select("conv", "part_no", "window"), ["conv", "part_no"], "left"), windows
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -98,20 +113,18 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     that counts for the loss) and repeated (length of what earlier windows had)."""
     turns, every = _placed(_turns(conversations), budget, history)
     known = turns.where("not system").join(every, ["conv", "window"])
-    fits = F.col("next").isNotNull() & (F.col("next_begins") - F.col("start") <= history)
-    again = F.when(fits, F.array(F.struct(F.col("next").alias("window"), F.lit(1).alias("part"))))
-    place = F.concat(
-        F.array(F.struct(F.col("window"), F.lit(2).alias("part"))),
-        F.coalesce(again, F.array().cast("array<struct<window:bigint,part:int>>")),
-    )
+    near = F.filter("after", lambda w: w["window"] - F.col("start") <= w["limit"])
+    again = F.transform(near, lambda w: F.struct(w["window"].alias("window"), F.lit(1).alias("part")))
+    place = F.concat(F.array(F.struct(F.col("window"), F.lit(2).alias("part"))), again)
     shown = ["conv", "window", "part", "first_window", "turn", "block", "number", "role", "piece", "text_at", "length"]
     ordinary = (
         known.withColumn("place", F.explode(place)).withColumn("window", F.col("place.window"))
         .withColumn("part", F.col("place.part")).withColumn("first_window", F.lit(None).cast("boolean")).select(*shown)
     )
     # The system turn goes into each window of its conversation.
-    system = turns.where("system").drop("window").join(every.select("conv", "window", "no"), "conv")
-    system = system.withColumn("part", F.lit(0)).withColumn("first_window", F.col("no") == 1).select(*shown)
+    system = turns.where("system").drop("window").join(every.select("conv", "window", "no"), "conv", "left")
+    system = system.withColumn("window", F.coalesce("window", F.lit(0))).withColumn("part", F.lit(0))
+    system = system.withColumn("first_window", F.coalesce("no", F.lit(1)) == 1).select(*shown)
     rows = ordinary.unionByName(system)
     order = Window.partitionBy("conv", "window").orderBy("part", "block", "turn", "number")
     before = F.coalesce(F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -149,6 +149,27 @@ def test_round_trip(spark):
     assert windows(df.limit(0)).count() == 0 and read_back(windows(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("system", [0, 5, 40, 60, 90])
+def test_windows_keep_the_budget(spark, system):
+    rng, budget, history = random.Random(14 + system), 64, 24
+    rows = []
+    for c in range(20):
+        turns = [("system", system)] if system else []
+        turns += [(r, rng.choice([0, 1, 5, 20, 30, 50, 58, 61, 100])) for r in ["user", "assistant"] * 12]
+        rows += [(c, t, r, " ".join([f"c{c}t{t}"] * n)) for t, (r, n) in enumerate(turns)]
+    made = windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget, history).collect()
+    repeats = 0
+    for w in made:
+        sizes = [3 + len(t.split("[INST]")[1].split()) for t in w.formatted.split("</s>")[:-1]]
+        again = w.formatted[: w.repeated].count("</s>")
+        first = w.window == 0
+        own = sizes[1 if system and first else again :]
+        repeats += again > (1 if system else 0)
+        assert sum(own) and (sum(sizes) <= budget or (len(own) == 1 and len(sizes) == 1 + bool(system)))
+    assert sum(len(w.loss) for w in made) == sum(r == "assistant" for _, _, r, _ in rows)
+    assert repeats or system >= 40
+
+
 # -- pipeline -----------------------------------------------------------------
 
 

@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from evlake.llm.chat import read_back, windows
+from evlake.llm.clustering import cluster
 from evlake.llm.common import table
 from evlake.llm.decontaminate import leaks
+from evlake.llm.embedding_dedup import near_vectors
 from evlake.llm.exact_dedup import exact_duplicates
 from evlake.llm.html_text import extracted
 from evlake.llm.language_model import scores as text_scores
 from evlake.llm.mixing import mix
 from evlake.llm.near_dedup import near_duplicates
+from evlake.llm.oracles import NEIGHBOUR_SQL, TRIE_SQL, cluster_sql
 from evlake.llm.pii import personal_data
+from evlake.llm.prefix_trie import prefix_trie, rebuilt, turns_of
 from evlake.llm.sharding import shards
 from evlake.llm.toxicity import fit, scores
 
@@ -124,6 +128,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_scores(table(spark, sf_dir, "documents"))
 
 
+@query("op11_centroid_clustering", cluster_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster(table(spark, sf_dir, "embeddings"), width=64, k=8, rounds=10, seed=3, scale=1024)
+    return found.with_totals().withColumnRenamed("id", "vec_id")
+
+
+@query("op12_embedding_near_dedup", NEIGHBOUR_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(turns_of(table(spark, sf_dir, "conversations"))))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -32,6 +32,60 @@ def survival(expected: DataFrame, table: DataFrame) -> DataFrame:
     ).withColumn("all_survived", F.col("lost") == 0)
 
 
+def range_marks(rows: DataFrame, width: int) -> DataFrame:
+    """Rows and an order-free hash of their keys for each topic partition and ``width``
+    offsets: two sums, so that equal sets of rows agree in whatever order and batches they
+    came, and a lost, surplus or exchanged row shows. Marks of disjoint parts of a table add up."""
+    one, two = F.xxhash64(*ROW_KEY), F.xxhash64(F.lit("second"), *ROW_KEY)
+    return rows.groupBy(*ROW_KEY[:2], F.floor(F.col("kafka_offset") / width).alias("stretch")).agg(
+        F.count("*").alias("n"),
+        F.sum(one.cast("decimal(20,0)")).alias("mark"),
+        F.sum(two.cast("decimal(20,0)")).alias("mark_2"),
+    )
+
+
+def added_marks(parts: DataFrame) -> DataFrame:
+    """Marks of several batches as those of all their rows."""
+    place = [*ROW_KEY[:2], "stretch"]
+    return parts.groupBy(*place).agg(*[F.sum(c).alias(c) for c in ("n", "mark", "mark_2")])
+
+
+def differing_stretches(expected: DataFrame, present: DataFrame) -> DataFrame:
+    """The stretches whose marks differ, with the rows each side has there. Both sides go
+    through one aggregation, a row per stretch each."""
+    place = [*ROW_KEY[:2], "stretch"]
+    zero = {"n": "long", "mark": "decimal(38,0)", "mark_2": "decimal(38,0)"}
+    sides = []
+    for df, name in ((expected, "e"), (present, "p")):
+        own = [F.col(c).cast(t).alias(f"{name}_{c}") for c, t in zero.items()]
+        other = [F.lit(0).cast(t).alias(f"{'p' if name == 'e' else 'e'}_{c}") for c, t in zero.items()]
+        sides.append(df.select(*place, *own, *other))
+    both = sides[0].unionByName(sides[1]).groupBy(*place)
+    both = both.agg(*[F.sum(f"{s}_{c}").alias(f"{s}_{c}") for s in "ep" for c in zero])
+    differ = F.col("e_n") != F.col("p_n")
+    for c in ("mark", "mark_2"):
+        differ |= F.col(f"e_{c}") != F.col(f"p_{c}")
+    return both.where(differ).select(*place, F.col("e_n").alias("expected"), F.col("p_n").alias("present"))
+
+
+def survival_by_stretch(expected: DataFrame, table: DataFrame, width: int, marks: tuple | None = None) -> DataFrame:
+    """:func:`key_balance` of the stretches that differ, and of no other row.
+
+    ``marks`` are both sides' marks where they are kept batch by batch; else they are
+    taken here.
+    """
+    expected_marks, present_marks = marks or (range_marks(expected, width), range_marks(table, width))
+    place = [*ROW_KEY[:2], "stretch"]
+    differing = differing_stretches(expected_marks, present_marks).select(*place)
+    same = [F.col(f"rows.{c}").eqNullSafe(F.col(f"differing.{c}")) for c in place]
+
+    def inside(df: DataFrame) -> DataFrame:
+        placed = df.select(*ROW_KEY).withColumn("stretch", F.floor(F.col("kafka_offset") / width))
+        return placed.alias("rows").join(differing.alias("differing"), same, "left_semi").drop("stretch")
+
+    return key_balance(inside(expected), inside(table))
+
+
 def lost_rows(expected: DataFrame, table: DataFrame) -> DataFrame:
     return key_balance(expected, table).where("present < expected").select(*ROW_KEY)
 

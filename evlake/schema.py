@@ -37,6 +37,9 @@ EVENTS = T.StructType(
 #: Identifies one row of the table; a second row with the same key is a copy.
 ROW_KEY = ["kafka_topic", "kafka_partition", "kafka_offset", "record_index"]
 
+#: What names a stored object.
+OBJECT_KEYS = "bucket string, object_key string"
+
 #: Name of the partition column derived from ``ingest_time``.
 DAY = "ingest_time_day"
 

@@ -12,7 +12,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evlake.fixed_values import MAX_FILES, MAX_MESSAGES
+from evlake.fixed_values import FLUSH_INTERVAL_SECONDS, MAX_FILES, MAX_MESSAGES
 from evlake.schema import TOPIC
 
 #: ``"earliest"``, ``"latest"`` or the first offset to read per partition.
@@ -38,7 +38,9 @@ def from_offsets(messages: DataFrame, start: Mapping[int, int]) -> DataFrame:
 class KafkaTopic:
     """One Kafka topic; ``client`` holds any client properties, without prefix.
 
-    A batch of the stream holds at most ``max_messages``, the first one too.
+    A batch of the stream holds at most ``max_messages``, the first one too. With
+    ``min_messages`` a batch waits until so many are there or ``max_delay`` ("10 seconds")
+    has passed since the last one: so many messages or so much time, whichever is first.
     """
 
     name: str
@@ -47,6 +49,8 @@ class KafkaTopic:
     start: Start = "earliest"
     max_messages: int | None = MAX_MESSAGES
     min_partitions: int | None = None
+    min_messages: int | None = None
+    max_delay: str = f"{FLUSH_INTERVAL_SECONDS:g} seconds"
 
     def read_options(self, streaming: bool) -> dict[str, str]:
         options = {f"kafka.{k}": str(v) for k, v in self.client.items()}
@@ -63,6 +67,9 @@ class KafkaTopic:
             options["endingOffsets"] = "latest"
         if streaming and self.max_messages:
             options["maxOffsetsPerTrigger"] = str(self.max_messages)
+        if streaming and self.min_messages:
+            options["minOffsetsPerTrigger"] = str(self.min_messages)
+            options["maxTriggerDelay"] = self.max_delay
         return options
 
     def write_options(self) -> dict[str, str]:
@@ -88,6 +95,8 @@ class KafkaTopic:
 class FileTopic:
     """A topic kept as Parquet files; each ``publish`` adds files.
 
+    A batch of the stream holds at most ``max_files``, or with ``max_bytes`` as many
+    files as have so many bytes together, one at least.
     For ``start="latest"`` pass the offsets of the moment, ``next_offsets(batch)``,
     so that a restart begins where the first run did.
     """
@@ -95,10 +104,14 @@ class FileTopic:
     path: str
     start: Mapping[int, int] = field(default_factory=dict)
     max_files: int | None = MAX_FILES
+    max_bytes: int | None = None
 
     def stream(self, spark: SparkSession) -> DataFrame:
         reader = spark.readStream.schema(TOPIC)
-        if self.max_files:
+        # Spark takes one of the two.
+        if self.max_bytes:
+            reader = reader.option("maxBytesPerTrigger", self.max_bytes)
+        elif self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
         return from_offsets(reader.parquet(self.path), self.start)
 

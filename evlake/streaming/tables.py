@@ -130,21 +130,25 @@ class ParquetTable:
         if gather_days and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
             dated = dated.hint("rebalance", DAY)
         dated.write.partitionBy(DAY).parquet(folder)
-        # Row counts come from the file footers.
-        days = T.StructType([T.StructField(DAY, T.DateType())])
-        written = self.spark.read.schema(days).parquet(folder)
+        # Counts and offsets in one look at what was written.
+        fields = {f.name: f for f in self.schema.fields}
+        placed = set(_OFFSETS) <= set(fields)
+        known = [fields[c] for c in _OFFSETS] if placed else []
+        written = self.spark.read.schema(T.StructType([*known, T.StructField(DAY, T.DateType())])).parquet(folder)
         place = F.substring_index("_metadata.file_path", f"/try={name}/", -1)
-        size = F.first("_metadata.file_size")
-        counted = written.groupBy(place.alias("path"), F.col(DAY).alias("day")).agg(
-            F.count("*").alias("n_rows"), size.alias("n_bytes")
+        end = (F.max("kafka_offset") + 1 if placed else F.lit(None)).cast("long")
+        counted = written.groupBy(place.alias("path"), F.col(DAY).alias("day"), *(_OFFSETS[:2] if placed else ())).agg(
+            F.count("*").alias("n_rows"), F.first("_metadata.file_size").alias("n_bytes"), end.alias("next_offset")
         )
-        files = [{**r.asDict(), "day": str(r.day), "path": f"try={name}/{r.path}"} for r in counted.collect()]
-        if not files or not set(_OFFSETS) <= set(self.schema.fieldNames()):
-            return files, []
-        types = T.StructType([f for f in self.schema.fields if f.name in _OFFSETS])
-        seen = self.spark.read.schema(types).parquet(folder).where("kafka_offset is not null")
-        ends = seen.groupBy(*_OFFSETS[:2]).agg((F.max("kafka_offset") + 1).alias("next_offset"))
-        return files, [r.asDict() for r in ends.collect()]
+        files: dict[str, dict] = {}
+        ends: dict[tuple, int] = {}
+        for r in counted.collect():  # a row per file and topic partition in it
+            file = files.setdefault(r.path, {"path": f"try={name}/{r.path}", "day": str(r.day), "n_rows": 0, "n_bytes": r.n_bytes})
+            file["n_rows"] += r.n_rows
+            if r.next_offset is not None:
+                at = (r.kafka_topic, r.kafka_partition)
+                ends[at] = max(ends.get(at, 0), r.next_offset)
+        return list(files.values()), [dict(zip((*_OFFSETS[:2], "next_offset"), (*at, n), strict=True)) for at, n in ends.items()]
 
     def _paths(self, live: DataFrame) -> list[tuple[str, str, int, int]]:
         return [tuple(r) for r in live.select("path", F.col("day").cast("string"), "n_rows", "n_bytes").collect()]

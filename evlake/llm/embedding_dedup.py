@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evlake.llm.common import stored, with_lookup
 from evlake.llm.components import components
@@ -45,8 +46,8 @@ AXES = 64
 #: Vectors after it that each is compared with, and vectors of a block.
 WINDOW = 256
 BLOCK = 1024
-#: Components of up to so many vectors are counted many at a time, in tasks of about
-#: ``BLOCK`` vectors; larger ones in tiles of ``TILE`` vectors a side.
+#: Components of up to so many vectors are counted together, in groups of about as many
+#: vectors; larger ones in tiles of ``TILE`` vectors a side.
 SMALL = 256
 TILE = 1024
 #: What rounding may add to a cosine, many times over.
@@ -270,9 +271,9 @@ def _count_large(members: DataFrame, least: float, total: int) -> DataFrame:
     sized = members.groupBy("root").agg(F.count("*").alias("n"))
     known = with_lookup(members, centres.join(sized, "root").withColumn("n_rows", F.col("n")), ["root"], "n", total)
     known = known.select("row", "root", "n_rows", "vector", "centre")
-    kinds = stored(
-        known.mapInArrow(_in_core(least), "row long, root long, n_rows long, vector array<double>, core boolean"), "core"
-    )
+    kind = members.schema["vector"].dataType.simpleString()
+    kinds = f"row long, root long, n_rows long, vector {kind}, core boolean"
+    kinds = stored(known.mapInArrow(_in_core(least), kinds), "core")
     cores = kinds.groupBy("root").agg(F.count_if("core").alias("n_core"), F.count("*").alias("n"), F.max("n_rows").alias("m"))
     counted = with_lookup(kinds.drop("vector"), cores.drop("m"), ["root"], "n", total)
     inside = counted.select("row", F.when(F.col("core"), F.col("n_core") - 1).otherwise(F.lit(0)).alias("n"))
@@ -304,10 +305,12 @@ def near_vectors(
 ) -> DataFrame:
     """A row per row of ``vectors``: vec_id, n_links (other vectors with a cosine of at
     least ``least``), component_id and kept."""
+    # Floats travel as floats; cosines are taken of doubles all the same.
+    kind = "array<float>" if vectors.schema[vector_column].dataType == T.ArrayType(T.FloatType()) else "array<double>"
     own = vectors.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_column).cast("long").alias("vec_id"),
-        F.col(vector_column).cast("array<double>").alias("vector"),
+        F.col(vector_column).cast(kind).alias("vector"),
     )
     own = stored(own, "vectors")
     nodes = stored(components(links(own.select("row", "vector"), least, passes)), "vector-components")
@@ -317,7 +320,7 @@ def near_vectors(
     members = stored(grouped.join(own.withColumnRenamed("row", "node"), "node").withColumnRenamed("node", "row"), "members")
 
     small = members.where(F.col("size") <= SMALL)
-    bucket = F.pmod(F.xxhash64("root"), F.lit(max(total // BLOCK, 1)))
+    bucket = F.pmod(F.xxhash64("root"), F.lit(max(total // SMALL, 1)))
     counts = small.select("row", "root", "vector", bucket.alias("bucket")).groupBy("bucket")
     counts = counts.applyInArrow(_count_small(least), "row long, n long")
     large = members.where(F.col("size") > SMALL).select("row", "root", "vector")

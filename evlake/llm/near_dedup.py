@@ -1,14 +1,17 @@
 """Near duplicates by a chosen-path set similarity join.
 
-Every text is a set of word shingles with a signature of minwise tokens. A tree
-starts with all sets at its root; a node picks a few of the signature's places, by a
-hash of its own path, and each set branches to the child of the token it has there,
-once per place picked. Similar sets share most tokens and so meet in many children.
-Nodes of few sets are compared exhaustively; in larger nodes every set is compared
-with one pivot and, unless the node proves to be of one group already, branches on.
-Independent trees are repeated to reach the target recall: with ``TREES`` trees of
-``BRANCHES`` branches a pair at the threshold is missed with probability
-0.06^6 = 5e-8 even far down the trees, and 0.04^6 at the first level.
+Every text is a set of word shingles with minwise tokens. A tree starts with all sets at
+its root; each set branches to the child of the token it has in a place that the node
+picks, once per place picked. Similar sets share most tokens and so meet in many
+children. Nodes of few sets are compared exhaustively by sketches and confirmed; in
+larger nodes every set is compared with one pivot and, unless the node proves to be of
+one group already, branches on.
+
+Trees are independent: at the root every tree has ``BRANCHES`` tokens of its own, and a
+deeper node picks, by a hash of its path, among the ``BINS`` bins of the sketch, whose
+least hashes are minwise tokens too. A pair at the threshold of 0.8 is missed by one
+tree with probability 0.04 at the first level and 0.0625 however deep the tree, so by
+all ``TREES`` with 4e-9 and 6e-8.
 
 Sets that are equal are one class from the start. Pairs are confirmed on the full
 shingle sets (64-bit hashes) before they count as links; pairs inside a group that is
@@ -30,15 +33,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evlake.llm.arrays import mix, sets_of, shingles_of, slices, texts_of, words_of
-from evlake.llm.common import KEY, NO_ID, row_key, stored, whole, with_lookup
+from evlake.llm.common import KEY, NO_ID, drop_stored, row_key, stored, whole, with_lookup
 from evlake.llm.components import components
 
 TREES = 6
 BRANCHES = 2
-#: Minwise tokens of a signature.
-TOKENS = 24
-#: Nodes of up to so many sets are compared exhaustively.
-SMALL_NODE = 512
+#: Minwise tokens of a set, for the first level.
+TOKENS = TREES * BRANCHES
+#: Nodes of up to so many sets are compared exhaustively: some 1 MB of sketches and, at
+#: the most, a few seconds.
+SMALL_NODE = 4096
 #: Sets on either side of a tile, the part of a node's pairs that is confirmed at once,
 #: and nodes or tiles that a task holds at a time.
 TILE = 64
@@ -51,6 +55,8 @@ BINS = 256
 #: Pairs are dropped unconfirmed only if their sketches agree in so many standard
 #: deviations fewer bins than a pair at the threshold (probability 2e-8).
 DEVIATIONS = 5.5
+#: Bins that are looked at first.
+FIRST_BINS = 64
 
 _random = np.random.default_rng(20240607)
 _XOR = _random.integers(0, 2**64, TOKENS, np.uint64)
@@ -127,6 +133,16 @@ def _alike(sizes: tuple, sketches: tuple, percent: int) -> np.ndarray:
     return (np.minimum(*sizes) * 100 >= np.maximum(*sizes) * percent) & (same >= least)
 
 
+def _candidates(size: int, sizes: np.ndarray, sketch: np.ndarray, sketches: np.ndarray, percent: int) -> np.ndarray:
+    """Which of many sets may be similar to one: by their sizes, a part of the bins, and
+    then all of them."""
+    found = np.flatnonzero(np.minimum(size, sizes) * 100 >= np.maximum(size, sizes) * percent)
+    for bins in (FIRST_BINS, BINS):
+        possible = _alike((size, sizes[found]), (sketch[:bins], sketches[found, :bins]), percent)
+        found = found[possible]
+    return found
+
+
 def _sketch_rows(column: pa.Array) -> np.ndarray:
     data, offsets = texts_of(column)
     return data.reshape(len(offsets) - 1, BINS)
@@ -159,7 +175,7 @@ def _exhaustive(percent: int):
                 pairs = []
                 for i in range(a, b - 1):
                     rest = i + 1 + np.flatnonzero(root[i + 1 : b] != root[i])
-                    rest = rest[_alike((size[i], size[rest]), (sketch[i], sketch[rest]), percent)]
+                    rest = rest[_candidates(size[i], size[rest], sketch[i], sketch[rest], percent)]
                     if len(rest):
                         tile = (i - a) // TILE * SMALL_NODE + (rest - a) // TILE
                         low, high = np.minimum(node[i], node[rest]), np.maximum(node[i], node[rest])
@@ -306,13 +322,21 @@ class _Join:
         return rows.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _branch(rows: DataFrame, level: int) -> DataFrame:
-    """Children of each set's node: ``node`` and ``tokens`` in, the child's node out."""
-    places = [
-        F.pmod(F.xxhash64(F.col("path"), F.lit(level), F.lit(i)), F.lit(TOKENS)).cast("int") for i in range(BRANCHES)
+def _roots(classes: DataFrame) -> DataFrame:
+    """The first level: each set's children in all trees, by tokens of the tree's own."""
+    children = [
+        F.xxhash64(F.lit(t), F.lit(i), F.element_at("tokens", t * BRANCHES + i + 1))
+        for t in range(TREES)
+        for i in range(BRANCHES)
     ]
-    children = F.array(*[F.xxhash64("path", F.lit(i), p, F.element_at("tokens", p + 1)) for i, p in enumerate(places)])
-    return rows.select("node", F.explode(children).alias("path"))
+    return classes.select("node", F.explode(F.array(*children)).alias("path"))
+
+
+def _branch(rows: DataFrame) -> DataFrame:
+    """Children of each set's node: ``node``, ``path`` and ``sketch`` in, the child's path out."""
+    places = [F.pmod(F.xxhash64("path", F.lit(i)), F.lit(BINS)).cast("int") for i in range(BRANCHES)]
+    children = [F.xxhash64("path", F.lit(i), F.substring("sketch", p + 1, F.lit(1))) for i, p in enumerate(places)]
+    return rows.select("node", F.explode(F.array(*children)).alias("path"))
 
 
 def _classes(sketches: DataFrame) -> DataFrame:
@@ -347,7 +371,8 @@ def near_duplicates(
     """Groups of documents linked by shingle sets with ``percent`` in common.
 
     Returns a row per row of ``docs``: its ``KEY``, doc_id, n_shingles, component_id
-    (the group's smallest id) and kept (whether it is that document).
+    (the group's smallest id), kept (whether it has that id) and first (whether its key
+    is the group's smallest, ids before null: one key of each group, whatever its ids).
     """
     text = whole(text_column)
     texts = docs.select(*row_key(id_column, text), text.alias("text"))
@@ -355,12 +380,9 @@ def near_duplicates(
     classes = stored(_classes(sketches), "classes")
     join = _Join(texts, classes, shingle_words, percent)
 
-    # Level 1: each tree's root is the same for all sets.
-    roots = F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)]))
-    rows, level, total = classes.select("node", "tokens", roots.alias("path")), 1, classes.count() * TREES
+    rows, level, total = _roots(classes), 1, classes.count() * TREES * BRANCHES
     several = F.min("root") != F.max("root")
     while total:
-        rows, total = _branch(rows, level), total * BRANCHES
         # At first the smallest node, often the same in all trees, later another each time.
         pivot = F.min("node") if level == 1 else F.min_by("node", F.xxhash64("path", "node"))
         sizes = rows.groupBy("path").agg(F.count("*").alias("size"), pivot.alias("pivot")).where("size > 1")
@@ -375,8 +397,10 @@ def near_duplicates(
         sets = F.collect_list(F.struct("node", "root", "n_shingles", "sketch"))
         shape = "sets long, path long, tile long, a long, b long"
         join.compare_tiles(small.groupBy("path").agg(sets.alias("sets")).mapInArrow(_exhaustive(percent), shape))
-        large = mixed.where(F.col("size") > SMALL_NODE).join(classes.select("node", "tokens"), "node")
-        rows = stored(large.select("node", "tokens", "path"), "rows")
+        large = mixed.where(F.col("size") > SMALL_NODE).join(classes.select("node", "sketch"), "node")
+        rows = stored(_branch(large), "rows")
+        for done in (live, placed, mixed):
+            drop_stored(done)
         level, total = level + 1, rows.count()
 
     return _placed(sketches, classes, join.roots)
@@ -384,19 +408,23 @@ def near_duplicates(
 
 def _placed(sketches: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Every row with its group's smallest id."""
-    own = classes.select(*CLASS, "node", "members", F.when(F.col("row_id") != NO_ID, F.col("row_id")).alias("least"))
+    given = F.when(F.col("row_id") != NO_ID, F.col("row_id"))
+    order = F.struct(F.col("row_id") == NO_ID, *KEY)
+    own = classes.select(*CLASS, "node", "members", given.alias("least"), order.alias("head"))
     if roots is None:
         groups = own.withColumn("component_id", F.col("least"))
     else:
         own = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        own = stored(own, "own")
-        lowest = own.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
-        groups = with_lookup(own, lowest, ["root"], "n", own.count())
-    groups = stored(groups.select(*CLASS, "members", "component_id"), "groups")
+        own = stored(own.drop("node"), "own")
+        lowest = own.groupBy("root").agg(
+            F.min("least").alias("component_id"), F.min("head").alias("lowest_head"), F.count("*").alias("n")
+        )
+        groups = with_lookup(own, lowest, ["root"], "n", own.count()).withColumn("head", F.col("lowest_head"))
+    groups = stored(groups.select(*CLASS, "members", "component_id", "head"), "groups")
     total = groups.agg(F.coalesce(F.sum("members"), F.lit(0))).head()[0]
-    given = F.when(F.col("row_id") != NO_ID, F.col("row_id"))
-    shown = [*KEY, given.alias("doc_id"), "n_shingles"]
+    shown = [*KEY, given.alias("doc_id"), "n_shingles", "component_id"]
     some = with_lookup(sketches.where("n_shingles > 0"), groups, CLASS, "members", total)
     none = sketches.where("n_shingles = 0").withColumn("component_id", given)
-    result = some.select(*shown, "component_id").unionByName(none.select(*shown, "component_id"))
+    result = some.select(*shown, (order == F.col("head")).alias("first"))
+    result = result.unionByName(none.select(*shown, F.lit(True).alias("first")))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

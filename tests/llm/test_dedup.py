@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from evlake.llm import components as components_module
+from evlake.llm import near_dedup
 from evlake.llm.components import components
 from evlake.llm.exact_dedup import exact_duplicates
 from evlake.llm.near_dedup import near_duplicates
@@ -112,3 +113,48 @@ def test_components_by_either_way(spark, monkeypatch):
     monkeypatch.setattr(components_module, "TASK_EDGES", 0)
     assert {r.node: r.root for r in components(links).collect()} == want
     assert components(links.where(F.lit(False))).count() == 0
+
+
+def family(rng, base, edits):
+    copy = list(base)
+    for at in rng.sample(range(len(base)), edits):
+        copy[at] = f"edit{rng.randrange(10**6)}"
+    return " ".join(copy)
+
+
+def test_deep_trees_against_brute_force(documents, monkeypatch):
+    """With nodes of 8 sets at most compared at once, trees grow to many levels; families
+    around the threshold keep their nodes large."""
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 8)
+    rng, texts = random.Random(11), []
+    # Single words changed in 120, so pairs of a family share about so much:
+    for edits in (6, 4, 3, 2):
+        for _ in range(3):
+            base = words(rng, 120)
+            texts += [family(rng, base, edits) for _ in range(25)]
+    # Isolated pairs at 0.80 to 0.85.
+    for _ in range(150):
+        base = words(rng, 120)
+        texts += [" ".join(base), family(rng, base, rng.choice([4, 5]))]
+    texts = list(enumerate(texts))
+    got = {r.doc_id: r.component_id for r in near_duplicates(documents(texts), shingle_words=4).collect()}
+    want = brute_components(texts, 4, 80)
+    linked = [i for i in want if want[i] != i]
+    assert len(linked) > 100 and all(got[i] == got[got[i]] for i in got)
+    # Nothing is linked that should not be, and hardly anything is missed.
+    assert all(want[i] == want[got[i]] for i in got)
+    assert sum(got[i] == want[i] for i in linked) >= 0.99 * len(linked)
+
+
+def test_one_of_each_group(documents):
+    """Also where ids are missing or repeat."""
+    text = "one two three four five six seven eight nine ten"
+    texts = [(None, text), (None, text + " "), (None, text + "  "), (7, "other words " + text[::-1]), (7, text[::-1] + " x")]
+    texts += [(9, "a b c d e f g"), (None, "a b c d e f g "), (9, "a b c d e f g  "), (8, None), (None, "")]
+    got = near_duplicates(documents(texts), shingle_words=4).collect()
+    groups = Counter()
+    for r in got:
+        groups[r.n_shingles, r.component_id] += r.first
+    shown = [r for r in got if r.n_shingles in (7, 4)]
+    assert sum(r.first for r in shown if r.n_shingles == 7) == 1 and sum(r.first for r in shown if r.n_shingles == 4) == 1
+    assert all(r.first for r in got if r.n_shingles == 0)

@@ -32,10 +32,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, 0.8) the document with the
-    smallest id stays; of rows repeated in full, one. Documents with a null id are one
-    group's last and stay only where a group has no other id."""
+    smallest id stays (a null id comes last; then by its text); of rows repeated in full,
+    one. Texts without words are no group and stay."""
     groups = near_duplicates(docs, shingle_words=5, percent=80)
-    wanted = stored(groups.where("kept").groupBy(*KEY).agg(F.count("*").alias("rows")), "kept")
+    wanted = stored(groups.where("first").groupBy(*KEY).agg(F.count("*").alias("rows")), "kept")
     keyed = docs.select(*docs.columns, *[k.alias(f"__{n}") for k, n in zip(row_key("doc_id", whole("text")), KEY, strict=True)])
     names = [f"__{n}" for n in KEY]
 
@@ -56,7 +56,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, up to three times; documents of
-    sources above their share go in part."""
+    sources above their share go in part. A null id or text is a value like others; rows
+    alike in id and text are taken equally often."""
     _, taken = mix(docs)
     times = taken.groupBy("doc_id", "row_hash").agg(F.count("*").alias("__times"))
     key = F.xxhash64(whole("text"))
@@ -66,9 +67,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     each = held.join(alike, held["__id"].eqNullSafe(alike["__id"]) & (held["__hash"] == alike["__hash"])).select(
         held["__id"], held["__hash"], F.ceil(F.col("__times") / F.col("__alike")).cast("int").alias("__times")
     )
+    each = each.select("__id", "__hash", F.explode(F.array_repeat(F.lit(1), F.col("__times"))))
     same = docs["doc_id"].eqNullSafe(each["__id"]) & (key == each["__hash"])
-    copies = F.explode(F.array_repeat(F.lit(1), F.col("__times"))).alias("__copy")
-    return docs.join(each, same).select(*[docs[c] for c in docs.columns], copies).drop("__copy")
+    return docs.join(each, same).select(*[docs[c] for c in docs.columns])
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

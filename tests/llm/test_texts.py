@@ -109,6 +109,53 @@ def test_pages(spark):
     assert main_text("<div>" * 50_000 + "deep" + "</div>" * 50_000) == "deep"
 
 
+LONG = "Some words, of an article, with commas. " * 3
+
+
+def in_article(inner):
+    return f"<body><nav><a href=x>Home</a></nav><article><h1>T</h1><p>{LONG}</p>{inner}</article><footer>F</footer></body>"
+
+
+@pytest.mark.parametrize(
+    "inner, text",
+    [
+        ('<p class="share-price">It rose.</p>', "It rose."),
+        ('<p class="related-work">Others.</p>', "Others."),
+        ('<p class="menu">Soup.</p>', "Soup."),
+        ('<p class="notice">Read this.</p>', "Read this."),
+        ('<section id="search-algorithms"><p>Bisect.</p></section>', "Bisect."),
+        ("<p>If <math><mi>x</mi><mo>&lt;</mo><mn>1</mn></math> holds</p>", "If x<1 holds"),
+        ("<select><option>one<p>After it.", "After it."),
+        ("<svg><text>drawn</text></svg><p>Seen.</p>", "Seen."),
+        ("<object>unclosed<p>Kept.</p>", "unclosed\nKept."),
+        ('<div class="social-share">Share</div><div class="related-posts">More</div><p class="ad">Buy</p>', ""),
+        ('<div class="cookie-notice">We use cookies</div><ol id="comments"><li>First!</li></ol><form>Name</form>', ""),
+        ('<article class="comment">Nice.</article><aside>By the way</aside><div class="sidebar left">Left</div>', ""),
+    ],
+)
+def test_article_text_stays_and_the_rest_goes(inner, text):
+    lines = main_text(in_article(inner)).split("\n")
+    assert lines[:2] == ["T", LONG.strip()] and "\n".join(lines[2:]) == text
+
+
+def test_several_articles():
+    parts = [f"<article><p>{LONG} {n}</p></article>" for n in ("one", "two")]
+    page = f"<body>{parts[0]}<article class=teaser>Short</article><div>{parts[1]}</div></body>"
+    assert main_text(page).split("\n") == [f"{LONG}one", f"{LONG}two"]
+
+
+@pytest.mark.parametrize(
+    "piece", ["<div>", "<!", "<p>", "<!--", "<select>", '<a "', '<a x="', "<li>", "<p><button><div>", "<b>", "</b>", "<td><p>", "<option>"]
+)
+def test_time_grows_with_the_page(piece):
+    import time
+
+    start = time.perf_counter()
+    main_text("<p>text " + piece * (500_000 // len(piece)) + "end>")
+    assert time.perf_counter() - start < 10
+
+
+
 # -- benchmark passages -------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from evlake.fixed_values import SCALE_STOPS
 from evlake.functions import progress_math as pm
 from evlake.operators.offsets import consumer_lag, topic_totals, watermarks
 from evlake.plans import progress
@@ -111,6 +112,24 @@ def met8(spark, sf_dir):
     )
 
 
+@query(
+    "met8_records_by_day",
+    f"""{ROWS} SELECT CAST(make_timestamp(sent_us) AS DATE) AS day, CAST(count(*) AS BIGINT) AS records,
+      count(DISTINCT CASE WHEN sent_us < {int(inputs.COMMIT_TIMES[0].timestamp() * 1_000_000)} THEN 0
+        WHEN sent_us < {int(inputs.COMMIT_TIMES[1].timestamp() * 1_000_000)} THEN 1 ELSE 2 END) AS tries FROM r GROUP BY 1""",
+)
+def met8_days(spark, sf_dir):
+    """Per day, what the log says of the files that are really there: their records and
+    the commits they came with."""
+    table = inputs.table(spark, sf_dir)
+    name = F.regexp_extract("path", "(try=[^/]+/.*)$", 1).alias("path")
+    there = list_objects(spark, f"{table.path}/data", ".parquet").select(name)
+    known = table.live().join(there, "path", "left_semi")
+    return known.groupBy("day").agg(
+        F.sum("n_rows").alias("records"), F.count_distinct(F.substring_index("path", "/", 1)).alias("tries")
+    )
+
+
 @query(
     "met9_partial_failure",
     f"""{ROWS} SELECT 'demo' AS pipeline, count(*) AS table_rows, (SELECT count(*) FROM m) AS topic_retained,
@@ -205,10 +224,7 @@ def met16(spark, sf_dir):
     return progress.levels(inputs.samples(spark, sf_dir), "table_rows", 20, 8)
 
 
-_STOPS = " ".join(
-    f"WHEN v <= {s} THEN {s}"
-    for s in (10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 10000, 20000, 50000, 100000, 200000, 500000, 1000000)
-)
+_STOPS = " ".join(f"WHEN v <= {s} THEN {s}" for s in SCALE_STOPS)
 
 
 @query(

@@ -239,6 +239,27 @@ def flt5(spark, sf_dir):
     return inputs.payload_rows(spark, sf_dir, sql).select("kafka_offset", "bucket", "object_key")
 
 
+_ANY_SECTION = _SECTION_SQL.replace("event_id %", "event_id div 3 %")
+_ANY_HIDDEN = f"(event_id // 3) % 12 IN ({_SECTION_HIDDEN})"
+
+
+@query(
+    "flt5_every_section",
+    f"""SELECT event_id AS kafka_offset,
+      CASE WHEN NOT ({_ANY_HIDDEN} AND event_id % 3 IN (0, 1)) THEN 'b-' || user_id END AS bucket,
+      CASE WHEN NOT ({_ANY_HIDDEN} AND event_id % 3 IN (0, 2)) THEN 'k-' || event_id END AS object_key FROM events""",
+)
+def flt5_every(spark, sf_dir):
+    """The same for each of the sections: s3, and the bucket and the object inside it."""
+    bucket, obj = """{"name":"b-' || user_id || '"}""", """{"key":"k-' || event_id || '"}"""
+    first = f"' || {_ANY_SECTION} || '"
+    sql = f"""CASE event_id % 3
+      WHEN 0 THEN '{{"s3":{first},"S3":{{"bucket":{bucket},"object":{obj}}}}}'
+      WHEN 1 THEN '{{"s3":{{"bucket":{first},"Bucket":{bucket},"object":{obj}}}}}'
+      ELSE '{{"s3":{{"bucket":{bucket},"object":{first},"Object":{obj}}}}}' END"""
+    return inputs.payload_rows(spark, sf_dir, sql).select("kafka_offset", "bucket", "object_key")
+
+
 # Value as written in the payload (X stands for the event id), expected text.
 _TEXTS = [
     ('"name-X"', "'name-' || event_id"), ('"  name-X "', "'name-' || event_id"), ('"   "', "'other'"),

@@ -74,13 +74,18 @@ def _kept(parsed: DataFrame) -> DataFrame:
 def _csv_records(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     """Each file by its own header; files with the same header are read together. A
     line with more or fewer fields than the header is kept as it is."""
-    first = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at")
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("line"),
     )
-    # The first line of the block that starts the file.
-    numbered = first.where("at = 0").withColumn("line", F.monotonically_increasing_id())
-    headers = numbered.groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    by_header = headers.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    # The first line of the block that starts the file; and whether a quoted field may go
+    # on in the next line. Only such files have to be read by one task each.
+    odd = [F.regexp_count("value", F.lit(quote)) % 2 == 1 for quote in ('"', r'(?<!\\)"')]
+    files = lines.groupBy("path").agg(
+        F.min_by("value", F.when(F.col("at") == 0, F.col("line"))).alias("header"),
+        F.bool_or(odd[0] | odd[1]).alias("over_lines"),
+    )
+    by_header = files.groupBy("header", "over_lines").agg(F.collect_list("path").alias("paths")).collect()
     parts = []
     for row in by_header:
         names = next(csv.reader([row.header.lstrip("\ufeff")]))
@@ -91,7 +96,7 @@ def _csv_records(spark: SparkSession, paths: list[str]) -> DataFrame | None:
         shape = T.StructType([T.StructField(n, T.StringType()) for n in [*names, bad]])
         table = (
             spark.read.schema(shape).option("header", "true").option("columnNameOfCorruptRecord", bad)
-            .option("multiLine", "true").option("mode", "PERMISSIVE").csv([unquote(p) for p in row.paths])
+            .option("multiLine", row.over_lines).option("mode", "PERMISSIVE").csv([unquote(p) for p in row.paths])
         )
         quoted = [F.col(f"`{n}`") for n in names]
         # The file's path comes along before any column is dropped.

@@ -69,3 +69,16 @@ def test_nothing_notified(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x.json").write_text("{}")
     assert object_records(spark, notified(spark, "y.json"), str(tmp_path), str(tmp_path), ".json").count() == 0
+
+
+def test_csv_over_lines(spark, tmp_path):
+    """Files with fields over several lines are read whole, the others in parts."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "over.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
+    (folder / "escaped.csv").write_text('a,b\n3,"say \\"so\nand on"\n')
+    (folder / "plain.csv").write_text('a,b\n4,"in quotes, here"\n')
+    keys = ("over.csv", "escaped.csv", "plain.csv")
+    found = object_records(spark, notified(spark, *keys), str(tmp_path), str(tmp_path), ".csv").collect()
+    got = sorted((json.loads(r.record)["a"], json.loads(r.record)["b"]) for r in found)
+    assert got == [("1", "x\ny"), ("2", "z"), ("3", 'say "so\nand on'), ("4", "in quotes, here")]

@@ -161,43 +161,80 @@ def _plausible(percent: int):
 
 
 def _exhaustive(percent: int):
-    """Plausible pairs, between groups not yet linked, of every small node's sets; each
-    with the tile of the node's square of pairs that it lies in."""
+    """Plausible pairs, between groups not yet linked, of every small node's sets, packed
+    by tiles of the node's square of pairs: a row per tile with the sets it needs. A pair
+    that meets in several nodes belongs to the one with the smallest path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("sets")
             fields = lists.values
             node, root, size = (fields.field(c).to_numpy() for c in ("node", "root", "n_shingles"))
-            sketch = _sketch_rows(fields.field("sketch"))
+            sketch, places = _sketch_rows(fields.field("sketch")), _padded(fields.field("paths"))
             first = lists.offsets.to_numpy()
             for path, a, b in zip(batch.column("path").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
                 pairs = []
                 for i in range(a, b - 1):
                     rest = i + 1 + np.flatnonzero(root[i + 1 : b] != root[i])
                     rest = rest[_candidates(size[i], size[rest], sketch[i], sketch[rest], percent)]
+                    rest = rest[_belongs(path, places[i], places[rest])]
                     if len(rest):
                         tile = (i - a) // TILE * SMALL_NODE + (rest - a) // TILE
-                        low, high = np.minimum(node[i], node[rest]), np.maximum(node[i], node[rest])
-                        pairs.append(np.stack((tile, low, high)))
+                        pairs.append(np.stack((tile, np.full(len(rest), node[i]), node[rest])))
                 if pairs:
-                    found = np.concatenate(pairs, 1)
-                    same = [pa.array(np.full(found.shape[1], x, np.int64)) for x in (b - a, path)]
-                    yield pa.RecordBatch.from_arrays([*same, *map(pa.array, found)], ["sets", "path", "tile", "a", "b"])
+                    yield _tiles(path, np.concatenate(pairs, 1))
 
     return run
 
 
+#: Fills the rows of a table of paths; no path is so.
+_NO_PATH = np.iinfo(np.int64).max
+
+
+def _padded(paths: pa.ListArray) -> np.ndarray:
+    """Lists of paths as a table."""
+    ends, values = paths.offsets.to_numpy(), paths.values.to_numpy()
+    counts = np.diff(ends)
+    table = np.full((len(counts), max(int(counts.max(initial=0)), 1)), _NO_PATH)
+    table[np.arange(table.shape[1]) < counts[:, None]] = values[ends[0] : ends[-1]]
+    return table
+
+
+def _belongs(path: int, own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether ``path`` is the smallest that a set shares with each of the others."""
+    shared = (others[:, :, None] == own[None, None, :]).any(2)
+    return np.where(shared, others, _NO_PATH).min(1, initial=_NO_PATH) == path
+
+
+def _tiles(path: int, pairs: np.ndarray) -> pa.RecordBatch:
+    pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
+    cuts = np.flatnonzero(np.diff(pairs[0], prepend=-1, append=-1))
+    needed = [np.unique(pairs[1:, s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+    ends = pa.array(cuts.astype(np.int32))
+    members = pa.array(np.concatenate(([0], np.cumsum([len(m) for m in needed]))).astype(np.int32))
+    columns = [
+        pa.array(np.full(len(needed), path, np.int64)),
+        pa.array(pairs[0][cuts[:-1]]),
+        pa.ListArray.from_arrays(members, pa.array(np.concatenate(needed))),
+        pa.ListArray.from_arrays(ends, pa.array(pairs[1])),
+        pa.ListArray.from_arrays(ends, pa.array(pairs[2])),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["path", "tile", "needed", "a", "b"])
+
+
+TILES = "path long, tile long, needed array<long>, a array<long>, b array<long>"
+
+
 def _confirm_tile(shingle_words: int, percent: int):
     """Links among a tile's texts, each taken apart once; of links that close a circle
     within the tile none is needed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            members, pairs = batch.column("members"), batch.column("pairs")
+            members, pairs = batch.column("members"), batch.column("a")
             first, upto = members.offsets.to_numpy(), pairs.offsets.to_numpy()
             names = members.values.field("node").to_numpy()
-            one, two = (pairs.values.field(c).to_numpy() for c in ("a", "b"))
+            one, two = (batch.column(c).values.to_numpy() for c in ("a", "b"))
             for t in range(batch.num_rows):
                 own = members.values.slice(first[t], first[t + 1] - first[t])
                 node = names[first[t] : first[t + 1]].tolist()
@@ -252,9 +289,9 @@ class _Join:
         self.links: list[DataFrame] = []
         self.roots: DataFrame | None = None
 
-    def _fetch(self, pairs: DataFrame) -> DataFrame:
-        """Texts of the classes in ``pairs``; each is fetched once in a run."""
-        need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    def _fetch(self, need: DataFrame) -> DataFrame:
+        """Texts of the classes ``need`` (node); each is fetched once in a run."""
+        need = need.distinct()
         for have in self.fetched:
             need = need.join(have.select("node"), "node", "left_anti")
         # Stored, so that its size is known when the join is planned.
@@ -281,7 +318,7 @@ class _Join:
         pairs = stored(candidates, "pairs")
         if pairs.isEmpty():
             return
-        texts = self._fetch(pairs)
+        texts = self._fetch(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         # Plain joins of stored tables, so that adaptive execution can split the
         # partition of a pivot with very many partners.
         with_b = pairs.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
@@ -289,22 +326,18 @@ class _Join:
         self._found(stored(both.mapInArrow(self.confirm, "a long, b long"), "links"))
 
     def compare_tiles(self, candidates: DataFrame) -> None:
-        """The same for pairs (sets, path, tile, a, b) of small nodes. A pair is confirmed
-        in one tile only, of the node with the most sets, where most of its like are too;
-        a text goes to each of its tiles once, not once per pair."""
-        spark, place = candidates.sparkSession, F.max(F.struct("sets", "path", "tile")).alias("place")
-        with _few_rows(spark, BATCH_NODES):
-            pairs = stored(candidates, "tile-pairs").groupBy("a", "b").agg(place)
-            pairs = stored(pairs.select("place.path", "place.tile", "a", "b"), "tiles")
-            if pairs.isEmpty():
+        """The same for the tiles of small nodes. A text goes to each of its tiles once,
+        not once per pair."""
+        with _few_rows(candidates.sparkSession, BATCH_NODES):
+            tiles = stored(candidates, "tiles")
+            if tiles.isEmpty():
                 return
-            texts = self._fetch(pairs)
-            each = pairs.select("path", "tile", F.explode(F.array("a", "b")).alias("node")).distinct()
-            members = each.join(texts, "node").groupBy("path", "tile")
-            tiles = members.agg(F.collect_list(F.struct("node", "text")).alias("members")).join(
-                pairs.groupBy("path", "tile").agg(F.collect_list(F.struct("a", "b")).alias("pairs")), ["path", "tile"]
+            each = tiles.select("path", "tile", F.explode("needed").alias("node"))
+            members = each.join(self._fetch(each.select("node")), "node").groupBy("path", "tile")
+            whole_tiles = members.agg(F.collect_list(F.struct("node", "text")).alias("members")).join(
+                tiles.drop("needed"), ["path", "tile"]
             )
-            found = stored(tiles.select("members", "pairs").mapInArrow(self.confirm_tile, "a long, b long"), "links")
+            found = stored(whole_tiles.select("members", "a", "b").mapInArrow(self.confirm_tile, "a long, b long"), "links")
         self._found(found)
 
     def _found(self, found: DataFrame) -> None:
@@ -393,10 +426,13 @@ def near_duplicates(
         placed = stored(join.placed(live).select("path", "size", "node", "root"), "placed")
         mixed = placed.groupBy("path").agg(F.count("*").alias("n"), several.alias("several")).where("several")
         mixed = stored(with_lookup(placed, mixed.select("path", "n"), ["path"], "n", placed.count()), "mixed")
-        small = mixed.where(F.col("size") <= SMALL_NODE).join(classes.select("node", "n_shingles", "sketch"), "node")
-        sets = F.collect_list(F.struct("node", "root", "n_shingles", "sketch"))
-        shape = "sets long, path long, tile long, a long, b long"
-        join.compare_tiles(small.groupBy("path").agg(sets.alias("sets")).mapInArrow(_exhaustive(percent), shape))
+        small = mixed.where(F.col("size") <= SMALL_NODE)
+        # Every set with all the small nodes it is in, to tell where a pair belongs.
+        own = small.groupBy("node").agg(F.collect_set("path").alias("paths"))
+        own = own.join(classes.select("node", "n_shingles", "sketch"), "node")
+        sets = F.collect_list(F.struct("node", "root", "n_shingles", "sketch", "paths"))
+        nodes = small.select("path", "node", "root").join(own, "node").groupBy("path").agg(sets.alias("sets"))
+        join.compare_tiles(nodes.mapInArrow(_exhaustive(percent), TILES))
         large = mixed.where(F.col("size") > SMALL_NODE).join(classes.select("node", "sketch"), "node")
         rows = stored(_branch(large), "rows")
         for done in (live, placed, mixed):

@@ -221,9 +221,19 @@ def test_stages_take_awkward_rows(spark, awkward, nothing, tmp_path):
     spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for name, stage in corpus_pipeline.STAGES:
         got = stage(spark, awkward, str(tmp_path))
+        # A column that an operator's own would clash with stays too.
+        assert name == "sharding" or got.columns == awkward.columns, name
         if name in ("toxicity", "decontamination", "sharding"):
             assert got.count() == len(AWKWARD), name
         if name == "near_dedup":
             # One of the four copies, and all others.
             assert sorted(r.doc_id or 0 for r in got.select("doc_id").collect()) == [0, 1, 2, 3, 4, 5, 6, 6, 8]
         assert stage(spark, nothing, str(tmp_path)).count() == 0, name
+
+
+def test_near_copies_without_ids(documents, spark, tmp_path):
+    """One of them stays, as of a group in which some have ids."""
+    text = " ".join(f"word{i}" for i in range(60))
+    docs = documents([(None, text), (None, text + "  "), (None, text + " more"), (3, "other " * 9), (None, "other " * 9)])
+    got = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, str(tmp_path)).collect()
+    assert sorted(r.doc_id or 0 for r in got) == [0, 3]

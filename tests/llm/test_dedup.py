@@ -123,9 +123,11 @@ def family(rng, base, edits):
 
 
 def test_deep_trees_against_brute_force(documents, monkeypatch):
-    """With nodes of 8 sets at most compared at once, trees grow to many levels; families
-    around the threshold keep their nodes large."""
-    monkeypatch.setattr(near_dedup, "SMALL_NODE", 8)
+    """With nodes of 10 sets at most compared at once, trees grow deeper; families around
+    the threshold keep their nodes large."""
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 10)
+    levels, branch = [], near_dedup._branch
+    monkeypatch.setattr(near_dedup, "_branch", lambda rows: levels.append(1) or branch(rows))
     rng, texts = random.Random(11), []
     # Single words changed in 120, so pairs of a family share about 0.68, 0.78 and 0.85.
     for edits in (6, 4, 3):
@@ -139,7 +141,7 @@ def test_deep_trees_against_brute_force(documents, monkeypatch):
     got = {r.doc_id: r.component_id for r in near_duplicates(documents(texts), shingle_words=4).collect()}
     want = brute_components(texts, 4, 80)
     linked = [i for i in want if want[i] != i]
-    assert len(linked) > 100 and all(got[i] == got[got[i]] for i in got)
+    assert len(levels) > 2 and len(linked) > 80 and all(got[i] == got[got[i]] for i in got)
     # Nothing is linked that should not be, and hardly anything is missed.
     assert all(want[i] == want[got[i]] for i in got)
     assert sum(got[i] == want[i] for i in linked) >= 0.99 * len(linked)

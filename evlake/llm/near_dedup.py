@@ -43,10 +43,14 @@ TOKENS = TREES * BRANCHES
 #: Nodes of up to so many sets are compared exhaustively: some 1 MB of sketches and, at
 #: the most, a few seconds.
 SMALL_NODE = 4096
-#: Sets on either side of a tile, the part of a node's pairs that is confirmed at once,
-#: and nodes or tiles that a task holds at a time.
-TILE = 64
+#: Sets on either side of a tile, the part of a node's pairs that is confirmed at once: a
+#: text goes to at most SMALL_NODE / TILE tiles of a node. And the nodes and tiles that a
+#: task holds at a time.
+TILE = 256
 BATCH_NODES = 16
+BATCH_TILES = 4
+#: Paths by which a node's sets are known to meet in an earlier node, bits of a number.
+EARLIER = 64
 #: A list of wanted texts of up to so many rows (some 10 MB) is broadcast to the scan;
 #: beyond that the texts are shuffled to it.
 BROADCAST_ROWS = 200_000
@@ -173,9 +177,10 @@ def _exhaustive(percent: int):
             sketch, places = _sketch_rows(fields.field("sketch")), _padded(fields.field("paths"))
             first = lists.offsets.to_numpy()
             for path, a, b in zip(batch.column("path").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
-                pairs = []
+                pairs, earlier = [], _earlier(path, places[a:b])
                 for i in range(a, b - 1):
-                    rest = i + 1 + np.flatnonzero(root[i + 1 : b] != root[i])
+                    here = (root[i + 1 : b] != root[i]) & (earlier[i + 1 - a :] & earlier[i - a] == 0)
+                    rest = i + 1 + np.flatnonzero(here)
                     rest = rest[_candidates(size[i], size[rest], sketch[i], sketch[rest], percent)]
                     rest = rest[_belongs(path, places[i], places[rest])]
                     if len(rest):
@@ -200,6 +205,18 @@ def _padded(paths: pa.ListArray) -> np.ndarray:
     return table
 
 
+def _earlier(path: int, places: np.ndarray) -> np.ndarray:
+    """Bits for the most shared of the paths smaller than ``path``: sets with a bit in
+    common meet there, so their pair need not be looked at here. Only a part of the
+    paths has bits; :func:`_belongs` decides."""
+    found, at, counts = np.unique(places, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero((found < path) & (counts > 1))
+    shared = shared[np.argsort(-counts[shared], kind="stable")[:EARLIER]]
+    bits = np.zeros(len(found), np.uint64)
+    bits[shared] = np.uint64(1) << np.arange(len(shared), dtype=np.uint64)
+    return np.bitwise_or.reduce(bits[at.reshape(places.shape)], axis=1)
+
+
 def _belongs(path: int, own: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Whether ``path`` is the smallest that a set shares with each of the others."""
     shared = (others[:, :, None] == own[None, None, :]).any(2)
@@ -238,12 +255,16 @@ def _confirm_tile(shingle_words: int, percent: int):
             for t in range(batch.num_rows):
                 own = members.values.slice(first[t], first[t + 1] - first[t])
                 node = names[first[t] : first[t + 1]].tolist()
-                sets = {}
-                rows = pa.RecordBatch.from_arrays([own.field("text"), pa.array(range(len(node)))], ["text", "at"])
-                for piece in slices(rows, "text"):
+                found, counts = [], []
+                for piece in slices(pa.RecordBatch.from_arrays([own.field("text")], ["text"]), "text"):
                     hashes, at = sets_of(*shingles_of(words_of(*texts_of(piece.column("text"))), shingle_words))
-                    for k, i in enumerate(piece.column("at").to_pylist()):
-                        sets[node[i]] = hashes[at[k] : at[k + 1]]
+                    found.append(hashes)
+                    counts.append(np.diff(at))
+                # The tile's shingles by number, so that a set is looked up by marks.
+                known, numbers = np.unique(np.concatenate(found), return_inverse=True)
+                numbers, ends = numbers.astype(np.int32), np.cumsum(np.concatenate(counts)).tolist()
+                sets = {x: numbers[s:e] for x, s, e in zip(node, [0, *ends], ends, strict=False)}
+                marks, marked = np.zeros(len(known), bool), None
                 parent = {x: x for x in node}
 
                 def root(x, parent=parent):
@@ -256,7 +277,11 @@ def _confirm_tile(shingle_words: int, percent: int):
                     if root(a) == root(b):
                         continue
                     x, y = sets[a], sets[b]
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    if a != marked:  # pairs come in the order of a
+                        if marked is not None:
+                            marks[sets[marked]] = False
+                        marks[x], marked = True, a
+                    shared = int(np.count_nonzero(marks[y]))
                     if 100 * shared >= percent * (len(x) + len(y) - shared):
                         parent[root(a)] = root(b)
                         links.append((a, b))
@@ -337,6 +362,7 @@ class _Join:
             whole_tiles = members.agg(F.collect_list(F.struct("node", "text")).alias("members")).join(
                 tiles.drop("needed"), ["path", "tile"]
             )
+        with _few_rows(candidates.sparkSession, BATCH_TILES):
             found = stored(whole_tiles.select("members", "a", "b").mapInArrow(self.confirm_tile, "a long, b long"), "links")
         self._found(found)
 

@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from evlake.llm import components as components_module
@@ -159,3 +160,37 @@ def test_one_of_each_group(documents):
     shown = [r for r in got if r.n_shingles in (7, 4)]
     assert sum(r.first for r in shown if r.n_shingles == 7) == 1 and sum(r.first for r in shown if r.n_shingles == 4) == 1
     assert all(r.first for r in got if r.n_shingles == 0)
+
+
+def test_texts_of_a_near_group_go_to_few_tiles(documents, monkeypatch):
+    """A group just below the threshold, where every pair must be confirmed: its texts are
+    not copied once per pair or per small tile, and the groups found are those of brute force."""
+    copied, tiles_of = [], near_dedup._Join.compare_tiles
+
+    def counted(self, candidates):
+        tiles = near_dedup.stored(candidates, "seen")
+        copied.append(tiles.agg(F.coalesce(F.sum(F.size("needed")), F.lit(0))).head()[0])
+        tiles_of(self, tiles)
+
+    monkeypatch.setattr(near_dedup._Join, "compare_tiles", counted)
+    rng = random.Random(17)
+    base = words(rng, 120)
+    texts = list(enumerate([family(rng, base, 3) for _ in range(260)]))
+    got = {r.doc_id: r.component_id for r in near_duplicates(documents(texts), shingle_words=4).collect()}
+    assert got == brute_components(texts, 4, 80)
+    assert 0 < sum(copied) <= 6 * len(texts)
+
+
+def test_pairs_of_earlier_nodes(monkeypatch):
+    """Bits in common mean a smaller path in common; those without may have one."""
+    rng, none = np.random.default_rng(5), near_dedup._NO_PATH
+    places = rng.integers(-40, 40, (50, 6))
+    places[rng.random(places.shape) < 0.3] = none
+    for most in (2, 64):
+        monkeypatch.setattr(near_dedup, "EARLIER", most)
+        bits = near_dedup._earlier(10, places)
+        for a in range(50):
+            for b in range(50):
+                shared = {p for p in places[a].tolist() if p < 10} & set(places[b].tolist())
+                assert a == b or not bits[a] & bits[b] or shared
+                assert a == b or most == 2 or bool(bits[a] & bits[b]) == bool(shared)

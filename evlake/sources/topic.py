@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from evlake.fixed_values import FLUSH_INTERVAL_SECONDS, MAX_FILES, MAX_MESSAGES
 from evlake.schema import TOPIC
 
+#: Bytes of a row group, compressed. A file is split between tasks at its row groups only,
+#: and with Parquet's own 128 MB a batch of one file would be the work of one task.
+GROUP_BYTES = 1024 * 1024
+
 #: ``"earliest"``, ``"latest"`` or the first offset to read per partition.
 Start = str | Mapping[int, int]
 
@@ -119,4 +123,5 @@ class FileTopic:
         return from_offsets(spark.read.schema(TOPIC).parquet(self.path), self.start)
 
     def publish(self, messages: DataFrame) -> None:
-        messages.select(*TOPIC.fieldNames()).write.mode("append").parquet(self.path)
+        writer = messages.select(*TOPIC.fieldNames()).write.mode("append")
+        writer.option("parquet.block.size", GROUP_BYTES).parquet(self.path)

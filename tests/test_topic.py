@@ -2,6 +2,9 @@
 
 import os
 
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
 from evlake.operators.offsets import consumer_lag, next_offsets, watermarks
 from evlake.sources import objects
 from evlake.sources.topic import FileTopic, KafkaTopic
@@ -70,3 +73,17 @@ def test_listing(spark, tmp_path):
     # Contents stay unread.
     plan = every._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
+
+
+def test_one_file_can_be_read_by_many_tasks(spark, tmp_path):
+    topic = FileTopic(str(tmp_path / "topic"))
+    value = F.concat(*[F.sha2((F.col("id") * 7 + i).cast("string"), 512) for i in range(8)]).cast("binary")
+    rows = spark.range(16_000).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), value.alias("value"),
+        F.current_timestamp().alias("timestamp"),
+    )
+    topic.publish(rows.coalesce(1))
+    (file,) = [f for f in os.listdir(topic.path) if f.endswith(".parquet")]
+    groups = pq.ParquetFile(f"{topic.path}/{file}").metadata
+    assert groups.num_row_groups >= 4 and groups.num_rows == 16_000
+    assert max(groups.row_group(i).num_rows for i in range(groups.num_row_groups)) < 8_000

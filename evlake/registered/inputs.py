@@ -36,13 +36,18 @@ def _once(spark: SparkSession, what: str, sf_dir: str, make):
     return _made[key]
 
 
+def notified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A message for every event. The events are spread before, whatever files they came
+    in: they are short, and making the messages is the work."""
+    return notifications(events(spark, sf_dir).repartition("event_id"))
+
+
 def topic(spark: SparkSession, sf_dir: str) -> FileTopic:
     """All events published as notifications."""
 
     def make() -> FileTopic:
         made = FileTopic(new_folder(spark, "topic"))
-        # Spread like a topic's messages are, whatever files the events came in.
-        made.publish(notifications(events(spark, sf_dir)).repartition("partition", "offset"))
+        made.publish(notified(spark, sf_dir))
         return made
 
     return _once(spark, "topic", sf_dir, make)

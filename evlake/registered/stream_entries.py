@@ -13,7 +13,6 @@ from evlake.registered.table_entries import _copies, _ingest, _notified, _ONCE,
 from evlake.registered.topic_entries import COORDINATES
 from evlake.session import new_folder
 from evlake.sources.listing import list_prefixes, sub_prefixes
-from evlake.sources.notifications import notifications
 from evlake.sources.objects import list_objects
 from evlake.sources.topic import FileTopic
 from evlake.streaming.content_sink import content_sink, loaded_records
@@ -27,9 +26,10 @@ PARTS = 4
 
 def _by_partition(spark, sf_dir, **bounds) -> FileTopic:
     """The topic with one file for each of its partitions, published one after another."""
-    made, topic = notifications(inputs.events(spark, sf_dir)), FileTopic(new_folder(spark, "topic"), **bounds)
+    made, topic = inputs.notified(spark, sf_dir), FileTopic(new_folder(spark, "topic"), **bounds)
     for part in range(PARTS):
-        topic.publish(made.where(F.col("partition") == part).coalesce(1))
+        # Made by all tasks, written by one.
+        topic.publish(made.where(F.col("partition") == part).repartition(1))
     return topic
 
 
@@ -89,7 +89,7 @@ def ing9(spark, sf_dir):
 def ext1_stream(spark, sf_dir):
     """A topic that delivers a part of its messages again, in the next batch and once
     more when it is too late: every row comes once, and what came too late is told."""
-    made = notifications(inputs.events(spark, sf_dir)).orderBy("timestamp")
+    made = inputs.notified(spark, sf_dir).orderBy("timestamp")
     topic, table = FileTopic(new_folder(spark, "topic"), max_files=1), inputs.new_table(spark, "no-copies")
     half = F.lit(inputs.utc(2024, 1, 16))
     first, second = made.where(sent() < half), made.where(~(sent() < half))

@@ -20,7 +20,6 @@ from evlake.registered.topic_entries import ALL_COLUMNS, COORDINATES, all_column
 from evlake.schema import DAY, EVENTS
 from evlake.session import new_folder
 from evlake.sources.contents import object_records
-from evlake.sources.notifications import notifications
 from evlake.sources.objects import list_objects
 from evlake.sources.topic import FileTopic
 from evlake.streaming.ingest import Ingest, Retry, Sink, console_sink
@@ -139,7 +138,7 @@ def snk4(spark, sf_dir):
 )
 def ing2(spark, sf_dir):
     """What arrives between two ticks of the trigger is one commit; idle ticks make none."""
-    made, half = notifications(inputs.events(spark, sf_dir)), F.lit(inputs.utc(2024, 1, 16))
+    made, half = inputs.notified(spark, sf_dir), F.lit(inputs.utc(2024, 1, 16))
     topic, table = FileTopic(new_folder(spark, "topic")), inputs.new_table(spark, "ticks")
     topic.publish(made.where(sent() < half))
     query = _ingest(spark, topic, table).start(spark, every=0.5)
@@ -167,7 +166,7 @@ def ing10(spark, sf_dir):
 @query("src3_resume", _ONCE)
 def src3(spark, sf_dir):
     """A second run on the same checkpoint takes up where the first stopped."""
-    made = notifications(inputs.events(spark, sf_dir))
+    made = inputs.notified(spark, sf_dir)
     topic, table = FileTopic(new_folder(spark, "topic")), inputs.new_table(spark, "resumed")
     job = _ingest(spark, topic, table)
     half = F.lit(inputs.utc(2024, 1, 16))
@@ -245,7 +244,7 @@ def ing7(spark, sf_dir):
 def ing8(spark, sf_dir):
     """Four files on the topic, one admitted per batch: four commits."""
     topic = FileTopic(new_folder(spark, "topic"), max_files=1)
-    topic.publish(notifications(inputs.events(spark, sf_dir)).repartition(4, "partition", "offset"))
+    topic.publish(inputs.notified(spark, sf_dir).repartition(4, "partition", "offset"))
     table = inputs.new_table(spark, "bounded")
     _ingest(spark, topic, table).drain(spark)
     return table.history().agg(F.count("*").alias("commits"), F.sum("added").alias("n_rows"))

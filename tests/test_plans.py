@@ -8,6 +8,7 @@ from evlake.operators.copies import drop_copies
 from evlake.operators.decode import decode
 from evlake.operators.flatten import flatten
 from evlake.plans import reconcile, table_queries
+from evlake.registered import inputs
 from evlake.sources.topic import FileTopic
 
 
@@ -63,3 +64,16 @@ def test_only_keys_with_copies_are_ranked(spark, topic_of, tmp_path):
     # semi join, and all but a task's first copy stay behind.
     assert "SortAggregate" not in physical and "HashAggregate" in physical
     assert "WindowGroupLimit" in physical and physical.index("WindowGroupLimit") < physical.index("LeftSemi")
+
+
+def test_messages_are_made_after_the_events_are_spread(spark, tmp_path):
+    columns = "id AS event_id, timestamp_ntz'2024-01-02 03:04:05' AS ts, id AS user_id, 'view' AS event_type, 1.5D AS value"
+    spark.range(200).selectExpr(*columns.split(", ")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    made = inputs.notified(spark, str(tmp_path))
+    # Also where one file is written for each topic partition: the filter goes below.
+    for df, exchanges in ((made, 1), (made.where("partition = 1").repartition(1), 2)):
+        optimized, physical = explained(df)
+        assert physical.count("Exchange") == exchanges
+        spread = physical.index("Exchange hashpartitioning(event_id")
+        assert "md5" in physical[:spread] and "md5" not in physical[spread:]
+    assert made.count() == 200

@@ -16,7 +16,7 @@ from evlake.sources.listing import list_prefixes, sub_prefixes
 from evlake.sources.objects import list_objects
 from evlake.sources.topic import FileTopic
 from evlake.streaming.content_sink import content_sink, loaded_records
-from evlake.streaming.ingest import Sink, payload_sink, stop_mark
+from evlake.streaming.ingest import Sink, payload_sink, shown_payloads, stop_mark
 from evlake.streaming.progress_log import read_progress, rows_so_far
 from evlake.streaming.sample_stream import kept_history, live_rates
 from evlake.streaming.task_sink import JsonFolder, JsonFolderWriter, whole_files
@@ -312,7 +312,7 @@ def snk1_files(spark, sf_dir):
     """Every payload as indented JSON in text files, written by the tasks."""
     out, table = new_folder(spark, "payloads"), inputs.new_table(spark, "payloads")
     _ingest(spark, inputs.topic(spark, sf_dir), table, sinks=[payload_sink(out)]).drain(spark)
-    shown = spark.read.option("lineSep", "\n\n").text(f"{out}/*/*").where("value <> ''")
+    shown = shown_payloads(spark, out)
     # More than one line wherever there is more than one member.
     lines = F.regexp_count("value", F.lit("\n"))
     inner = F.col("value").rlike(r"(?s)^[{\[].*[^{}\[\]\s]")

@@ -22,7 +22,7 @@ from evlake.session import new_folder
 from evlake.sources.contents import object_records
 from evlake.sources.objects import list_objects
 from evlake.sources.topic import FileTopic
-from evlake.streaming.ingest import Ingest, Retry, Sink, console_sink
+from evlake.streaming.ingest import Ingest, Retry, Sink, console_sink, shown_payloads
 from evlake.streaming.tables import CommitConflict, ParquetTable
 
 
@@ -88,16 +88,11 @@ def snk3(spark, sf_dir):
 )
 def snk1(spark, sf_dir):
     """Every payload of a stream shown as indented JSON, here to a file."""
-    out, shown = new_folder(spark, "shown"), []
-
-    def keep(rows, decoded, batch_id):
-        console_sink(show=shown.append).write(rows, decoded, batch_id)
-
-    table = inputs.new_table(spark, "console")
-    _ingest(spark, inputs.topic(spark, sf_dir), table, sinks=[Sink("console", keep, required=True)]).drain(spark)
+    out, table = new_folder(spark, "shown"), inputs.new_table(spark, "console")
+    _ingest(spark, inputs.topic(spark, sf_dir), table, sinks=[console_sink(path=out)]).drain(spark)
+    shown = shown_payloads(spark, out).count()
     keys = table.read().select("kafka_partition", "kafka_offset").distinct()
-    keys.write.parquet(out)
-    return spark.read.parquet(out).agg(F.lit(len(shown)).cast("long").alias("shown"), F.count("*").alias("messages"))
+    return keys.agg(F.lit(shown).cast("long").alias("shown"), F.count("*").alias("messages"))
 
 
 @query(

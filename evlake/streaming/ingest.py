@@ -73,17 +73,27 @@ class Sink:
     close: Callable[[], None] | None = None
 
 
-def console_sink(n: int | None = None, show: Callable[[str], None] = print) -> Sink:
-    """Shows the payloads of each batch as indented JSON, all or the first ``n``. They
-    pass the driver one partition at a time; for looking at small topics. A whole topic
-    is written out by :func:`payload_sink`."""
+def console_sink(
+    n: int | None = None, show: Callable[[str], None] = print, path: str | None = None
+) -> Sink:
+    """Shows the payloads of each batch as indented JSON, all or the first ``n``.
+
+    With ``path`` they are shown in text files there, as :func:`payload_sink` writes
+    them, by the tasks and required. Without it they pass the driver one partition at a
+    time; for looking at small topics.
+    """
 
     def write(rows: DataFrame, decoded: DataFrame, batch_id: int) -> None:
         payloads = indented(decoded.where("is_json"))
-        for (text,) in (payloads if n is None else payloads.limit(n)).toLocalIterator():
+        if n is not None:
+            payloads = payloads.limit(n)
+        if path is not None:
+            _write_payloads(payloads, path, batch_id)
+            return
+        for (text,) in payloads.toLocalIterator():
             show(text + "\n")
 
-    return Sink("console", write)
+    return Sink("console", write, required=path is not None)
 
 
 def indented(decoded: DataFrame) -> DataFrame:
@@ -102,13 +112,22 @@ def payload_sink(path: str) -> Sink:
     per run and batch; a blank line follows each."""
 
     def write(rows: DataFrame, decoded: DataFrame, batch_id: int) -> None:
-        target = f"{path}/run_id={query_id(decoded.sparkSession)}/batch_id={batch_id}"
-        shown = indented(decoded.where("is_json"))
-        shown.write.mode("overwrite").option("lineSep", "\n\n").text(target)
+        _write_payloads(indented(decoded.where("is_json")), path, batch_id)
 
     return Sink("payloads", write, required=True)
 
 
+def _write_payloads(shown: DataFrame, path: str, batch_id: int) -> None:
+    target = f"{path}/run_id={query_id(shown.sparkSession)}/batch_id={batch_id}"
+    shown.write.mode("overwrite").option("lineSep", "\n\n").text(target)
+
+
+def shown_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """What the sinks above have written below ``path``, a row per payload: indented JSON
+    has no blank line inside."""
+    return spark.read.option("lineSep", "\n\n").text(f"{path}/*/*").where("value <> ''")
+
+
 def quarantine_sink(path: str) -> Sink:
     """Keeps messages that give no row, in a folder per run and batch, and logs how
     many there were and where. A repeated batch replaces its own folder only."""

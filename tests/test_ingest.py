@@ -10,7 +10,7 @@ from evlake.operators.copies import copy_counts, drop_copies, drop_copies_stream
 from evlake.operators.decode import decode
 from evlake.operators.flatten import flatten
 from evlake.sources.topic import FileTopic, next_offsets
-from evlake.streaming.ingest import Ingest, Retry, Sink, console_sink, quarantine_sink
+from evlake.streaming.ingest import Ingest, Retry, Sink, console_sink, quarantine_sink, shown_payloads
 from evlake.streaming.tables import ParquetTable
 
 EVENT = json.dumps({"Records": [{"eventName": "n"}]})
@@ -177,3 +177,12 @@ def test_streaming_dedup(spark, lake, topic_of):
     writer = drop_copies_streaming(rows, "1 hour").writeStream.format("parquet").trigger(availableNow=True)
     writer.option("checkpointLocation", str(lake.path / "cp2")).start(out).awaitTermination()
     assert spark.read.parquet(out).count() == 3
+
+
+def test_console_in_files_passes_no_payload_through_the_driver(spark, lake, topic_of, tmp_path, monkeypatch):
+    lake.topic.publish(topic_of([EVENT, "not json", '{"a": "x\\n\\ny"}', '""']))
+    out = str(tmp_path / "shown")
+    monkeypatch.setattr(spark.range(1).__class__, "toLocalIterator", lambda *args, **more: pytest.fail("through the driver"))
+    lake.job(sinks=[console_sink(path=out)]).drain(spark)
+    want = [json.dumps(json.loads(t), indent=2) for t in (EVENT, '{"a": "x\\n\\ny"}', '""')]
+    assert sorted(r.value for r in shown_payloads(spark, out).collect()) == sorted(want)

@@ -44,10 +44,12 @@ def _mark(edges: DataFrame) -> tuple:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``links`` has columns a and b; returns node and root for every node in them."""
-    edges = stored(
-        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
-    )
+    """``links`` has columns a and b and is stored, as it is read twice; returns node and
+    root for every node in them."""
+    links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    if links.count() <= TASK_EDGES:
+        return links.coalesce(1).mapInArrow(_union_find, "node long, root long")
+    edges = stored(links.distinct(), "edges")
     mark = _mark(edges)
     if mark[0] <= TASK_EDGES:
         return edges.coalesce(1).mapInArrow(_union_find, "node long, root long")

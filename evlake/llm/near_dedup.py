@@ -3,9 +3,9 @@
 Every text is a set of word shingles with minwise tokens. A tree starts with all sets at
 its root; each set branches to the child of the token it has in a place that the node
 picks, once per place picked. Similar sets share most tokens and so meet in many
-children. Nodes of few sets are compared exhaustively by sketches and confirmed; in
-larger nodes every set is compared with one pivot and, unless the node proves to be of
-one group already, branches on.
+children. Nodes of few sets are compared exhaustively by sketches and confirmed; only in
+larger nodes every set is compared with one pivot first and, unless the node proves to be
+of one group already, branches on.
 
 Trees are independent: at the root every tree has ``BRANCHES`` tokens of its own, and a
 deeper node picks, by a hash of its path, among the ``BINS`` bins of the sketch, whose
@@ -44,15 +44,16 @@ TOKENS = TREES * BRANCHES
 #: the most, a few seconds.
 SMALL_NODE = 4096
 #: Sets on either side of a tile, the part of a node's pairs that is confirmed at once: a
-#: text goes to at most SMALL_NODE / TILE tiles of a node. And the nodes and tiles that a
-#: task holds at a time.
+#: text goes to at most SMALL_NODE / TILE tiles of a node. And the pairs of sketches that
+#: are looked at together, and the nodes and tiles that a task holds at a time.
 TILE = 256
+PAIRS = 4096
 BATCH_NODES = 16
 BATCH_TILES = 4
 #: Paths by which a node's sets are known to meet in an earlier node, bits of a number.
 EARLIER = 64
-#: A list of wanted texts of up to so many rows (some 10 MB) is broadcast to the scan;
-#: beyond that the texts are shuffled to it.
+#: A list of wanted texts, and of linked sets, of up to so many rows (some 10 MB) is
+#: broadcast to the scan; beyond that the rows are shuffled to it.
 BROADCAST_ROWS = 200_000
 #: Bins of a sketch: each holds a byte of the least hash that falls into it.
 BINS = 256
@@ -127,23 +128,28 @@ def _confirm(shingle_words: int, percent: int):
     return run
 
 
+def _counts(marks: np.ndarray) -> np.ndarray:
+    """Marks per row, of which there are a multiple of eight: eight bytes at a time."""
+    return np.bitwise_count(marks.view(np.uint64)).sum(-1, dtype=np.int64)
+
+
 def _alike(sizes: tuple, sketches: tuple, percent: int) -> np.ndarray:
     """Whether sets' sizes and sketches allow the similarity asked for."""
     one, two = sketches
     share = percent / 100
-    bins = ((one | two) > 0).sum(-1)
-    same = ((one == two) & (one > 0)).sum(-1)
+    bins = _counts((one | two) > 0)
+    same = _counts((one == two) & (one > 0))
     least = share * bins - DEVIATIONS * np.sqrt(share * (1 - share) * bins)
     return (np.minimum(*sizes) * 100 >= np.maximum(*sizes) * percent) & (same >= least)
 
 
-def _candidates(size: int, sizes: np.ndarray, sketch: np.ndarray, sketches: np.ndarray, percent: int) -> np.ndarray:
-    """Which of many sets may be similar to one: by their sizes, a part of the bins, and
-    then all of them."""
-    found = np.flatnonzero(np.minimum(size, sizes) * 100 >= np.maximum(size, sizes) * percent)
+def _candidates(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs (one, two) of sets may be similar: by their sizes, a part of the
+    bins, and then all of them."""
+    found = np.flatnonzero(np.minimum(sizes[one], sizes[two]) * 100 >= np.maximum(sizes[one], sizes[two]) * percent)
     for bins in (FIRST_BINS, BINS):
-        possible = _alike((size, sizes[found]), (sketch[:bins], sketches[found, :bins]), percent)
-        found = found[possible]
+        a, b = one[found], two[found]
+        found = found[_alike((sizes[a], sizes[b]), (sketches[a, :bins], sketches[b, :bins]), percent)]
     return found
 
 
@@ -177,17 +183,24 @@ def _exhaustive(percent: int):
             sketch, places = _sketch_rows(fields.field("sketch")), _padded(fields.field("paths"))
             first = lists.offsets.to_numpy()
             for path, a, b in zip(batch.column("path").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
-                pairs, earlier = [], _earlier(path, places[a:b])
-                for i in range(a, b - 1):
-                    here = (root[i + 1 : b] != root[i]) & (earlier[i + 1 - a :] & earlier[i - a] == 0)
-                    rest = i + 1 + np.flatnonzero(here)
-                    rest = rest[_candidates(size[i], size[rest], sketch[i], sketch[rest], percent)]
-                    rest = rest[_belongs(path, places[i], places[rest])]
-                    if len(rest):
-                        tile = (i - a) // TILE * SMALL_NODE + (rest - a) // TILE
-                        pairs.append(np.stack((tile, np.full(len(rest), node[i]), node[rest])))
-                if pairs:
-                    yield _tiles(path, np.concatenate(pairs, 1))
+                earlier, step = _earlier(path, places[a:b]), max(1, PAIRS // (b - a))
+                # With a bit left over, every path that is shared has one.
+                exact = int(np.bitwise_or.reduce(earlier)) < 1 << EARLIER - 1
+                for top in range(a, b - 1, TILE):
+                    end, pairs = min(top + TILE, b - 1), []
+                    for i in range(top, end, step):
+                        rows = slice(i, min(i + step, end))
+                        here = root[rows, None] != root[i + 1 : b]
+                        here &= earlier[rows.start - a : rows.stop - a, None] & earlier[i + 1 - a :] == 0
+                        one, two = (x + i for x in np.nonzero(np.triu(here)))
+                        two += 1
+                        found = _candidates(one, two, size, sketch, percent)
+                        if not exact:
+                            found = found[_belongs(path, places[one[found]], places[two[found]])]
+                        if len(found):
+                            pairs.append(np.stack((one[found], two[found])))
+                    if pairs:
+                        yield _tiles(path, node, a, np.concatenate(pairs, 1))
 
     return run
 
@@ -217,29 +230,28 @@ def _earlier(path: int, places: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(bits[at.reshape(places.shape)], axis=1)
 
 
-def _belongs(path: int, own: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Whether ``path`` is the smallest that a set shares with each of the others."""
-    shared = (others[:, :, None] == own[None, None, :]).any(2)
+def _belongs(path: int, ones: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether ``path`` is the smallest that the sets of each pair share."""
+    shared = (others[:, :, None] == ones[:, None, :]).any(2)
     return np.where(shared, others, _NO_PATH).min(1, initial=_NO_PATH) == path
 
 
-def _tiles(path: int, pairs: np.ndarray) -> pa.RecordBatch:
-    pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
-    cuts = np.flatnonzero(np.diff(pairs[0], prepend=-1, append=-1))
-    needed = [np.unique(pairs[1:, s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
-    ends = pa.array(cuts.astype(np.int32))
-    members = pa.array(np.concatenate(([0], np.cumsum([len(m) for m in needed]))).astype(np.int32))
-    columns = [
-        pa.array(np.full(len(needed), path, np.int64)),
-        pa.array(pairs[0][cuts[:-1]]),
-        pa.ListArray.from_arrays(members, pa.array(np.concatenate(needed))),
-        pa.ListArray.from_arrays(ends, pa.array(pairs[1])),
-        pa.ListArray.from_arrays(ends, pa.array(pairs[2])),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["path", "tile", "needed", "a", "b"])
+def _tiles(path: int, node: np.ndarray, first: int, pairs: np.ndarray) -> pa.RecordBatch:
+    """Pairs of places, packed by tile as the bits of a table of the sets on either side."""
+    one, two = pairs
+    tile = (one - first) // TILE * SMALL_NODE + (two - first) // TILE
+    rows = []
+    for t in np.unique(tile):
+        (a, at_a), (b, at_b) = (np.unique(x[tile == t], return_inverse=True) for x in (one, two))
+        bits = np.zeros((len(a), len(b)), bool)
+        bits[at_a, at_b] = True
+        rows.append((path, t, node[np.union1d(a, b)], node[a], node[b], np.packbits(bits).tobytes()))
+    kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3, pa.binary()]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, ["path", "tile", "needed", "a", "b", "pairs"])
 
 
-TILES = "path long, tile long, needed array<long>, a array<long>, b array<long>"
+TILES = "path long, tile long, needed array<long>, a array<long>, b array<long>, pairs binary"
 
 
 def _confirm_tile(shingle_words: int, percent: int):
@@ -248,10 +260,9 @@ def _confirm_tile(shingle_words: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            members, pairs = batch.column("members"), batch.column("a")
-            first, upto = members.offsets.to_numpy(), pairs.offsets.to_numpy()
+            members = batch.column("members")
+            first = members.offsets.to_numpy()
             names = members.values.field("node").to_numpy()
-            one, two = (batch.column(c).values.to_numpy() for c in ("a", "b"))
             for t in range(batch.num_rows):
                 own = members.values.slice(first[t], first[t + 1] - first[t])
                 node = names[first[t] : first[t + 1]].tolist()
@@ -273,7 +284,10 @@ def _confirm_tile(shingle_words: int, percent: int):
                     return x
 
                 links = []
-                for a, b in zip(one[upto[t] : upto[t + 1]].tolist(), two[upto[t] : upto[t + 1]].tolist(), strict=True):
+                one, two = (batch.column(c)[t].as_py() for c in ("a", "b"))
+                bits = np.unpackbits(np.frombuffer(batch.column("pairs")[t].as_py(), np.uint8), count=len(one) * len(two))
+                for i, j in zip(*(x.tolist() for x in np.nonzero(bits.reshape(len(one), len(two)))), strict=True):
+                    a, b = one[i], two[j]
                     if root(a) == root(b):
                         continue
                     x, y = sets[a], sets[b]
@@ -313,18 +327,25 @@ class _Join:
         self.fetched: list[DataFrame] = []
         self.links: list[DataFrame] = []
         self.roots: DataFrame | None = None
+        self.last = False
 
-    def _fetch(self, need: DataFrame) -> DataFrame:
-        """Texts of the classes ``need`` (node); each is fetched once in a run."""
-        need = need.distinct()
+    def _fetch(self, need: DataFrame, most: int, again: bool = True) -> DataFrame:
+        """Texts of the classes ``need`` (node, ``most`` rows). Each is fetched once in a
+        run, and kept if any is to be read ``again``."""
         for have in self.fetched:
             need = need.join(have.select("node"), "node", "left_anti")
-        # Stored, so that its size is known when the join is planned.
-        keyed = stored(need.join(self.classes.select("node", *KEY), "node"), "wanted")
-        if keyed.count() <= BROADCAST_ROWS:
-            keyed = F.broadcast(keyed)
+        own = self.classes.select("node", *KEY)
+        if most <= BROADCAST_ROWS:
+            keyed = F.broadcast(own.join(F.broadcast(need), "node", "left_semi"))
+        else:
+            # Stored, so that its size is known when the join is planned.
+            keyed = stored(own.join(need.distinct(), "node", "left_semi"), "wanted")
+            if keyed.count() <= BROADCAST_ROWS:
+                keyed = F.broadcast(keyed)
         # Rows repeated in full have one key, and any of them will do.
         own = self.texts.join(keyed, KEY).select("node", "text").dropDuplicates(["node"])
+        if not again:
+            return reduce(DataFrame.unionByName, [*self.fetched, own])
         self.fetched.append(stored(own, "pair-texts"))
         return reduce(DataFrame.unionByName, self.fetched)
 
@@ -341,9 +362,10 @@ class _Join:
     def compare(self, candidates: DataFrame) -> None:
         """Confirm candidate pairs (a, b); the similar ones join their groups."""
         pairs = stored(candidates, "pairs")
-        if pairs.isEmpty():
+        count = pairs.count()
+        if not count:
             return
-        texts = self._fetch(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        texts = self._fetch(pairs.select(F.explode(F.array("a", "b")).alias("node")), 2 * count)
         # Plain joins of stored tables, so that adaptive execution can split the
         # partition of a pivot with very many partners.
         with_b = pairs.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
@@ -352,18 +374,21 @@ class _Join:
 
     def compare_tiles(self, candidates: DataFrame) -> None:
         """The same for the tiles of small nodes. A text goes to each of its tiles once,
-        not once per pair."""
+        not once per pair; it is not kept on the last level."""
         with _few_rows(candidates.sparkSession, BATCH_NODES):
             tiles = stored(candidates, "tiles")
-            if tiles.isEmpty():
+            count = tiles.agg(F.coalesce(F.sum(F.size("needed")), F.lit(0))).head()[0]
+            if not count:
                 return
             each = tiles.select("path", "tile", F.explode("needed").alias("node"))
-            members = each.join(self._fetch(each.select("node")), "node").groupBy("path", "tile")
+            texts = self._fetch(each.select("node"), count, not self.last)
+            members = each.join(texts, "node").groupBy("path", "tile")
             whole_tiles = members.agg(F.collect_list(F.struct("node", "text")).alias("members")).join(
                 tiles.drop("needed"), ["path", "tile"]
             )
         with _few_rows(candidates.sparkSession, BATCH_TILES):
-            found = stored(whole_tiles.select("members", "a", "b").mapInArrow(self.confirm_tile, "a long, b long"), "links")
+            whole_tiles = whole_tiles.select("members", "a", "b", "pairs")
+            found = stored(whole_tiles.mapInArrow(self.confirm_tile, "a long, b long"), "links")
         self._found(found)
 
     def _found(self, found: DataFrame) -> None:
@@ -374,11 +399,21 @@ class _Join:
         self.roots = stored(components(reduce(DataFrame.unionByName, self.links)), "roots")
         self.links.append(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
-    def placed(self, rows: DataFrame) -> DataFrame:
-        """Rows with the root of their node's group so far."""
+    @contextmanager
+    def mixed(self, live: DataFrame) -> Iterator[DataFrame]:
+        """The rows of nodes with sets of more than one group, with their groups' roots."""
         if self.roots is None:
-            return rows.withColumn("root", F.col("node"))
-        return rows.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            # Nothing is linked, so every set is a group.
+            yield live.withColumn("root", F.col("node"))
+            return
+        several = F.min("root") != F.max("root")
+        rows = live.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        placed = stored(rows.select("path", "size", "node", "root"), "placed")
+        found = placed.groupBy("path").agg(F.count("*").alias("n"), several.alias("several")).where("several")
+        found = stored(with_lookup(placed, found.select("path", "n"), ["path"], "n", placed.count()), "mixed")
+        yield found
+        for done in (placed, found):
+            drop_stored(done)
 
 
 def _roots(classes: DataFrame) -> DataFrame:
@@ -440,30 +475,30 @@ def near_duplicates(
     join = _Join(texts, classes, shingle_words, percent)
 
     rows, level, total = _roots(classes), 1, classes.count() * TREES * BRANCHES
-    several = F.min("root") != F.max("root")
     while total:
         # At first the smallest node, often the same in all trees, later another each time.
         pivot = F.min("node") if level == 1 else F.min_by("node", F.xxhash64("path", "node"))
         sizes = rows.groupBy("path").agg(F.count("*").alias("size"), pivot.alias("pivot")).where("size > 1")
         live = stored(with_lookup(rows, sizes.withColumn("n", F.col("size")), ["path"], "n", total), "live")
-        stars = live.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        join.compare(join.plausible(stars, percent))
-        # Only nodes with sets of more than one group are of further interest.
-        placed = stored(join.placed(live).select("path", "size", "node", "root"), "placed")
-        mixed = placed.groupBy("path").agg(F.count("*").alias("n"), several.alias("several")).where("several")
-        mixed = stored(with_lookup(placed, mixed.select("path", "n"), ["path"], "n", placed.count()), "mixed")
-        small = mixed.where(F.col("size") <= SMALL_NODE)
-        # Every set with all the small nodes it is in, to tell where a pair belongs.
-        own = small.groupBy("node").agg(F.collect_set("path").alias("paths"))
-        own = own.join(classes.select("node", "n_shingles", "sketch"), "node")
-        sets = F.collect_list(F.struct("node", "root", "n_shingles", "sketch", "paths"))
-        nodes = small.select("path", "node", "root").join(own, "node").groupBy("path").agg(sets.alias("sets"))
-        join.compare_tiles(nodes.mapInArrow(_exhaustive(percent), TILES))
-        large = mixed.where(F.col("size") > SMALL_NODE).join(classes.select("node", "sketch"), "node")
-        rows = stored(_branch(large), "rows")
-        for done in (live, placed, mixed):
-            drop_stored(done)
-        level, total = level + 1, rows.count()
+        is_large, total = F.col("size") > SMALL_NODE, 0
+        deeper = not live.where(is_large).isEmpty()
+        join.last = not deeper
+        if deeper:
+            stars = live.where(is_large & (F.col("node") != F.col("pivot")))
+            stars = stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+            join.compare(join.plausible(stars, percent))
+        with join.mixed(live) as mixed:
+            # Every set with all the small nodes it is in, to tell where a pair belongs.
+            own = mixed.where(~is_large).groupBy("node").agg(F.first("root").alias("root"), F.collect_set("path").alias("paths"))
+            own = own.join(classes.select("node", "n_shingles", "sketch"), "node")
+            sets = F.collect_list(F.struct("node", "root", "n_shingles", "sketch", "paths"))
+            nodes = own.select("*", F.explode("paths").alias("path")).groupBy("path").agg(sets.alias("sets"))
+            join.compare_tiles(nodes.mapInArrow(_exhaustive(percent), TILES))
+            if deeper:
+                large = mixed.where(is_large).join(classes.select("node", "sketch"), "node")
+                rows = stored(_branch(large), "rows")
+                level, total = level + 1, rows.count()
+        drop_stored(live)
 
     return _placed(sketches, classes, join.roots)
 
@@ -475,6 +510,13 @@ def _placed(sketches: DataFrame, classes: DataFrame, roots: DataFrame | None) ->
     own = classes.select(*CLASS, "node", "members", given.alias("least"), order.alias("head"))
     if roots is None:
         groups = own.withColumn("component_id", F.col("least"))
+    elif roots.count() <= BROADCAST_ROWS:
+        own = own.join(F.broadcast(roots), "node", "left")
+        lowest = own.where("root is not null").groupBy("root")
+        lowest = lowest.agg(F.min("least").alias("lowest"), F.min("head").alias("lowest_head"))
+        groups = own.join(F.broadcast(lowest), "root", "left").withColumns(
+            {"component_id": F.coalesce("lowest", "least"), "head": F.coalesce("lowest_head", "head")}
+        )
     else:
         own = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         own = stored(own.drop("node"), "own")
@@ -482,8 +524,8 @@ def _placed(sketches: DataFrame, classes: DataFrame, roots: DataFrame | None) ->
             F.min("least").alias("component_id"), F.min("head").alias("lowest_head"), F.count("*").alias("n")
         )
         groups = with_lookup(own, lowest, ["root"], "n", own.count()).withColumn("head", F.col("lowest_head"))
-    groups = stored(groups.select(*CLASS, "members", "component_id", "head"), "groups")
-    total = groups.agg(F.coalesce(F.sum("members"), F.lit(0))).head()[0]
+    groups = groups.select(*CLASS, "members", "component_id", "head")
+    total = classes.agg(F.coalesce(F.sum("members"), F.lit(0))).head()[0]
     shown = [*KEY, given.alias("doc_id"), "n_shingles", "component_id"]
     some = with_lookup(sketches.where("n_shingles > 0"), groups, CLASS, "members", total)
     none = sketches.where("n_shingles = 0").withColumn("component_id", given)

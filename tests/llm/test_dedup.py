@@ -4,10 +4,11 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from evlake.llm import common, near_dedup
 from evlake.llm import components as components_module
-from evlake.llm import near_dedup
 from evlake.llm.components import components
 from evlake.llm.exact_dedup import exact_duplicates
 from evlake.llm.near_dedup import near_duplicates
@@ -194,3 +195,50 @@ def test_pairs_of_earlier_nodes(monkeypatch):
                 shared = {p for p in places[a].tolist() if p < 10} & set(places[b].tolist())
                 assert a == b or not bits[a] & bits[b] or shared
                 assert a == b or most == 2 or bool(bits[a] & bits[b]) == bool(shared)
+
+
+def test_small_nodes_store_few_tables(documents, monkeypatch):
+    """Where every node is small, pairs are only looked at in tiles: nothing is compared
+    with pivots first, and no table is stored for that, for texts or for sets' places."""
+    names, folder = [], common.new_folder
+    monkeypatch.setattr(common, "new_folder", lambda spark, name: names.append(name) or folder(spark, name))
+    rng, texts = random.Random(23), []
+    for edits in (1, 3):
+        base = words(rng, 120)
+        texts += [family(rng, base, edits) for _ in range(30)]
+    texts = list(enumerate([*texts, *(" ".join(words(rng, 60)) for _ in range(40))]))
+    got = {r.doc_id: r.component_id for r in near_duplicates(documents(texts), shingle_words=4).collect()}
+    assert got == brute_components(texts, 4, 80)
+    assert len(set(got.values())) < len(texts) and len(names) <= 9
+
+
+def test_tiles_hold_the_pairs_as_bits(monkeypatch):
+    """The tiles of a node larger than a tile have all plausible pairs, each once."""
+    monkeypatch.setattr(near_dedup, "TILE", 8)
+    monkeypatch.setattr(near_dedup, "PAIRS", 50)
+    rng, n, path = np.random.default_rng(3), 45, 100
+    base = rng.integers(1, 256, 256)
+    sketches = np.where(rng.random((n, 256)) < rng.random((n, 1)) / 3, rng.integers(0, 256, (n, 256)), base).astype(np.uint8)
+    sizes, roots = rng.integers(90, 115, n), rng.integers(0, 20, n)
+    fields = {"node": np.arange(n) + 1000, "root": roots, "n_shingles": sizes, "sketch": [s.tobytes() for s in sketches]}
+    for most in (1, 64):
+        monkeypatch.setattr(near_dedup, "EARLIER", most)
+        places = [[path, *rng.choice([7, 8, 9, 120, 130], rng.integers(0, 3), replace=False).tolist()] for _ in range(n)]
+        sets = pa.StructArray.from_arrays([pa.array(list(x)) for x in (*fields.values(), places)], [*fields, "paths"])
+        batch = pa.RecordBatch.from_arrays([pa.array([path]), pa.ListArray.from_arrays([0, n], sets)], ["path", "sets"])
+        got = []
+        for tiles in near_dedup._exhaustive(80)(iter([batch])):
+            for t in tiles.to_pylist():
+                bits = np.unpackbits(np.frombuffer(t["pairs"], np.uint8), count=len(t["a"]) * len(t["b"]))
+                here = [(a, b) for a in t["a"] for b in t["b"]]
+                got += [pair for pair, bit in zip(here, bits.tolist(), strict=True) if bit]
+                assert set(t["needed"]) == {*t["a"], *t["b"]} and max(len(t["a"]), len(t["b"])) <= 8
+        want = []
+        for i in range(n):
+            for j in range(i + 1, n):
+                first = min(set(places[i]) & set(places[j])) == path
+                alike = all(
+                    near_dedup._alike((sizes[[i]], sizes[[j]]), (sketches[[i], :k], sketches[[j], :k]), 80)[0] for k in (64, 256)
+                )
+                want += [(1000 + i, 1000 + j)] if first and alike and roots[i] != roots[j] else []
+        assert sorted(got) == want and 100 < len(want) < n * (n - 1) // 2 - 100

@@ -12,6 +12,9 @@ from evlake.session import configure, new_folder
 #: hot keys, so a table of them may be broadcast whatever the size of the input.
 HOT_PART = 1000
 
+#: Words of 64 bits in a table that tells which keys may be wanted, some 10 MB.
+FILTER_WORDS = 1 << 18
+
 #: Stands for a null id in keys.
 NO_ID = -(2**63)
 
@@ -40,15 +43,17 @@ def drop_stored(df: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def with_lookup(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int) -> DataFrame:
+def with_lookup(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int, small: int = 0) -> DataFrame:
     """Inner join of ``left`` with the rows of ``right``, one per key.
 
     ``rows`` names the column of ``right`` that says how many rows of ``left`` have
     the key, ``total`` is their sum. Hot keys, if there are any, are looked up in a
     broadcast table of at most ``HOT_PART`` rows and never shuffled; the others are
-    joined on the key.
+    joined on the key. A table ``right`` of up to ``small`` rows is broadcast whole.
     """
     right = stored(right, "lookup")
+    if small and right.count() <= small:
+        return left.join(F.broadcast(right.drop(rows)), keys)
     hot = F.col(rows) * HOT_PART > total
     few, many = right.where(hot).drop(rows), right.where(~hot).drop(rows)
     if few.isEmpty():
@@ -58,6 +63,22 @@ def with_lookup(left: DataFrame, right: DataFrame, keys: list[str], rows: str, t
     return at_hot.unionByName(rest.join(many, keys))
 
 
+def with_maybe(rows: DataFrame, hashed: str, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows with a column ``name``: whether their hash may be among the ``keys``, true
+    for all that are and, by a broadcast table of bits of a fixed size, for few others."""
+
+    def bit(column: str) -> tuple[Column, Column]:
+        at = F.col(column).bitwiseAND(F.lit(64 * FILTER_WORDS - 1))
+        return F.shiftright(at, 6), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+
+    word, mask = bit(key)
+    words = stored(keys.groupBy(word.alias("__word")).agg(F.bit_or(mask).alias("__bits")), "filter")
+    word, mask = bit(hashed)
+    found = rows.join(F.broadcast(words), word == F.col("__word"), "left")
+    held = F.coalesce(F.col("__bits").bitwiseAND(mask) != 0, F.lit(False))
+    return found.select(*[rows[c] for c in rows.columns], held.alias(name))
+
+
 def row_key(id_column: str, text: Column) -> list[Column]:
     """Columns that tell the rows of a table apart: the id, and for repeated ids the
     text's hash and byte length. Rows alike in all three are copies of one row."""

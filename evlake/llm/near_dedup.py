@@ -3,15 +3,16 @@
 Every text is a set of word shingles with minwise tokens. A tree starts with all sets at
 its root; each set branches to the child of the token it has in a place that the node
 picks, once per place picked. Similar sets share most tokens and so meet in many
-children. Nodes of few sets are compared exhaustively by sketches and confirmed; only in
-larger nodes every set is compared with one pivot first and, unless the node proves to be
-of one group already, branches on.
+children. Nodes of few sets are compared exhaustively by sketches and confirmed. A larger
+node branches on if that leaves less to compare, as where unlike texts share a line. If
+not, its sets are much alike: all are compared with one pivot, and unless the node proves
+to be of one group, what is outside its largest group is compared with all, by blocks.
 
 Trees are independent: at the root every tree has ``BRANCHES`` tokens of its own, and a
 deeper node picks, by a hash of its path, among the ``BINS`` bins of the sketch, whose
-least hashes are minwise tokens too. A pair at the threshold of 0.8 is missed by one
-tree with probability 0.04 at the first level and 0.0625 however deep the tree, so by
-all ``TREES`` with 4e-9 and 6e-8.
+least hashes are minwise tokens too; for an empty bin the next one stands. A pair at the
+threshold of 0.8 is missed by one tree with probability 0.04 at the first level and
+0.0625 however deep the tree, so by all ``TREES`` with 4e-9 and 6e-8.
 
 Sets that are equal are one class from the start. Pairs are confirmed on the full
 shingle sets (64-bit hashes) before they count as links; pairs inside a group that is
@@ -25,7 +26,7 @@ another text are documents of their own. An empty table gives an empty result.
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evlake.llm.arrays import mix, sets_of, shingles_of, slices, texts_of, words_of
-from evlake.llm.common import KEY, NO_ID, drop_stored, row_key, stored, whole, with_lookup
+from evlake.llm.common import KEY, NO_ID, drop_stored, row_key, stored, whole, with_lookup, with_maybe
 from evlake.llm.components import components
 
 TREES = 6
@@ -41,19 +42,28 @@ BRANCHES = 2
 #: Minwise tokens of a set, for the first level.
 TOKENS = TREES * BRANCHES
 #: Nodes of up to so many sets are compared exhaustively: some 1 MB of sketches and, at
-#: the most, a few seconds.
+#: the most, a few seconds. Larger ones are, if they must be, by blocks of so many sets.
 SMALL_NODE = 4096
-#: Sets on either side of a tile, the part of a node's pairs that is confirmed at once: a
-#: text goes to at most SMALL_NODE / TILE tiles of a node. And the pairs of sketches that
-#: are looked at together, and the nodes and tiles that a task holds at a time.
-TILE = 256
-PAIRS = 4096
+#: Nodes of up to so many sets are looked at together.
+FEW_SETS = 16
+#: Places that a larger node may try in turn, and the share of its pairs that its children
+#: may have at the most.
+TURNS = 3
+PAIRS_LEFT = 0.5
+#: Sets on either side of a tile, the part of a node's pairs that is confirmed at once,
+#: and bytes of their texts. A tile is a whole node unless its texts are long, so a text
+#: mostly goes to a node once. And the pairs of sketches that are looked at together, and
+#: the nodes and tiles that a task holds at a time.
+TILE = 4096
+TILE_BYTES = 8 << 20
+PAIRS = 16384
 BATCH_NODES = 16
 BATCH_TILES = 4
 #: Paths by which a node's sets are known to meet in an earlier node, bits of a number.
 EARLIER = 64
 #: A list of wanted texts, and of linked sets, of up to so many rows (some 10 MB) is
-#: broadcast to the scan; beyond that the rows are shuffled to it.
+#: broadcast to the scan; beyond that the rows are shuffled, of the texts only those that
+#: a table of bits lets pass.
 BROADCAST_ROWS = 200_000
 #: Bins of a sketch: each holds a byte of the least hash that falls into it.
 BINS = 256
@@ -170,41 +180,108 @@ def _plausible(percent: int):
     return run
 
 
+def _joined(batch: pa.RecordBatch, columns: list[str]) -> tuple[dict, list[np.ndarray]]:
+    """Fields of the sets in lists, those of all columns one after the other, and where
+    each row's lists begin."""
+    parts, first, before = [], [], 0
+    for column in columns:
+        lists = batch.column(column)
+        parts.append(lists.values)
+        first.append(lists.offsets.to_numpy() + before)
+        before += len(lists.values)
+    sets = pa.concat_arrays(parts)
+    found = {c: sets.field(c).to_numpy() for c in ("node", "root", "n_shingles")}
+    found |= {"sketch": _sketch_rows(sets.field("sketch")), "places": _padded(sets.field("paths"))}
+    known = sets.type.get_field_index("row_bytes") >= 0
+    return found | {"bytes": sets.field("row_bytes").to_numpy() if known else np.zeros(len(sets), np.int64)}, first
+
+
 def _exhaustive(percent: int):
-    """Plausible pairs, between groups not yet linked, of every small node's sets, packed
-    by tiles of the node's square of pairs: a row per tile with the sets it needs. A pair
-    that meets in several nodes belongs to the one with the smallest path."""
+    """Plausible pairs, between groups not yet linked, of every node's ``sets`` or, if there
+    are such, between them and the ``others``, packed by tiles of the node's square of
+    pairs: a row per tile with the sets it needs. A pair that meets in several nodes belongs
+    to the one with the smallest path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("sets")
-            fields = lists.values
-            node, root, size = (fields.field(c).to_numpy() for c in ("node", "root", "n_shingles"))
-            sketch, places = _sketch_rows(fields.field("sketch")), _padded(fields.field("paths"))
-            first = lists.offsets.to_numpy()
-            for path, a, b in zip(batch.column("path").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
-                earlier, step = _earlier(path, places[a:b]), max(1, PAIRS // (b - a))
-                # With a bit left over, every path that is shared has one.
-                exact = int(np.bitwise_or.reduce(earlier)) < 1 << EARLIER - 1
-                for top in range(a, b - 1, TILE):
-                    end, pairs = min(top + TILE, b - 1), []
-                    for i in range(top, end, step):
-                        rows = slice(i, min(i + step, end))
-                        here = root[rows, None] != root[i + 1 : b]
-                        here &= earlier[rows.start - a : rows.stop - a, None] & earlier[i + 1 - a :] == 0
-                        one, two = (x + i for x in np.nonzero(np.triu(here)))
-                        two += 1
-                        found = _candidates(one, two, size, sketch, percent)
-                        if not exact:
-                            found = found[_belongs(path, places[one[found]], places[two[found]])]
-                        if len(found):
-                            pairs.append(np.stack((one[found], two[found])))
-                    if pairs:
-                        yield _tiles(path, node, a, np.concatenate(pairs, 1))
+            names = batch.schema.names
+            fields, first = _joined(batch, [c for c in ("sets", "others") if c in names])
+            paths, blocks = (batch.column(c).to_pylist() for c in ("path", "block" if "block" in names else "path"))
+            counts = [np.diff(x) for x in first]
+            few = (sum(counts) <= FEW_SETS) & (sum(counts) == counts[0])
+            found = _pairs_of_few(batch.column("path").to_numpy(), fields, first[0], few, percent)
+            for r in np.flatnonzero(~few).tolist():
+                spans = [np.arange(x[r], x[r + 1]) for x in first]
+                here = {k: v[np.concatenate(spans)] for k, v in fields.items()}
+                side = np.repeat(np.arange(len(spans)), [len(x) for x in spans]) if len(spans[-1]) and len(spans) > 1 else None
+                found[r] = _node_pairs(paths[r], here, side, percent)
+            for r, pairs in found.items():
+                if pairs is not None:
+                    own = np.concatenate([np.arange(x[r], x[r + 1]) for x in first])
+                    yield from _tiles(blocks[r], fields["node"][own], fields["bytes"][own], pairs)
 
     return run
 
 
+@cache
+def _pairs_among(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(n, 1)
+
+
+def _pairs_of_few(path: np.ndarray, fields: dict, first: np.ndarray, few: np.ndarray, percent: int) -> dict:
+    """:func:`_node_pairs` of the rows with few sets, by row, all at once."""
+    rows = np.flatnonzero(few & (np.diff(first) > 1))
+    if not len(rows):
+        return {}
+    each = [_pairs_among(n) for n in (first[rows + 1] - first[rows]).tolist()]
+    row = np.repeat(rows, [len(a) for a, _ in each])
+    one, two = (np.concatenate([x[i] for x in each]) + first[row] for i in (0, 1))
+    other = np.flatnonzero(fields["root"][one] != fields["root"][two])
+    found = other[_candidates(one[other], two[other], fields["n_shingles"], fields["sketch"], percent)]
+    row, one, two, places = row[found], one[found], two[found], fields["places"]
+    own = np.flatnonzero(_belongs(path[row], places[one], places[two]))
+    tables = {}
+    for r, a, b in zip(row[own].tolist(), one[own].tolist(), two[own].tolist(), strict=True):
+        if r not in tables:
+            tables[r] = np.zeros((first[r + 1] - first[r],) * 2, bool)
+        tables[r][a - first[r], b - first[r]] = True
+    return tables
+
+
+def _node_pairs(path: int, sets: dict, side: np.ndarray | None, percent: int) -> np.ndarray | None:
+    """A table of bits for the pairs (earlier, later set) that may be similar and belong to
+    this node, or None. With ``side`` the sets of a pair are of different sides."""
+    order = np.argsort(sets["n_shingles"], kind="stable")
+    root, size, sketch, places = (sets[k][order] for k in ("root", "n_shingles", "sketch", "places"))
+    side = None if side is None else side[order]
+    earlier, pairs, n = _earlier(path, places), None, len(order)
+    # With a bit left over, every path that is shared has one.
+    exact = int(np.bitwise_or.reduce(earlier)) < 1 << EARLIER - 1
+    # By size, the sets that one may be similar to lie behind it up to an end.
+    ends, start = np.searchsorted(size, size * 100 // percent, side="right").tolist(), 0
+    while start < n - 1:
+        stop = min(start + TILE, n - 1)
+        while stop - start > 1 and (stop - start) * (ends[stop - 1] - start) > PAIRS:
+            stop = (start + stop) // 2
+        if (end := ends[stop - 1]) > start + 1:
+            rows, behind = slice(start, stop), slice(start + 1, end)
+            here = root[rows, None] != root[behind]
+            here &= earlier[rows, None] & earlier[behind] == 0
+            if side is not None:
+                here &= side[rows, None] != side[behind]
+            one, two = np.nonzero(np.triu(here))
+            one, two = one + start, two + start + 1
+            found = _candidates(one, two, size, sketch, percent)
+            if not exact:
+                found = found[_belongs(path, places[one[found]], places[two[found]])]
+            if len(found):
+                pairs = np.zeros((n, n), bool) if pairs is None else pairs
+                a, b = order[one[found]], order[two[found]]
+                pairs[np.minimum(a, b), np.maximum(a, b)] = True
+        start = stop
+    return pairs
+
+
 #: Fills the rows of a table of paths; no path is so.
 _NO_PATH = np.iinfo(np.int64).max
 
@@ -230,25 +307,36 @@ def _earlier(path: int, places: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(bits[at.reshape(places.shape)], axis=1)
 
 
-def _belongs(path: int, ones: np.ndarray, others: np.ndarray) -> np.ndarray:
+def _belongs(path: int | np.ndarray, ones: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Whether ``path`` is the smallest that the sets of each pair share."""
     shared = (others[:, :, None] == ones[:, None, :]).any(2)
     return np.where(shared, others, _NO_PATH).min(1, initial=_NO_PATH) == path
 
 
-def _tiles(path: int, node: np.ndarray, first: int, pairs: np.ndarray) -> pa.RecordBatch:
-    """Pairs of places, packed by tile as the bits of a table of the sets on either side."""
-    one, two = pairs
-    tile = (one - first) // TILE * SMALL_NODE + (two - first) // TILE
-    rows = []
-    for t in np.unique(tile):
-        (a, at_a), (b, at_b) = (np.unique(x[tile == t], return_inverse=True) for x in (one, two))
-        bits = np.zeros((len(a), len(b)), bool)
-        bits[at_a, at_b] = True
-        rows.append((path, t, node[np.union1d(a, b)], node[a], node[b], np.packbits(bits).tobytes()))
-    kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3, pa.binary()]
-    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, ["path", "tile", "needed", "a", "b", "pairs"])
+def _segments(sizes: np.ndarray) -> list[slice]:
+    """Parts of up to TILE places with about TILE_BYTES."""
+    cuts, total = [0], 0
+    for i, size in enumerate(sizes.tolist()):
+        if i - cuts[-1] == TILE or total and total + size > TILE_BYTES:
+            cuts.append(i)
+            total = 0
+        total += size
+    return [slice(a, b) for a, b in zip(cuts, [*cuts[1:], len(sizes)], strict=True)]
+
+
+def _tiles(block: int, node: np.ndarray, sizes: np.ndarray, pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The table of pairs packed by tile, each as the bits of a table of the sets on either side."""
+    used = np.flatnonzero(pairs.any(0) | pairs.any(1))
+    segments, kinds = _segments(sizes[used]), [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3, pa.binary()]
+    for s, one in enumerate(segments):
+        for t, two in enumerate(segments[s:], s):
+            bits = pairs[used[one]][:, used[two]]
+            a, b = np.flatnonzero(bits.any(1)), np.flatnonzero(bits.any(0))
+            if len(a):
+                bits, a, b = bits[a][:, b], used[one][a], used[two][b]
+                row = (block, s << 32 | t, node[np.union1d(a, b)], node[a], node[b], np.packbits(bits).tobytes())
+                columns = [pa.array([c], k) for c, k in zip(row, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["path", "tile", "needed", "a", "b", "pairs"])
 
 
 TILES = "path long, tile long, needed array<long>, a array<long>, b array<long>, pairs binary"
@@ -263,48 +351,67 @@ def _confirm_tile(shingle_words: int, percent: int):
             members = batch.column("members")
             first = members.offsets.to_numpy()
             names = members.values.field("node").to_numpy()
+            # Texts of several tiles are taken apart together unless they are many.
+            step = batch.num_rows if members.values.field("text").nbytes <= TILE_BYTES else 1
             for t in range(batch.num_rows):
-                own = members.values.slice(first[t], first[t + 1] - first[t])
-                node = names[first[t] : first[t + 1]].tolist()
-                found, counts = [], []
-                for piece in slices(pa.RecordBatch.from_arrays([own.field("text")], ["text"]), "text"):
-                    hashes, at = sets_of(*shingles_of(words_of(*texts_of(piece.column("text"))), shingle_words))
-                    found.append(hashes)
-                    counts.append(np.diff(at))
-                # The tile's shingles by number, so that a set is looked up by marks.
-                known, numbers = np.unique(np.concatenate(found), return_inverse=True)
-                numbers, ends = numbers.astype(np.int32), np.cumsum(np.concatenate(counts)).tolist()
-                sets = {x: numbers[s:e] for x, s, e in zip(node, [0, *ends], ends, strict=False)}
-                marks, marked = np.zeros(len(known), bool), None
-                parent = {x: x for x in node}
-
-                def root(x, parent=parent):
-                    while parent[x] != x:
-                        parent[x] = x = parent[parent[x]]
-                    return x
-
-                links = []
-                one, two = (batch.column(c)[t].as_py() for c in ("a", "b"))
+                if t % step == 0:
+                    before, after = first[t], first[min(t + step, batch.num_rows)]
+                    found, counts = _texts_sets(members.values.slice(before, after - before).field("text"), shingle_words)
+                    ends = np.concatenate(([0], np.cumsum(counts)))
+                own = slice(first[t] - before, first[t + 1] - before)
+                node, sizes = names[first[t] : first[t + 1]], counts[own]
+                place = {x: i for i, x in enumerate(node.tolist())}
+                one, two = (np.array([place[x] for x in batch.column(c)[t].as_py()], np.int64) for c in ("a", "b"))
                 bits = np.unpackbits(np.frombuffer(batch.column("pairs")[t].as_py(), np.uint8), count=len(one) * len(two))
-                for i, j in zip(*(x.tolist() for x in np.nonzero(bits.reshape(len(one), len(two)))), strict=True):
-                    a, b = one[i], two[j]
-                    if root(a) == root(b):
-                        continue
-                    x, y = sets[a], sets[b]
-                    if a != marked:  # pairs come in the order of a
-                        if marked is not None:
-                            marks[sets[marked]] = False
-                        marks[x], marked = True, a
-                    shared = int(np.count_nonzero(marks[y]))
-                    if 100 * shared >= percent * (len(x) + len(y) - shared):
-                        parent[root(a)] = root(b)
-                        links.append((a, b))
+                bits = bits.reshape(len(one), len(two)).view(bool)
+                links = _links(found[ends[own.start] : ends[own.stop]], sizes, one, two, bits, percent)
                 if links:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*links, strict=True)], ["a", "b"])
+                    a, b = np.array(links).T
+                    yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
 
     return run
 
 
+def _texts_sets(texts: pa.Array, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' sets of shingles one after the other, and their sizes."""
+    found, counts = [], []
+    for piece in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+        hashes, at = sets_of(*shingles_of(words_of(*texts_of(piece.column("text"))), shingle_words))
+        found.append(hashes)
+        counts.append(np.diff(at))
+    return np.concatenate(found), np.concatenate(counts)
+
+
+def _links(
+    hashes: np.ndarray, counts: np.ndarray, one: np.ndarray, two: np.ndarray, bits: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Pairs of similar sets among those that ``bits`` marks, enough to tell the groups.
+    Sets are compared by marks over numbered shingles, several with one at once."""
+    known, numbers = np.unique(hashes, return_inverse=True)
+    ends = np.cumsum(counts)
+    starts, group, links = ends - counts, np.arange(len(counts)), []
+    marks = np.zeros(len(known), bool)
+    for i, a in enumerate(one.tolist()):
+        rest = two[bits[i]]
+        rest = rest[group[rest] != group[a]]
+        if not len(rest):
+            continue
+        own, many = numbers[starts[a] : ends[a]], 2
+        marks[own] = True
+        while len(rest):
+            some, rest, many = rest[:many], rest[many:], min(2 * many, 64)
+            sets = [numbers[s:e] for s, e in zip(starts[some].tolist(), ends[some].tolist(), strict=True)]
+            sizes = counts[some]
+            shared = np.add.reduceat(marks[np.concatenate(sets)], np.cumsum(sizes) - sizes, dtype=np.int64)
+            for b in some[100 * shared >= percent * (counts[a] + sizes - shared)].tolist():
+                if group[a] != group[b]:
+                    group[group == group[b]] = group[a]
+                    links.append((a, b))
+            rest = rest[group[rest] != group[a]]
+        marks[own] = False
+    return links
+
+
 @contextmanager
 def _few_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of so many rows, for rows that are long lists."""
@@ -327,14 +434,13 @@ class _Join:
         self.fetched: list[DataFrame] = []
         self.links: list[DataFrame] = []
         self.roots: DataFrame | None = None
-        self.last = False
 
     def _fetch(self, need: DataFrame, most: int, again: bool = True) -> DataFrame:
         """Texts of the classes ``need`` (node, ``most`` rows). Each is fetched once in a
         run, and kept if any is to be read ``again``."""
         for have in self.fetched:
             need = need.join(have.select("node"), "node", "left_anti")
-        own = self.classes.select("node", *KEY)
+        own, texts = self.classes.select("node", *KEY), self.texts
         if most <= BROADCAST_ROWS:
             keyed = F.broadcast(own.join(F.broadcast(need), "node", "left_semi"))
         else:
@@ -342,8 +448,10 @@ class _Join:
             keyed = stored(own.join(need.distinct(), "node", "left_semi"), "wanted")
             if keyed.count() <= BROADCAST_ROWS:
                 keyed = F.broadcast(keyed)
+            else:
+                texts = with_maybe(texts, "row_hash", keyed, "row_hash", "wanted").where("wanted").drop("wanted")
         # Rows repeated in full have one key, and any of them will do.
-        own = self.texts.join(keyed, KEY).select("node", "text").dropDuplicates(["node"])
+        own = texts.join(keyed, KEY).select("node", "text").dropDuplicates(["node"])
         if not again:
             return reduce(DataFrame.unionByName, [*self.fetched, own])
         self.fetched.append(stored(own, "pair-texts"))
@@ -373,15 +481,15 @@ class _Join:
         self._found(stored(both.mapInArrow(self.confirm, "a long, b long"), "links"))
 
     def compare_tiles(self, candidates: DataFrame) -> None:
-        """The same for the tiles of small nodes. A text goes to each of its tiles once,
-        not once per pair; it is not kept on the last level."""
+        """The same for the tiles of nodes. A text goes to each of its tiles once, not once
+        per pair; it is not kept."""
         with _few_rows(candidates.sparkSession, BATCH_NODES):
             tiles = stored(candidates, "tiles")
             count = tiles.agg(F.coalesce(F.sum(F.size("needed")), F.lit(0))).head()[0]
             if not count:
                 return
             each = tiles.select("path", "tile", F.explode("needed").alias("node"))
-            texts = self._fetch(each.select("node"), count, not self.last)
+            texts = self._fetch(each.select("node"), count, again=False)
             members = each.join(texts, "node").groupBy("path", "tile")
             whole_tiles = members.agg(F.collect_list(F.struct("node", "text")).alias("members")).join(
                 tiles.drop("needed"), ["path", "tile"]
@@ -399,21 +507,48 @@ class _Join:
         self.roots = stored(components(reduce(DataFrame.unionByName, self.links)), "roots")
         self.links.append(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
-    @contextmanager
-    def mixed(self, live: DataFrame) -> Iterator[DataFrame]:
-        """The rows of nodes with sets of more than one group, with their groups' roots."""
+    def grouped(self, rows: DataFrame) -> DataFrame:
+        """The rows (by node) with the roots of their groups."""
         if self.roots is None:
             # Nothing is linked, so every set is a group.
-            yield live.withColumn("root", F.col("node"))
-            return
-        several = F.min("root") != F.max("root")
-        rows = live.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        placed = stored(rows.select("path", "size", "node", "root"), "placed")
-        found = placed.groupBy("path").agg(F.count("*").alias("n"), several.alias("several")).where("several")
-        found = stored(with_lookup(placed, found.select("path", "n"), ["path"], "n", placed.count()), "mixed")
-        yield found
-        for done in (placed, found):
-            drop_stored(done)
+            return rows.withColumn("root", F.col("node"))
+        roots = F.broadcast(self.roots) if self.roots.count() <= BROADCAST_ROWS else self.roots
+        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def blocks(self, stuck: DataFrame, percent: int) -> DataFrame:
+        """The sets (path, size, node) of large nodes that branching doesn't split, by
+        chunks: all are compared with a pivot, and of nodes that then are of several groups
+        the largest one comes last. Its chunks from ``few`` on need no comparison."""
+        pivots = stuck.groupBy("path").agg(F.min("node").alias("a"), F.count("*").alias("n"))
+        total = stuck.count()
+        stars = with_lookup(stuck, pivots, ["path"], "n", total, BROADCAST_ROWS).where("node <> a")
+        self.compare(self.plausible(stars.select("a", F.col("node").alias("b")).distinct(), percent))
+        placed = stored(self.grouped(stuck.select("path", "node")), "placed")
+        largest = placed.groupBy("path", "root").agg(F.count("*").alias("own")).groupBy("path")
+        largest = largest.agg(F.max_by("root", F.struct("own", "root")).alias("main"), F.max("own").alias("own"), F.sum("own").alias("n"))
+        chunks = F.ceil(F.col("own") / SMALL_NODE).cast("int"), F.ceil((F.col("n") - F.col("own")) / SMALL_NODE).cast("int")
+        several = largest.where("own < n").select("path", "main", "n", chunks[0].alias("last"), chunks[1].alias("few"))
+        found = with_lookup(placed, several, ["path"], "n", total, BROADCAST_ROWS)
+        at, many = F.xxhash64("node", F.lit(7)), F.col("few") + F.col("last")
+        chunk = F.when(F.col("root") == F.col("main"), F.col("few") + F.pmod(at, F.col("last"))).otherwise(F.pmod(at, F.col("few")))
+        return stored(found.select("path", "node", chunk.cast("int").alias("chunk"), "few", many.alias("chunks")), "blocks")
+
+    def compare_nodes(self, rows: DataFrame, percent: int) -> None:
+        """Compare the sets (path, node) of small nodes and blocks, chunk by chunk."""
+        # Every set with all the nodes it is in, to tell where a pair belongs.
+        own = rows.groupBy("node").agg(F.collect_list(F.struct("path", "chunk", "few", "chunks")).alias("places"))
+        own = self.grouped(own).join(self.classes.select("node", "n_shingles", "row_bytes", "sketch"), "node")
+        own = own.select("node", "root", "n_shingles", "row_bytes", "sketch", F.col("places.path").alias("paths"), "places")
+        with_chunks = F.expr("sequence(0, if(place.chunk < place.few, place.chunks, place.few) - 1)")
+        each = own.select("*", F.explode("places").alias("place")).select("*", F.explode(with_chunks).alias("other"))
+        low, high = F.least("place.chunk", "other"), F.greatest("place.chunk", "other")
+        block = F.when(high == 0, F.col("place.path")).otherwise(F.xxhash64("place.path", low, high))
+        entry = F.struct("node", "root", "n_shingles", "row_bytes", "sketch", "paths")
+        second = F.col("place.chunk") > F.col("other")
+        nodes = each.groupBy(F.col("place.path").alias("path"), block.alias("block")).agg(
+            F.collect_list(F.when(~second, entry)).alias("sets"), F.collect_list(F.when(second, entry)).alias("others")
+        )
+        self.compare_tiles(nodes.mapInArrow(_exhaustive(percent), TILES))
 
 
 def _roots(classes: DataFrame) -> DataFrame:
@@ -427,10 +562,50 @@ def _roots(classes: DataFrame) -> DataFrame:
 
 
 def _branch(rows: DataFrame) -> DataFrame:
-    """Children of each set's node: ``node``, ``path`` and ``sketch`` in, the child's path out."""
-    places = [F.pmod(F.xxhash64("path", F.lit(i)), F.lit(BINS)).cast("int") for i in range(BRANCHES)]
-    children = [F.xxhash64("path", F.lit(i), F.substring("sketch", p + 1, F.lit(1))) for i, p in enumerate(places)]
-    return rows.select("node", F.explode(F.array(*children)).alias("path"))
+    """Children of each set's node: ``node``, ``path``, ``turn`` (which of the places the
+    node may pick) and ``sketch`` in, the child's path and its ``parent`` out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parent, turn = (batch.column(c).to_numpy() for c in ("path", "turn"))
+            sketch = _sketch_rows(batch.column("sketch"))
+            for i in range(BRANCHES):
+                path = _child(parent.view(np.uint64), turn.astype(np.uint64) * np.uint64(BRANCHES) + np.uint64(i), sketch)
+                columns = [batch.column(c) for c in ("node", "turn", "path")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(path.view(np.int64))], ["node", "turn", "parent", "path"])
+
+    return rows.select("node", "path", "turn", "sketch").mapInArrow(run, "node long, turn int, parent long, path long")
+
+
+def _child(parent: np.ndarray, place: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Paths of the children by one of the parents' places: the first bin from there on,
+    round the sketch, that isn't empty, with what it holds."""
+    picked = mix(parent + (place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    bins = ((picked % np.uint64(BINS)).astype(np.int64)[:, None] + np.arange(BINS)) % BINS
+    rows = np.arange(len(sketch))
+    bins = bins[rows, (sketch[rows[:, None], bins] > 0).argmax(1)]
+    token = bins * BINS + sketch[rows, bins]
+    return mix(picked + (token.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _split(large: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Children (node, path) of the large nodes that branching helps, by the first turn
+    that leaves few enough pairs, and the rows of the others."""
+    rows = large.join(classes.select("node", "sketch"), "node")
+    turns = [_branch(rows.withColumn("turn", F.lit(t))) for t in range(TURNS)]
+    children = stored(reduce(DataFrame.unionByName, turns), "children")
+    pairs = children.groupBy("parent", "turn", "path").agg(F.count("*").alias("n")).groupBy("parent", "turn")
+    pairs = pairs.agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1)).alias("left"))
+    size = F.col("n") / BRANCHES
+    helped = pairs.where(F.col("left") <= PAIRS_LEFT * size * (size - 1)).groupBy("parent")
+    # At most a row per SMALL_NODE rows of large nodes.
+    helped = stored(helped.agg(F.min("turn").alias("turn")), "turns")
+    if helped.count() <= BROADCAST_ROWS:
+        helped = F.broadcast(helped)
+    rows = stored(children.join(helped, ["parent", "turn"]).select("node", "path"), "rows")
+    stuck = stored(large.join(helped.withColumnRenamed("parent", "path"), "path", "left_anti"), "stuck")
+    drop_stored(children)
+    return rows, stuck
 
 
 def _classes(sketches: DataFrame) -> DataFrame:
@@ -474,31 +649,26 @@ def near_duplicates(
     classes = stored(_classes(sketches), "classes")
     join = _Join(texts, classes, shingle_words, percent)
 
-    rows, level, total = _roots(classes), 1, classes.count() * TREES * BRANCHES
+    rows, total = _roots(classes), classes.count() * TREES * BRANCHES
+    small, stuck = [], []
     while total:
-        # At first the smallest node, often the same in all trees, later another each time.
-        pivot = F.min("node") if level == 1 else F.min_by("node", F.xxhash64("path", "node"))
-        sizes = rows.groupBy("path").agg(F.count("*").alias("size"), pivot.alias("pivot")).where("size > 1")
-        live = stored(with_lookup(rows, sizes.withColumn("n", F.col("size")), ["path"], "n", total), "live")
+        sizes = rows.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
+        live = with_lookup(rows, sizes.withColumn("n", F.col("size")), ["path"], "n", total, BROADCAST_ROWS)
+        live = stored(live, "live")
         is_large, total = F.col("size") > SMALL_NODE, 0
-        deeper = not live.where(is_large).isEmpty()
-        join.last = not deeper
-        if deeper:
-            stars = live.where(is_large & (F.col("node") != F.col("pivot")))
-            stars = stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-            join.compare(join.plausible(stars, percent))
-        with join.mixed(live) as mixed:
-            # Every set with all the small nodes it is in, to tell where a pair belongs.
-            own = mixed.where(~is_large).groupBy("node").agg(F.first("root").alias("root"), F.collect_set("path").alias("paths"))
-            own = own.join(classes.select("node", "n_shingles", "sketch"), "node")
-            sets = F.collect_list(F.struct("node", "root", "n_shingles", "sketch", "paths"))
-            nodes = own.select("*", F.explode("paths").alias("path")).groupBy("path").agg(sets.alias("sets"))
-            join.compare_tiles(nodes.mapInArrow(_exhaustive(percent), TILES))
-            if deeper:
-                large = mixed.where(is_large).join(classes.select("node", "sketch"), "node")
-                rows = stored(_branch(large), "rows")
-                level, total = level + 1, rows.count()
-        drop_stored(live)
+        small.append(live.where(~is_large).select("path", "node"))
+        large = live.where(is_large).select("path", "node")
+        if not large.isEmpty():
+            rows, rest = _split(large, classes)
+            total = rows.count()
+            if not rest.isEmpty():
+                stuck.append(rest)
+    if small:
+        one = {"chunk": F.lit(0), "few": F.lit(1), "chunks": F.lit(1)}
+        rows = reduce(DataFrame.unionByName, small).withColumns(one)
+        if stuck:
+            rows = rows.unionByName(join.blocks(reduce(DataFrame.unionByName, stuck), percent))
+        join.compare_nodes(rows, percent)
 
     return _placed(sketches, classes, join.roots)
 

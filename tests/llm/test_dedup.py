@@ -242,3 +242,120 @@ def test_tiles_hold_the_pairs_as_bits(monkeypatch):
                 )
                 want += [(1000 + i, 1000 + j)] if first and alike and roots[i] != roots[j] else []
         assert sorted(got) == want and 100 < len(want) < n * (n - 1) // 2 - 100
+
+
+def test_branching_takes_unlike_sets_apart(spark):
+    """Small sets leave most bins of their sketches empty; that is nothing they share."""
+    rng, n = np.random.default_rng(29), 400
+    sketch = np.zeros((n, 256), np.uint8)
+    for row in sketch:
+        row[rng.choice(256, 15, replace=False)] = rng.integers(1, 256, 15)
+    for odd in range(1, n, 2):  # every second set is the one before but for one of 15 bins
+        sketch[odd] = sketch[odd - 1]
+        sketch[odd, np.flatnonzero(sketch[odd])[0]] = 0
+    rows = [(i, 77 + t, bytearray(s.tobytes())) for t in range(20) for i, s in enumerate(sketch)]
+    rows = spark.createDataFrame(rows, "node long, path long, sketch binary").withColumn("turn", F.lit(0))
+    children = defaultdict(set)
+    for r in near_dedup._branch(rows).select("node", "path").collect():
+        children[r.path].add(r.node)
+    assert sum(len(x) for x in children.values()) == 20 * near_dedup.BRANCHES * n
+    assert max(len(x) for x in children.values()) < n / 10
+    together = sum(len(x & {i - 1 for i in x if i % 2}) for x in children.values()) / (20 * near_dedup.BRANCHES * n / 2)
+    assert 0.8 < together < 1
+
+
+def test_large_nodes_branch_or_go_by_blocks(documents, monkeypatch):
+    """Texts that share only a line are taken apart by branching; a loose family is compared
+    by blocks, and of a group known by its pivot only what is outside it. Each set is in few
+    nodes, and the groups are those of brute force."""
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 24)
+    rows, split, blocks = [], [], []
+    compare, of_blocks, of_split = near_dedup._Join.compare_nodes, near_dedup._Join.blocks, near_dedup._split
+
+    def compared(self, given, percent):
+        rows.append(given.count())
+        compare(self, given, percent)
+
+    def blocked(self, stuck, percent):
+        found = of_blocks(self, stuck, percent)
+        blocks.append(found.agg(F.max("chunks")).head()[0])
+        return found
+
+    def branched(large, classes):
+        found = of_split(large, classes)
+        split.append(found[0].count())
+        return found
+
+    monkeypatch.setattr(near_dedup._Join, "compare_nodes", compared)
+    monkeypatch.setattr(near_dedup._Join, "blocks", blocked)
+    monkeypatch.setattr(near_dedup, "_split", branched)
+    rng = random.Random(31)
+    line, base, tight = words(rng, 25), words(rng, 120), words(rng, 120)
+    texts = [" ".join(line + words(rng, 40)) for _ in range(150)]
+    for i in range(0, 60, 2):
+        texts += [f"{texts[i]} {' '.join(words(rng, 3))}"]
+    texts += [family(rng, base, 4) for _ in range(60)] + [family(rng, tight, 2) for _ in range(60)]
+    texts = list(enumerate(texts))
+    got = {r.doc_id: r.component_id for r in near_duplicates(documents(texts), shingle_words=4).collect()}
+    want = brute_components(texts, 4, 80)
+    assert got == want and 80 < sum(want[i] != i for i in want)
+    assert sum(split) > 100 and blocks and blocks[0] > 1 and rows[0] < 3 * near_dedup.TOKENS * len(texts)
+
+
+def test_a_text_goes_to_a_node_once():
+    """Unless a node's texts are long; then its tiles have few."""
+    rng, n = np.random.default_rng(37), 600
+    base = rng.integers(1, 256, 256)
+    sketches = np.where(rng.random((n, 256)) < 0.05, rng.integers(1, 256, (n, 256)), base).astype(np.uint8)
+    for size, tiles in ((3000, 1), (40_000, 6)):
+        sets = [
+            {"node": i, "root": i, "n_shingles": 100, "row_bytes": size, "sketch": s.tobytes(), "paths": [5]}
+            for i, s in enumerate(sketches)
+        ]
+        kinds = {"node": pa.int64(), "root": pa.int64(), "n_shingles": pa.int64(), "row_bytes": pa.int64()}
+        kind = pa.list_(pa.struct(kinds | {"sketch": pa.binary(), "paths": pa.list_(pa.int64())}))
+        batch = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([sets], kind)], ["path", "sets"])
+        got = [t for x in near_dedup._exhaustive(80)(iter([batch])) for t in x.to_pylist()]
+        assert len(got) == tiles and sum(np.unpackbits(np.frombuffer(t["pairs"], np.uint8)).sum() for t in got) == n * (n - 1) // 2
+        assert max(len(t["needed"]) for t in got) * size <= 2 * near_dedup.TILE_BYTES
+
+
+def test_few_and_many_sets_are_looked_at_alike(monkeypatch):
+    rng = np.random.default_rng(41)
+    base = rng.integers(1, 256, 256)
+    nodes = []
+    for path in range(40):
+        n = int(rng.integers(1, 9))
+        sketches = np.where(rng.random((n, 256)) < rng.random((n, 1)) / 3, rng.integers(1, 256, (n, 256)), base).astype(np.uint8)
+        nodes.append([
+            {"node": 100 * path + i, "root": 100 * path + i // 2, "n_shingles": int(rng.integers(90, 115)), "sketch": s.tobytes(),
+             "paths": [path, *rng.choice([-3, -2, 50], rng.integers(0, 3), replace=False).tolist()]}
+            for i, s in enumerate(sketches)
+        ])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(nodes)], ["path", "sets"])
+    found = []
+    for few in (0, 16):
+        monkeypatch.setattr(near_dedup, "FEW_SETS", few)
+        tiles = [t for x in near_dedup._exhaustive(80)(iter([batch])) for t in x.to_pylist()]
+        found.append(sorted((t["path"], t["a"], t["b"], t["pairs"]) for t in tiles))
+    assert found[0] == found[1] and len(found[0]) > 10
+
+
+def test_wanted_texts_by_bits(documents, monkeypatch):
+    """Where too many texts are wanted to broadcast their keys, others hardly get shuffled
+    and the groups are the same."""
+    monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", 0)
+    passed, maybe = [], near_dedup.with_maybe
+
+    def counted(rows, *names):
+        found = maybe(rows, *names)
+        passed.append((found.count(), found.where("wanted").count()))
+        return found
+
+    monkeypatch.setattr(near_dedup, "with_maybe", counted)
+    rng = random.Random(43)
+    base = words(rng, 60)
+    texts = list(enumerate([family(rng, base, 1) for _ in range(12)] + [" ".join(words(rng, 60)) for _ in range(200)]))
+    got = {r.doc_id: r.component_id for r in near_duplicates(documents(texts), shingle_words=4).collect()}
+    assert got == brute_components(texts, 4, 80)
+    assert passed == [(212, 12)]

@@ -10,10 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evlake.llm.common import KEY, row_key, stored, table, whole
+from evlake.llm.common import KEY, row_key, stored, table, whole, with_maybe
 from evlake.llm.decontaminate import without_leaks
 from evlake.llm.mixing import mix
-from evlake.llm.near_dedup import near_duplicates
+from evlake.llm.near_dedup import BROADCAST_ROWS, near_duplicates
 from evlake.llm.sharding import shards
 from evlake.llm.toxicity import fit, without_toxic
 
@@ -35,17 +35,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     smallest id stays (a null id comes last; then by its text); of rows repeated in full,
     one. Texts without words are no group and stay."""
     groups = near_duplicates(docs, shingle_words=5, percent=80)
-    wanted = stored(groups.where("first").groupBy(*KEY).agg(F.count("*").alias("rows")), "kept")
-    keyed = docs.select(*docs.columns, *[k.alias(f"__{n}") for k, n in zip(row_key("doc_id", whole("text")), KEY, strict=True)])
-    names = [f"__{n}" for n in KEY]
-
-    def of(rows: DataFrame) -> DataFrame:
-        return keyed.join(rows.select(*[F.col(n).alias(f"__{n}") for n in KEY]), names, "left_semi")
-
-    repeated = wanted.where("rows > 1")
-    found = of(wanted.where("rows = 1"))
+    each = groups.groupBy(*KEY).agg(F.count("*").alias("rows"), F.max("first").alias("first"))
+    # Most rows stay as they are; only those that may be others' copies are joined.
+    special = stored(each.where(~F.col("first") | (F.col("rows") > 1)), "special")
+    source = docs.select(*docs.columns, *[k.alias(f"__{n}") for k, n in zip(row_key("doc_id", whole("text")), KEY, strict=True)])
+    names, plain, few = [f"__{n}" for n in KEY], None, special.count() <= BROADCAST_ROWS
+    if not few:
+        marked = with_maybe(source, "__row_hash", special, "row_hash", "__special")
+        plain, source = marked.where("not __special"), marked.where("__special")
+
+    def of(rows: DataFrame, how: str) -> DataFrame:
+        rows = rows.select(*[F.col(n).alias(f"__{n}") for n in KEY])
+        return source.join(F.broadcast(rows) if few else rows, names, how)
+
+    found, repeated = of(special, "left_anti"), special.where("first")
+    if plain is not None:
+        found = found.unionByName(plain)
     if not repeated.isEmpty():
-        found = found.unionByName(of(repeated).dropDuplicates(names))
+        found = found.unionByName(of(repeated, "left_semi").dropDuplicates(names))
     return found.select(*docs.columns)
 
 

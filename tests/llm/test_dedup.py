@@ -359,3 +359,30 @@ def test_wanted_texts_by_bits(documents, monkeypatch):
     got = {r.doc_id: r.component_id for r in near_duplicates(documents(texts), shingle_words=4).collect()}
     assert got == brute_components(texts, 4, 80)
     assert passed == [(212, 12)]
+
+
+def test_the_stage_joins_only_copies(spark, documents, awkward, tmp_path, monkeypatch):
+    """The pipeline's second stage: whichever way, one row of each group, whole."""
+    import corpus_pipeline
+
+    monkeypatch.setattr(corpus_pipeline, "near_duplicates", lambda docs, **_: near_duplicates(docs, shingle_words=4))
+    rng = random.Random(47)
+    base = words(rng, 60)
+    texts = [(100 + i, family(rng, base, 1)) for i in range(5)] + [(200 + i, " ".join(words(rng, 60))) for i in range(50)]
+    docs = awkward.unionByName(documents(texts))
+    joined, maybe, found = [], corpus_pipeline.with_maybe, []
+
+    def counted(*given):
+        rows = maybe(*given)
+        joined.append(rows.where("__special").count())
+        return rows
+
+    monkeypatch.setattr(corpus_pipeline, "with_maybe", counted)
+    for most in (corpus_pipeline.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(corpus_pipeline, "BROADCAST_ROWS", most)
+        stage = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+        assert stage.columns == docs.columns
+        found.append(Counter((r.doc_id, r.text, r.source) for r in stage.collect()))
+    assert found[0] == found[1] and set(found[0].values()) == {1}
+    # Of the family and the seven-word text one each; nulls, blanks and all others stay.
+    assert sum(found[0].values()) == 9 + 1 + 50 and joined == [8]
